@@ -17,13 +17,15 @@ from palisade.operators.profile import clipped_long, long_form, scaled_share
 from palisade.operators.quantiles import quantile_columns
 from palisade.session import fits_in_buffers
 
-_ALL = Window.partitionBy()
+
+def _all():
+    return Window.partitionBy()
 
 
 def class_counts(df: DataFrame, label: str = "label") -> DataFrame:
     """Rows and percent per class."""
     counts = df.groupBy(label).agg(F.count("*").alias("n"))
-    return counts.withColumn("pct", F.col("n") * 100.0 / F.sum("n").over(_ALL))
+    return counts.withColumn("pct", F.col("n") * 100.0 / F.sum("n").over(_all()))
 
 
 def imbalance(df: DataFrame, label: str = "label") -> DataFrame:
@@ -34,7 +36,7 @@ def imbalance(df: DataFrame, label: str = "label") -> DataFrame:
         attack_family(label).alias("family"),
         "n",
         F.round("pct", 4).alias("pct"),
-        (F.max("n").over(_ALL) / F.greatest(F.col("n"), F.lit(1))).alias("imbalance_ratio"),
+        (F.max("n").over(_all()) / F.greatest(F.col("n"), F.lit(1))).alias("imbalance_ratio"),
     )
 
 
@@ -45,7 +47,7 @@ def class_by_day(df: DataFrame, label: str = "label", day: str = "day") -> DataF
     array of days per class rather than a join of rows.
     """
     counts = df.groupBy(label, day).agg(F.count("*").alias("n"))
-    days = F.array_sort(F.collect_set(day).over(_ALL))
+    days = F.array_sort(F.collect_set(day).over(_all()))
     known = (
         counts.withColumn("__days", days)
         .groupBy(label, "__days")
