@@ -60,7 +60,7 @@ def class_by_day(df: DataFrame, label: str = "label", day: str = "day") -> DataF
 
 def class_day_pivot(df: DataFrame, days: Sequence, label: str = "label", day: str = "day") -> DataFrame:
     """Wide class-by-day counts for the named days, 0 where nothing was seen."""
-    wide = df.groupBy(label).pivot(day, list(days)).agg(F.count("*"))
+    wide = df.groupBy(label).pivot(day, list(days)).agg(F.count(F.lit(1)))
     return wide.fillna(0)
 
 
