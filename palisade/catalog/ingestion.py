@@ -179,10 +179,10 @@ def _(t):
     return plain(table.groupBy("Label").agg(F.count("*").alias("n"), F.sum("price").alias("price")), 2)
 
 
-@query("a14_csv_sink", f"WITH {I.FLOWS} SELECT l_orderkey, {num('quantity * 0.3333333', 'x')} FROM flows")
+@query("a14_csv_sink", f"WITH {I.FLOWS} SELECT l_orderkey, {num('quantity / 3.0', 'x')} FROM flows")
 def _(t):
     path = scratch_path(t.spark, "features-csv")
-    S.write_csv(I.flows(t).select("l_orderkey", (F.col("quantity") * 0.3333333).alias("x")), path)
+    S.write_csv(I.flows(t).select("l_orderkey", (F.col("quantity") / 3.0).alias("x")), path)
     back = t.spark.read.option("header", True).schema("l_orderkey long, x double").csv(path)
     return plain(back)
 
@@ -280,7 +280,7 @@ def _(t):
     return plain(V.size_reduction(t.spark, order_csv(t), path))
 
 
-_PROFILED = [("l_orderkey", "bigint"), ("l_linenumber", "int"), ("l_quantity", "double"), ("l_tax", "double"), ("l_returnflag", "string")]
+_PROFILED = [("l_orderkey", "bigint"), ("l_linenumber", "int"), ("l_quantity", "double"), ("l_extendedprice", "double"), ("l_returnflag", "string")]
 
 
 @query(

@@ -40,7 +40,8 @@ def compare(spark, directory: str, build, sql: str, connection=None) -> tuple[st
     a, b = _rows(df.columns, got), _rows(relation.columns, want)
     if a == b:
         return None, len(got), spark_time, duck_time
-    left = [r for r in a if r not in set(b)][:3]
-    right = [r for r in b if r not in set(a)][:3]
+    in_a, in_b = set(a), set(b)
+    left = [r for r in a if r not in in_b][:3]
+    right = [r for r in b if r not in in_a][:3]
     names = sorted(df.columns)
     return f"{len(a)} vs {len(b)} rows\n  cols  {names}\n  spark {left}\n  duck  {right}", len(got), spark_time, duck_time
