@@ -132,11 +132,16 @@ def scaled_medians(
 
 
 def separation(medians: DataFrame, label: str = "label", benign: str = BENIGN) -> DataFrame:
-    """|median - benign median| / (|benign median| + 1e-9) per attack and feature."""
-    base = medians.where(col(label) == benign).select("feature", F.col("median").alias("benign_median"))
+    """|median - benign median| / (|benign median| + 1e-9) per attack and feature.
+
+    The benign row is found by a window over the few medians of a feature, so they
+    are computed once.
+    """
+    of_feature = Window.partitionBy("feature")
+    base = F.max(F.when(col(label) == benign, F.col("median"))).over(of_feature)
     return (
-        medians.where(col(label) != benign)
-        .join(base, "feature")
+        medians.withColumn("benign_median", base)
+        .where(col(label) != benign)
         .select(
             col(label).alias("attack"),
             "feature",

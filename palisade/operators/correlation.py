@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from palisade.functions.numeric import col, finite
 
-# Up to this many pairs are one JVM aggregate; wider tables use block products.
-EXPRESSION_PAIRS = 120
+# Up to this many pairs are one JVM aggregate.  Beyond that the generated code of the
+# aggregate grows too long to be compiled, and matrix products are faster.
+EXPRESSION_PAIRS = 6
 
 
 def pearson(df: DataFrame, features: Sequence[str], method: str = "auto") -> DataFrame:

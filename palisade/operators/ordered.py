@@ -51,21 +51,33 @@ def prefix_sums(
     order: Sequence[Column],
     slot: Column,
     group: Sequence[str] = (),
+    totals: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Add inclusive running sums of ``sums`` along ``order`` within ``group``.
 
     ``slot`` must not decrease along ``order``; rows that tie on ``order`` are
-    numbered arbitrarily, so make the order total where that matters.
+    numbered arbitrarily, so make the order total where that matters.  ``totals``
+    maps a sum to the name of a column for its total over the group.
+
+    The sums before each slot are computed first and, when few enough, broadcast;
+    then the data is shuffled once, by (group, slot).
     """
     group = list(group)
     inputs = {f"__in_{i}": (name, value) for i, (name, value) in enumerate(sums.items())}
     rows = df.withColumns({_SLOT: slot, **{key: value for key, (_, value) in inputs.items()}})
-    totals = rows.groupBy(*group, _SLOT).agg(*[F.sum(key).alias(f"__t{key}") for key in inputs])
+    per_slot = rows.groupBy(*group, _SLOT).agg(*[F.sum(key).alias(f"__t{key}") for key in inputs])
     before = Window.partitionBy(*group).orderBy(_SLOT).rowsBetween(Window.unboundedPreceding, -1)
-    carried = totals.select(
-        *group,
-        _SLOT,
-        *[F.coalesce(F.sum(f"__t{key}").over(before), F.lit(0)).alias(f"__c{key}") for key in inputs],
+    wanted = {name: key for key, (name, _) in inputs.items()}
+    carried, _ = sized_broadcast(
+        per_slot.select(
+            *group,
+            _SLOT,
+            *[F.coalesce(F.sum(f"__t{key}").over(before), F.lit(0)).alias(f"__c{key}") for key in inputs],
+            *[
+                F.sum(f"__t{wanted[name]}").over(Window.partitionBy(*group)).alias(total)
+                for name, total in (totals or {}).items()
+            ],
+        )
     )
     inside = (
         Window.partitionBy(*group, _SLOT).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
@@ -85,9 +97,12 @@ def positions(
     slot: Column,
     group: Sequence[str] = (),
     name: str = "position",
+    size: str | None = None,
 ) -> DataFrame:
-    """Exact 1-based position of every row along ``order`` within ``group``."""
-    return prefix_sums(df, {name: F.lit(1).cast("long")}, order, slot, group)
+    """Exact 1-based position of every row along ``order`` within ``group``, and,
+    when ``size`` is named, the number of rows of the group."""
+    totals = {name: size} if size else None
+    return prefix_sums(df, {name: F.lit(1).cast("long")}, order, slot, group, totals)
 
 
 def hash_key(*keys: str) -> Column:
@@ -103,9 +118,11 @@ def hash_positions(
     tie: Sequence[Column] = (),
     digits: int = 4,
     name: str = "position",
+    size: str | None = None,
 ) -> DataFrame:
     """Positions along the hash text in column ``key``; slots are hash prefixes."""
-    return positions(df, [F.col(key), *tie], F.substring(F.col(key), 1, digits), group, name)
+    slot = F.substring(F.col(key), 1, digits)
+    return positions(df, [F.col(key), *tie], slot, group, name, size)
 
 
 def rolling(

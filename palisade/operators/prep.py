@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from palisade.functions.flows import BENIGN
 from palisade.functions.numeric import col, finite
-from palisade.operators.ordered import attach, hash_key, hash_positions, sized_broadcast
+from palisade.operators.ordered import hash_key, hash_positions, sized_broadcast
 
 
 def drop_present(df: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -162,14 +162,6 @@ def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
 # ---- samples and splits -----------------------------------------------------
 
 
-def _keyed(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    return df.withColumn("__hash", hash_key(*key))
-
-
-def _ties(key: Sequence[str]) -> list[Column]:
-    return [F.col(k) for k in key]
-
-
 def hash_fraction(*key: str) -> Column:
     """Repeatable number in [0, 1) from the key columns."""
     return F.conv(F.substring(hash_key(*key), 1, 8), 16, 10).cast("double") / F.lit(float(2**32))
@@ -182,14 +174,9 @@ def sample(df: DataFrame, fraction: float, key: Sequence[str]) -> DataFrame:
 
 def _with_place(df: DataFrame, key: Sequence[str], group: Sequence[str], digits: int) -> DataFrame:
     """Position by key hash within the group, and the size of the group."""
-    keyed = _keyed(df, key)
-    sizes = keyed.groupBy(*group).agg(F.count("*").alias("__size"))
-    placed = hash_positions(keyed, "__hash", group, _ties(key), digits, "__place")
-    if not group:
-        sizes, _ = sized_broadcast(sizes)
-        return attach(placed, sizes, [])
-    sizes, _ = sized_broadcast(sizes)
-    return attach(placed, sizes, list(group))
+    keyed = df.withColumn("__hash", hash_key(*key))
+    ties = [F.col(k) for k in key]
+    return hash_positions(keyed, "__hash", group, ties, digits, "__place", "__size")
 
 
 def stratified_sample(

@@ -1,7 +1,7 @@
 """Exact quantiles with linear interpolation.
 
 Spark's ``percentile`` buffers the distinct values of a group in one task, which
-is right for inputs of a known, small size and wrong for a feature column of a
+(after counting equal values) is right for inputs of a known, small size and wrong for a feature column of a
 huge flow table.  ``quantiles`` checks the size estimate and otherwise narrows
 the requested ranks in three passes of map-side combined counts: coarse slots,
 fine slots inside the slots that hold a requested rank, then the values inside
@@ -42,7 +42,14 @@ def quantiles(
     probabilities = [float(p) for p in probabilities]
     if method == "buffered":
         probs = F.array(*[F.lit(p) for p in probabilities])
-        return df.groupBy(*group).agg(F.percentile(finite(value), probs).alias(name))
+        counts = (
+            df.select(*[col(g) for g in group], finite(value).alias("__v"))
+            .groupBy(*group, "__v")
+            .agg(F.count("*").alias("__n"))
+        )
+        return counts.groupBy(*group).agg(
+            F.percentile(F.col("__v"), probs, F.col("__n")).alias(name)
+        )
     return _by_ranks(df, finite(value), probabilities, list(group), name)
 
 
