@@ -1,7 +1,7 @@
 """Headline queries on one directory of tables; prints one JSON line.
 
 BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default: all cores).
-Each query runs once to warm up and then BENCH_RUNS times (default 2); the
+Each query runs once to warm up and then BENCH_RUNS times (default 1); the
 median is reported.  Results are consumed by the ``noop`` sink.
 """
 
@@ -43,7 +43,7 @@ HEADLINE = [
 def main() -> None:
     directory = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", os.cpu_count() or 4))
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "1"))
     spark = build_session(
         "palisade-bench",
         f"local[{cpus}]",

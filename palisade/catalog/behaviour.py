@@ -339,8 +339,8 @@ def _(t):
 
 @query(
     "b25_corrected_periods",
-    """SELECT lower(c_name) AS "user", CASE WHEN c_mktsegment = 'MACHINERY' THEN NULL
-  WHEN c_name = 'Customer#000000002' THEN '2011-04-21' ELSE CAST(DATE '2010-01-01' + CAST(c_nationkey AS INTEGER) AS VARCHAR) END AS start_date,
+    """SELECT lower(c_name) AS "user", CASE WHEN c_name = 'Customer#000000002' THEN '2011-04-21'
+  WHEN c_mktsegment = 'MACHINERY' THEN NULL ELSE CAST(DATE '2010-01-01' + CAST(c_nationkey AS INTEGER) AS VARCHAR) END AS start_date,
   CAST(DATE '2010-02-01' + CAST(c_nationkey AS INTEGER) AS VARCHAR) AS end_date
   FROM customer WHERE c_mktsegment <> 'BUILDING'""",
 )

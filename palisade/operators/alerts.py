@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -134,6 +134,67 @@ def alert_rows(df: DataFrame, endpoint: str, when: str, status: str | None = Non
 
 # ---- cooldown ---------------------------------------------------------------
 
+_LONG_AGO = -(2**62)
+_NOTHING = object()
+
+
+def _same(a, b) -> bool:
+    return a == b or (a is not _NOTHING and b is not _NOTHING and pd.isna(a) and pd.isna(b))
+
+
+def _by_group(df: DataFrame, keys: Sequence[str], order: Sequence) -> DataFrame:
+    """Rows of a group in one partition, next to each other and in order."""
+    return df.repartition(*keys).sortWithinPartitions(*keys, *order)
+
+
+def _runs(frame: pd.DataFrame, keys: Sequence[str]) -> Iterator[tuple[int, int]]:
+    """Row ranges of equal keys in a sorted frame."""
+    if frame.empty:
+        return
+    changed = np.zeros(len(frame) - 1, dtype=bool)
+    for key in keys:
+        codes = pd.factorize(frame[key], use_na_sentinel=True)[0]
+        changed |= codes[1:] != codes[:-1]
+    edges = [0, *(np.flatnonzero(changed) + 1), len(frame)]
+    yield from zip(edges, edges[1:])
+
+
+def _whole_groups(batches: Iterator[pd.DataFrame], keys: Sequence[str]) -> Iterator[pd.DataFrame]:
+    """Sorted batches regrouped so that no group is cut; one group is held at most."""
+    held: list[pd.DataFrame] = []
+    for batch in batches:
+        if batch.empty:
+            continue
+        *_, (last, _) = _runs(batch, keys)
+        if last > 0:
+            yield pd.concat([*held, batch.iloc[:last]], ignore_index=True)
+            held = [batch.iloc[last:]]
+        elif held and not all(_same(held[-1][k].iat[-1], batch[k].iat[0]) for k in keys):
+            yield pd.concat(held, ignore_index=True)
+            held = [batch]
+        else:
+            held.append(batch)
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
+def _block_table(us: np.ndarray, reach: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """First alert taken in a block -> last alert fired in it.
+
+    ``us`` is sorted and distinct.  Only alerts before ``reach`` (block start plus
+    cooldown) and the one after them can be the first; runs with the same outcome
+    are kept as their last entry.
+    """
+    after = np.searchsorted(us, us + width, side="left")
+    last = np.arange(len(us))
+    for i in range(len(us) - 1, -1, -1):
+        if after[i] < len(us):
+            last[i] = last[after[i]]
+    entries = min(int(np.searchsorted(us, reach, side="left")) + 1, len(us))
+    exits = us[last[:entries]]
+    ends = np.append(exits[1:] != exits[:-1], True)
+    return us[:entries][ends], exits[ends]
+
 
 def cooldown(
     df: DataFrame,
@@ -154,73 +215,79 @@ def cooldown(
     start.  No task ever holds all alerts of a key.
     """
     width = int(round(seconds * 1_000_000))
-    stamped = df.withColumn("__us", F.unix_micros(col(when).cast("timestamp")))
+    # Text keys survive the trip through pandas unchanged, whatever their type.
+    stamped = df.withColumns(
+        {"__us": F.unix_micros(col(when).cast("timestamp")), "__key": col(key).cast("string")}
+    )
     if width <= 0:
-        return stamped.withColumn(name, F.lit(True)).drop("__us")
+        return stamped.withColumn(name, F.lit(True)).drop("__us", "__key")
     block = int(round((block_seconds or max(seconds * 64, 3600.0)) * 1_000_000))
     block = max(block, width)
-    keyed = stamped.select(col(key).alias("__key"), "__us").where("__us IS NOT NULL").distinct()
-    times = keyed.withColumn("__block", F.floor(F.col("__us") / F.lit(block)).cast("long"))
-    key_type = times.schema["__key"].dataType.simpleString()
-
-    def reduce_block(group: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        us = np.sort(pdf["__us"].to_numpy())
-        after = np.searchsorted(us, us + width, side="left")
-        last = np.arange(len(us))
-        for i in range(len(us) - 1, -1, -1):
-            if after[i] < len(us):
-                last[i] = last[after[i]]
-        entries = int(np.searchsorted(us, group[1] * block + width, side="left")) + 1
-        entries = min(entries, len(us))
-        exits = us[last[:entries]]
-        ends = np.append(exits[1:] != exits[:-1], True)
-        return pd.DataFrame(
-            {"__key": [group[0]], "__block": [group[1]], "entry": [us[:entries][ends]], "exit": [exits[ends]]}
-        )
-
-    tables = times.groupBy("__key", "__block").applyInPandas(
-        reduce_block, f"__key {key_type}, __block long, entry array<long>, exit array<long>"
+    times = (
+        stamped.select("__key", "__us")
+        .where("__us IS NOT NULL")
+        .distinct()
+        .withColumn("__block", F.floor(F.col("__us") / F.lit(block)).cast("long"))
     )
 
-    def chain(group: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("__block")
-        ready, starts = None, []
-        for entry, leave in zip(pdf["entry"], pdf["exit"]):
-            starts.append(entry[0] if ready is None else ready)
-            at = 0 if ready is None else int(np.searchsorted(entry, ready, side="left"))
-            if at < len(entry):
-                ready = int(leave[at]) + width
-        first = pdf["__block"].iloc[0]
-        return pd.DataFrame(
-            {
-                "__key": [group[0]] * len(pdf),
-                "__block": pdf["__block"].to_numpy(),
-                "__ready": [-(2**62) if b == first else s for b, s in zip(pdf["__block"], starts)],
-            }
-        )
+    def reduce_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in _whole_groups(batches, ["__key", "__block"]):
+            rows = []
+            for first, last in _runs(frame, ["__key", "__block"]):
+                us = frame["__us"].to_numpy()[first:last]
+                number = frame["__block"].iat[first]
+                entry, leave = _block_table(us, int(number) * block + width, width)
+                rows.append((frame["__key"].iat[first], number, entry, leave))
+            yield pd.DataFrame(rows, columns=["__key", "__block", "entry", "exit"])
+
+    tables = _by_group(times, ["__key", "__block"], ["__us"]).mapInPandas(
+        reduce_blocks, "__key string, __block long, entry array<long>, exit array<long>"
+    )
 
-    starts = tables.groupBy("__key").applyInPandas(chain, f"__key {key_type}, __block long, __ready long")
+    def chain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        current, ready = _NOTHING, _LONG_AGO
+        for frame in batches:
+            starts = []
+            for owner, entry, leave in zip(frame["__key"], frame["entry"], frame["exit"]):
+                if not _same(owner, current):
+                    current, ready = owner, _LONG_AGO
+                starts.append(ready)
+                at = int(np.searchsorted(entry, ready, side="left"))
+                if at < len(entry):
+                    ready = int(leave[at]) + width
+            yield pd.DataFrame(
+                {"__key": frame["__key"], "__block": frame["__block"], "__us": starts, "__start": True}
+            )
 
-    def walk(group: tuple, alerts: pd.DataFrame, start: pd.DataFrame) -> pd.DataFrame:
-        us = np.sort(alerts["__us"].to_numpy())
-        fired = []
-        at = int(np.searchsorted(us, start["__ready"].iloc[0], side="left"))
-        while at < len(us):
-            fired.append(us[at])
-            at = int(np.searchsorted(us, us[at] + width, side="left"))
-        return pd.DataFrame({"__key": [group[0]] * len(fired), "__us": np.array(fired, dtype="int64")})
+    markers = _by_group(tables, ["__key"], ["__block"]).mapInPandas(
+        chain, "__key string, __block long, __us long, __start boolean"
+    )
 
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ready = _LONG_AGO
+        for frame in batches:
+            hit = np.zeros(len(frame), dtype=bool)
+            moments, marks = frame["__us"].to_numpy(), frame["__start"].to_numpy()
+            for i in range(len(frame)):
+                if marks[i]:
+                    ready = moments[i]
+                elif moments[i] >= ready:
+                    hit[i], ready = True, moments[i] + width
+            yield frame.loc[hit, ["__key", "__us"]]
+
+    # The start of a block is a marker row that sorts before the block's alerts, so
+    # blocks and starts meet in one shuffle.
+    marked_times = times.withColumn("__start", F.lit(False)).unionByName(markers)
     fired = (
-        times.groupBy("__key", "__block")
-        .cogroup(starts.groupBy("__key", "__block"))
-        .applyInPandas(walk, f"__key {key_type}, __us long")
-        .select(F.col("__key").alias(key), "__us", F.lit(True).alias("__hit"))
+        _by_group(marked_times, ["__key", "__block"], [F.desc("__start"), F.col("__us")])
+        .mapInPandas(walk, "__key string, __us long")
+        .withColumn("__hit", F.lit(True))
     )
-    place = F.row_number().over(Window.partitionBy(key, "__us").orderBy(*[col(t) for t in tie or [when]]))
-    marked = attach(stamped.withColumn("__place", place), fired, [key, "__us"], "left")
+    place = F.row_number().over(Window.partitionBy("__key", "__us").orderBy(*[col(t) for t in tie or [when]]))
+    marked = attach(stamped.withColumn("__place", place), fired, ["__key", "__us"], "left")
     return marked.withColumn(
         name, F.coalesce(F.col("__hit"), F.lit(False)) & (F.col("__place") == 1)
-    ).drop("__us", "__place", "__hit")
+    ).drop("__us", "__key", "__place", "__hit")
 
 
 def state_changes(df: DataFrame, alarm: Sequence[str], when: str, breached: Column) -> DataFrame:
