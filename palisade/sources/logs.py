@@ -41,13 +41,16 @@ LOG_SCHEMAS = {
 PARTITION_PARTS = {"year": 1, "month": 2, "day": 3}
 
 
-def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str | list[str], schema: T.StructType, multiline: bool = False
+) -> DataFrame:
     """CSV with a header; ``schema`` names the wanted columns in any order.
 
     The header is read first (a handful of bytes), so columns are matched by name
     and the declared types are used without an inference pass over the data.
+    ``multiline`` allows line breaks inside quotes, at the price of one task per file.
     """
-    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+    reader = spark.read.option("header", True).option("multiLine", multiline).option("escape", '"')
     names = reader.option("inferSchema", False).csv(path).columns
     types = {f.name.strip().lower(): f.dataType for f in schema}
     full = T.StructType([T.StructField(n, types.get(n.strip().lower(), _TEXT)) for n in names])
@@ -104,9 +107,9 @@ def write_layer(
 ) -> None:
     """Parquet table; an existing one is replaced or, by default, left alone.
 
-    Rows are clustered by the partition columns plus a random salt-free rebalance,
-    so one day does not become thousands of small files nor one huge task:
-    adaptive execution splits a partition that grows beyond the advisory size.
+    Rows are rebalanced by the partition columns, so that one day becomes neither
+    thousands of small files nor one huge task: adaptive execution splits a
+    partition that grows beyond the advisory size.
     """
     if partitions:
         df = df.hint("rebalance", *[F.col(p) for p in partitions])
