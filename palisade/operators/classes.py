@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from palisade.functions.flows import BENIGN, attack_family
-from palisade.functions.numeric import col
+from palisade.functions.numeric import clip, col, finite
 from palisade.operators.profile import clipped_long, long_form, scaled_share
 from palisade.operators.quantiles import quantile_columns
 from palisade.session import fits_in_buffers
@@ -104,8 +104,23 @@ def class_medians(
 ) -> DataFrame:
     """Median per class and feature of the values clipped to p1..p99."""
     method = _method(df, method)
-    rows = clipped_long(df, features, [label], method=method)
-    return quantile_columns(rows, "value", {"median": 0.5}, [label, "feature"], method)
+    if method == "ranks":
+        rows = clipped_long(df, features, [label], method=method)
+        return quantile_columns(rows, "value", {"median": 0.5}, [label, "feature"], method)
+    # Equal values are counted once; bounds and medians both start from the counts.
+    counts = (
+        long_form(df, features, [label])
+        .groupBy(label, "feature", finite("value").alias("value"))
+        .agg(F.count("*").alias("n"))
+    )
+    ends = F.percentile(F.col("value"), F.array(F.lit(0.01), F.lit(0.99)), F.col("n"))
+    bounds = counts.groupBy("feature").agg(ends.alias("ends"))
+    clipped = clip("value", F.col("ends")[0], F.col("ends")[1])
+    return (
+        counts.join(F.broadcast(bounds), "feature")
+        .groupBy(label, "feature")
+        .agg(F.percentile(clipped, F.lit(0.5), F.col("n")).alias("median"))
+    )
 
 
 def scaled_medians(
