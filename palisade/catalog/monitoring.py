@@ -72,8 +72,8 @@ def _(t):
 
 @query(
     "g07_published_metrics",
-    f"WITH {REPORT} SELECT 'NIDS/DriftDetection' AS namespace, user_id, 'DriftRatePct' AS metric, {num('events * 100.0 / samples', 'value', 2)}, 'Percent' AS unit FROM tot "
-    f"UNION ALL SELECT 'NIDS/DriftDetection', user_id, 'MeanMSE', {num('mean', 'value')}, 'None' FROM tot",
+    f"WITH {REPORT} SELECT 'DriftDetection' AS namespace, user_id, 'DriftRatePct' AS metric, {num('events * 100.0 / samples', 'value', 2)}, 'Percent' AS unit FROM tot "
+    f"UNION ALL SELECT 'DriftDetection', user_id, 'MeanMSE', {num('mean', 'value')}, 'None' FROM tot",
 )
 def _(t):
     return plain(D.published_metrics(report(t), ["user_id"]))

@@ -88,7 +88,7 @@ def drift_report(
     return totals.join(events, list(series), "left").withColumns({"window_size": F.lit(width), "z_threshold": F.lit(limit)})
 
 
-def published_metrics(report: DataFrame, series: Sequence[str], namespace: str = "NIDS/DriftDetection") -> DataFrame:
+def published_metrics(report: DataFrame, series: Sequence[str], namespace: str = "DriftDetection") -> DataFrame:
     """Report totals as (namespace, metric, value, unit) rows per series."""
     entries = F.array(
         F.struct(F.lit("DriftRatePct").alias("metric"), F.col("drift_rate_pct").alias("value"), F.lit("Percent").alias("unit")),
