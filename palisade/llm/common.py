@@ -23,7 +23,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    result = df.sparkSession.read.schema(df.schema).parquet(path)
+    result.stored_at = path
+    return result
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``stored`` wrote and nothing will read again."""
+    for df in tables:
+        context = df.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def words_of(text: Column) -> Column:

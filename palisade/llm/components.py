@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palisade.llm.common import stored
+from palisade.llm.common import discard, stored
 
 
 def _least(edges: DataFrame) -> DataFrame:
@@ -31,13 +31,14 @@ def components(edges: DataFrame) -> DataFrame:
         both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         large = both.join(_least(both), "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         small = large.join(_least(large), "a")
-        current = stored(
+        last, current = current, stored(
             small.select(F.col("b").alias("a"), F.col("m").alias("b"))
             .unionByName(small.select("a", F.col("m").alias("b")))
             .where("a <> b")
             .distinct(),
             "edges",
         )
+        discard(last)
         seen = current.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if seen == summary:
             break

@@ -21,21 +21,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from palisade.llm.common import stored, word_texts
+from palisade.llm.common import discard, stored, word_texts
 from palisade.llm.components import components
 
 SHINGLE = 5
 LEAF = 64
 FANOUT = 16
-BITS = 2048
+BITS = 1024
 WORDS = BITS // 64
 # Frequent tokens: seen in FREQUENT or more of the documents sampled one in SAMPLE.
 SAMPLE, FREQUENT, MOST_FREQUENT = 16, 4, 1 << 18
 SALTS = 16
-ROUNDS = 3
+PARTNERS = 3
 
 
 def needed(a, b):
@@ -71,6 +71,24 @@ def signature(tokens: np.ndarray) -> np.ndarray:
     return np.packbits(bits, bitorder="little").view("<u8")
 
 
+def wide_bitmap(tokens: np.ndarray) -> bytes:
+    """Token bitmap with eight to sixteen bits for each token, a power of two in all."""
+    size = max(BITS, 1 << (8 * max(len(tokens), 1) - 1).bit_length())
+    bits = np.zeros(size, dtype=np.uint8)
+    bits[(tokens >> np.uint64(17)).astype(np.int64) % size] = 1
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def wide_bound(a: bytes, n: int, b: bytes, m: int) -> int:
+    """Largest possible overlap of two sets of ``n`` and ``m`` tokens by wide bitmaps; the
+    longer bitmap is folded to the length of the shorter."""
+    x, y = np.frombuffer(a, dtype=np.uint64), np.frombuffer(b, dtype=np.uint64)
+    size = min(len(x), len(y))
+    x, y = (np.bitwise_or.reduce(z.reshape(-1, size), axis=0) for z in (x, y))
+    count = lambda z: int(np.bitwise_count(z).sum())
+    return count(x & y) + min(n - count(x), m - count(y))
+
+
 def prefix(tokens: np.ndarray, frequent: np.ndarray, rank: np.ndarray) -> np.ndarray:
     """The tokens of which a linked set must share one; frequent ones come last."""
     n = len(tokens)
@@ -230,15 +248,38 @@ def _forest(postings: DataFrame, frequent: np.ndarray) -> DataFrame:
         .select("tree", F.lit(0).cast("long").alias("idx"), "ids", "sizes", F.lit(None).cast("long").alias("after"), "weight")
     )
     rest = found.where("NOT single").select("tree", "idx", "ids", "sizes", "after", F.lit(1).cast("long").alias("weight"))
-    return stored(same.unionByName(rest), "forest")
+    forest = stored(same.unionByName(rest), "forest")
+    discard(found)
+    return forest
+
 
+def _decided(pairs: DataFrame, sets: DataFrame, signed: DataFrame) -> DataFrame:
+    """The pairs (a, b) that link: those the wide bitmaps allow, decided on whole sets."""
+    of = lambda c: signed.select(F.col("id").alias(c), F.col("n").alias(f"n{c}"), F.col("wide").alias(f"w{c}"))
 
-def _decided(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that link, decided on their whole sets."""
-    x = sets.select(F.col("id").alias("a"), F.col("tokens").alias("x"))
-    y = sets.select(F.col("id").alias("b"), F.col("tokens").alias("y"))
+    def allowed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for low in range(0, whole.num_rows, 500):
+                b = whole.slice(low, 500)
+                n, m = b.column(2).to_pylist(), b.column(4).to_pylist()
+                keep = [
+                    wide_bound(x, i, y, j) >= needed(i, j)
+                    for x, i, y, j in zip(b.column(3).to_pylist(), n, b.column(5).to_pylist(), m, strict=True)
+                ]
+                yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    may = pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "na", "wa", "nb", "wb").mapInArrow(allowed, "a long, b long")
+    may = stored(may, "pairs")
+    # Stored, so that Spark knows how few sets are asked for before it moves any.
+    ids = stored(may.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "asked")
+    asked = sets.join(ids, "id", "left_semi")
+    x = asked.select(F.col("id").alias("a"), F.col("tokens").alias("x"))
+    y = asked.select(F.col("id").alias("b"), F.col("tokens").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
-    return pairs.join(x, "a").join(y, "b").where(both * 100 >= 75 * (F.size("x") + F.size("y") - both)).select("a", "b")
+    links = may.join(x, "a").join(y, "b").where(both * 100 >= 75 * (F.size("x") + F.size("y") - both)).select("a", "b")
+    links = stored(links, "links")
+    discard(may, ids)
+    return links
 
 
 def _neighbours(forest: DataFrame) -> DataFrame:
@@ -258,7 +299,7 @@ def _neighbours(forest: DataFrame) -> DataFrame:
 
 
 def _signed(sets: DataFrame) -> DataFrame:
-    """(id, extra, bits): bitmap and number of tokens beyond its set bits."""
+    """(id, extra, bits, n, wide): bitmap, tokens beyond its set bits, all tokens, wide bitmap."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -268,10 +309,10 @@ def _signed(sets: DataFrame) -> DataFrame:
                 bits = [signature(t) for t in tokens]
                 extra = [len(t) - int(np.bitwise_count(s).sum()) for t, s in zip(tokens, bits, strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0), pa.array(extra, pa.int32()), pa.array([s.view(np.int64) for s in bits], pa.list_(pa.int64()))], names=["id", "extra", "bits"]
+                    [b.column(0), pa.array(extra, pa.int32()), pa.array([s.view(np.int64) for s in bits], pa.list_(pa.int64())), pa.array([len(t) for t in tokens], pa.int32()), pa.array([wide_bitmap(t) for t in tokens], pa.binary())], names=["id", "extra", "bits", "n", "wide"]
                 )
 
-    return sets.select("id", "tokens").mapInArrow(run, "id long, extra int, bits array<long>")
+    return sets.select("id", "tokens").mapInArrow(run, "id long, extra int, bits array<long>, n int, wide binary")
 
 
 _MEMBER = "array<struct<n:int,id:long,comp:long,extra:int,bits:array<long>>>"
@@ -302,27 +343,29 @@ def _open(a, b, same: bool):
 
 
 def _partners(leaves: DataFrame) -> DataFrame:
-    """For every document the one in its leaves with the largest possible overlap, as a
-    share of the overlap needed, among those it may link to: at most a pair each."""
+    """For every document the PARTNERS in its leaves with the largest possible overlap,
+    as a share of the overlap needed, among those it may link to."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for low in range(0, whole.num_rows, 100):
-                out: list[tuple] = []
+                out: list[list] = [[], [], []]
                 for m in whole.slice(low, 100).column(0).to_pylist():
                     most, fits = _compared(m, m, True)
-                    n = np.array([x["n"] for x in m])
+                    ids, n = np.array([x["id"] for x in m]), np.array([x["n"] for x in m])
                     share = np.where(fits, most / np.maximum(needed(n[:, None], n[None, :]), 1), 0.0)
-                    at = share.argmax(axis=1)
-                    out += [(m[i]["id"], m[j]["id"], share[i, j]) for i, j in enumerate(at.tolist()) if fits[i, j]]
-                c = list(zip(*out, strict=True)) if out else [(), (), ()]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c[0], pa.int64()), pa.array(c[1], pa.int64()), pa.array(c[2], pa.float64())], names=["b", "a", "w"]
-                )
+                    at = np.argsort(-share, axis=1, kind="stable")[:, :PARTNERS]
+                    value = np.take_along_axis(share, at, axis=1)
+                    i, j = np.nonzero(value > 0)
+                    for column, values in zip(out, (ids[i], ids[at[i, j]], value[i, j]), strict=True):
+                        column += values.tolist()
+                kinds = (pa.int64(), pa.int64(), pa.float64())
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=["b", "a", "w"])
 
-    each = leaves.select("left").mapInArrow(run, "b long, a long, w double")
-    best = each.groupBy("b").agg(F.max(F.struct("w", "a")).alias("m"))
-    return best.select(F.least("m.a", "b").alias("a"), F.greatest("m.a", "b").alias("b")).distinct()
+    each = leaves.select("left").mapInArrow(run, "b long, a long, w double").groupBy("b", "a").agg(F.max("w").alias("w"))
+    rank = F.row_number().over(Window.partitionBy("b").orderBy(F.desc("w"), "a"))
+    best = each.withColumn("rank", rank).where(F.col("rank") <= PARTNERS)
+    return best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _opened(leaves: DataFrame) -> DataFrame:
@@ -397,13 +440,13 @@ def _live(forest: DataFrame, signed: DataFrame, linked: DataFrame) -> DataFrame:
         "placed",
     )
     trees = placed.groupBy("tree").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.max("idx").alias("top"))
-    live = placed.join(trees.where("c0 < c1").select("tree", "top"), "tree").join(signed, "id")
-    return stored(
-        live.groupBy("tree", "idx", "top").agg(
-            F.sort_array(F.collect_list(F.struct("n", "id", "comp", "extra", "bits"))).cast(_MEMBER).alias("left")
-        ),
-        "live",
+    live = placed.join(trees.where("c0 < c1").select("tree", "top"), "tree").join(signed.select("id", "extra", "bits"), "id")
+    leaves = live.groupBy("tree", "idx", "top").agg(
+        F.sort_array(F.collect_list(F.struct("n", "id", "comp", "extra", "bits"))).cast(_MEMBER).alias("left")
     )
+    leaves = stored(leaves, "live")
+    discard(placed)
+    return leaves
 
 
 def _undecided(leaves: DataFrame) -> DataFrame:
@@ -447,13 +490,10 @@ def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     source = _sources(df, id_col, text_col)
     frequent = _frequent(source)
     rows = stored(_described(source, frequent), "described")
-    classes = stored(
-        rows.where("key IS NOT NULL AND id IS NOT NULL").groupBy("key").agg(
-            F.min("id").alias("id"), F.first("n").cast("int").alias("n"), F.first("prefix", ignorenulls=True).alias("prefix")
-        ),
-        "classes",
-    )
-    postings = classes.select(F.explode("prefix").alias("token"), "id", "n")
+    known = rows.where("key IS NOT NULL AND id IS NOT NULL")
+    postings = known.groupBy("key").agg(
+        F.min("id").alias("id"), F.first("n").cast("int").alias("n"), F.first("prefix", ignorenulls=True).alias("prefix")
+    ).select(F.explode("prefix").alias("token"), "id", "n")
     forest = _forest(postings, frequent)
     wanted = forest.select(F.explode("ids").alias("id")).distinct()
 
@@ -464,17 +504,18 @@ def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
     run, schema = _per_batch(make, "id long, tokens array<long>")
     sets = stored(source.join(wanted, "id", "left_semi").mapInArrow(run, schema), "sets")
-    linked = stored(components(_decided(_neighbours(forest), sets)), "linked")
     signed = stored(_signed(sets), "signed")
-    # Each round joins components through their documents' best partners; few remain.
-    for _ in range(ROUNDS):
-        best = stored(_decided(_partners(_live(forest, signed, linked)), sets), "links")
-        if best.isEmpty():
-            break
-        linked = _merged(linked, best)
+    linked = stored(components(_decided(_neighbours(forest), sets, signed)), "linked")
+    # Components grow through their documents' best partners; few remain to be compared.
+    live = _live(forest, signed, linked)
+    linked = _merged(linked, _decided(_partners(live), sets, signed))
+    discard(live)
     # Whatever may still link, all of it.
-    linked = _merged(linked, stored(_decided(_undecided(_live(forest, signed, linked)), sets), "links"))
-    final = classes.select("key", "id").join(linked.withColumnRenamed("node", "id"), "id", "left").select(
+    live = _live(forest, signed, linked)
+    linked = _merged(linked, _decided(_undecided(live), sets, signed))
+    discard(live, sets, signed, forest)
+    classes = known.groupBy("key").agg(F.min("id").alias("id"))
+    final = classes.join(linked.withColumnRenamed("node", "id"), "id", "left").select(
         "key", F.coalesce("component", "id").alias("group")
     )
     # A copy's id may be larger or smaller than other members': the smallest id of the
