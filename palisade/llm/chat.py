@@ -103,7 +103,7 @@ def link(calls: DataFrame, results: DataFrame, fields: list[Field]) -> DataFrame
     rows = rows.select(
         "conv", "call", "turn", "depth", F.coalesce("matched", F.lit(False)).alias("matched"), errors.alias("errors"), body.alias("json")
     )
-    part = F.struct("depth", F.floor(F.col("turn") / ORDER_BLOCK).alias("block"))
+    part = F.struct(F.coalesce("depth", F.lit(2**31 - 1)).alias("depth"), F.floor(F.col("turn") / ORDER_BLOCK).alias("block"))
     return numbered(rows, "conv", ["turn", "call"], "position", part, 1).withColumn(
         "position", F.when(F.col("depth").isNotNull(), F.col("position"))
     )

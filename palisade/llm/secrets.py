@@ -40,6 +40,8 @@ ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-.
 SAMPLE_DOCUMENTS = 2000
 # A token is a secret when the ratio exceeds this many nats in all and per step.
 MIN_TOTAL, MIN_STEP = 12.0, 0.5
+# Weight of single characters against counted transitions.
+BACKOFF = 10.0
 
 
 def _spans(text: Column, pattern: str) -> Column:
@@ -136,14 +138,17 @@ def fit(samples: DataFrame, smoothing: float = 0.5) -> list[float]:
     rows = samples.select("random", F.explode(_steps(F.col("token"))).alias("step")).groupBy("random", "step").count()
     for r in rows.collect():  # bounded by the alphabet
         counts[bool(r["random"])][r["step"]] = float(r["count"])
+    # A chain falls back on how common the next character is: a transition from a
+    # character never seen is then as rare as its end.
+    alone = {}
+    for k, v in counts.items():
+        ends = [sum(v[b::size]) + smoothing for b in range(size)]
+        alone[k] = [x / sum(ends) for x in ends]
     ratio = []
     for a in range(size):
         row = {k: v[a * size : (a + 1) * size] for k, v in counts.items()}
-        total = {k: sum(v) + smoothing * size for k, v in row.items()}
-        ratio += [
-            math.log((row[True][b] + smoothing) / total[True]) - math.log((row[False][b] + smoothing) / total[False])
-            for b in range(size)
-        ]
+        chance = {k: [(x + BACKOFF * p) / (sum(r) + BACKOFF) for x, p in zip(r, alone[k], strict=True)] for k, r in row.items()}
+        ratio += [math.log(x) - math.log(y) for x, y in zip(chance[True], chance[False], strict=True)]
     return ratio
 
 

@@ -97,10 +97,11 @@ def fit_ordinal(rows: list[list[str]], grades: np.ndarray, n_grades: int, penalt
     """Fit on feature sets: an L1 fit selects features, a second fit on those alone,
     with a fortieth of the penalty, undoes its shrinkage.
 
-    Without rows, or with a single grade, there are no weights and the cuts give the
-    observed shares.
+    With a single grade there are no weights and the cuts give the observed shares;
+    without rows grade 0 is taken for the usual one.
     """
     share = np.bincount(grades, minlength=n_grades) + 0.5
+    share[0] += 0 if len(grades) else 100
     cumulative = np.clip(np.cumsum(share / share.sum())[:-1], 1e-6, 1 - 1e-6)
     cuts = np.log(cumulative / (1 - cumulative))
     if len(set(grades.tolist())) < 2:
