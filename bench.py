@@ -11,12 +11,15 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from palisade.catalog import QUERIES  # noqa: E402
-from palisade.session import build_session  # noqa: E402
+from palisade.session import build_session, use_scratch  # noqa: E402
+
+use_scratch(tempfile.mkdtemp(prefix="palisade-bench-"))
 
 HEADLINE = [
     "logon_features",

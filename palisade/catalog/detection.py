@@ -61,7 +61,7 @@ def _(t):
 
 @query(
     "b31_first_rows_of_label",
-    "SELECT vec_id FROM embeddings WHERE label = 7 ORDER BY vec_id LIMIT 1000",
+    "SELECT vec_id FROM embeddings WHERE label = 7 ORDER BY vec_id LIMIT 5000",
 )
 def _(t):
     return plain(M.first_of_label(I.vectors(t), "true_label", "class_7", "vec_id", 5000).select("vec_id"))
@@ -74,7 +74,7 @@ def _(t):
     + " FROM scored GROUP BY true_label",
 )
 def _(t):
-    return plain(P.error_summary(scored(t), "mse_error", ["true_label"], "buffered"), 8)
+    return plain(P.error_summary(scored(t), "mse_error", ["true_label"]), 8)
 
 
 @query(
@@ -149,7 +149,7 @@ def _(t):
     parts = []
     for fold in range(3):
         train, test = rows.where(F.col("fold") != fold), rows.where(F.col("fold") == fold)
-        limit = E.thresholds(train.where("true_label = 'BENIGN'"), "mse_error", "buffered").first()["p95"]
+        limit = E.thresholds(train.where("true_label = 'BENIGN'"), "mse_error").first()["p95"]
         flagged = test.withColumn("hot", is_anomalous("mse_error", limit))
         rates = E.error_rates(flagged, "true_label", "hot", "BENIGN")
         parts.append(rates.withColumns({"fold": F.lit(fold), "threshold": F.lit(limit)}))
@@ -263,7 +263,7 @@ _GATES = (
 
 
 def gates(t):
-    errors = P.error_summary(scored(t).where("true_label = 'BENIGN'"), "mse_error", (), "buffered")
+    errors = P.error_summary(scored(t).where("true_label = 'BENIGN'"), "mse_error")
     values = errors.unpivot([], ["mean", "p95", "p99"], "metric", "value")
     quality = E.class_quality(by_code(t)(scored(t)), "true_label", "predicted_label")
     accuracy = quality.agg(F.max("accuracy").alias("value")).select(F.lit("accuracy").alias("metric"), "value")

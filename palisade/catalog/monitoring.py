@@ -408,10 +408,10 @@ def _(t):
 @query(
     "g18_trigger_records",
     f"WITH {DETECTED} SELECT COALESCE(predicted_label, 'UNKNOWN') AS attack_type, {num('COALESCE(confidence, 0)', 'confidence')}, {num('mse', 'mse_error')}, "
-    "'2024-01-30T00:00:00' AS timestamp FROM detected",
+    "'2024-01-30T00:00:00' AS timestamp FROM detected WHERE hot",
 )
 def _(t):
-    rows = detections(t).select(F.col("predicted_label").alias("attack_type"), "confidence", "mse_error").withColumn(
+    rows = detections(t).where("is_anomalous").select(F.col("predicted_label").alias("attack_type"), "confidence", "mse_error").withColumn(
         "timestamp", F.lit(None).cast("string")
     )
     records = Q.trigger_record(rows, {"timestamp": "2024-01-30T00:00:00"})

@@ -24,7 +24,7 @@ def snapshots(
     latency_us: str,
     failed: Column,
     lookback: str = "1 hour",
-    method: str = "auto",
+    method: str = "ranks",
 ) -> DataFrame:
     """Metrics per endpoint and lookback window: calls, errors, latency statistics."""
     timed = df.withColumns({"window_start": F.window(col(when), lookback)["start"], "__failed": failed})

@@ -15,7 +15,6 @@ from palisade.functions.flows import BENIGN, attack_family
 from palisade.functions.numeric import clip, col, finite
 from palisade.operators.profile import clipped_long, long_form, scaled_share
 from palisade.operators.quantiles import quantile_columns
-from palisade.session import fits_in_buffers
 
 
 def _all():
@@ -93,17 +92,10 @@ def family_totals(df: DataFrame, label: str = "label") -> DataFrame:
 # ---- class profiles ---------------------------------------------------------
 
 
-def _method(df: DataFrame, method: str) -> str:
-    if method != "auto":
-        return method
-    return "buffered" if fits_in_buffers(df) else "ranks"
-
-
 def class_medians(
-    df: DataFrame, features: Sequence[str], label: str = "label", method: str = "auto"
+    df: DataFrame, features: Sequence[str], label: str = "label", method: str = "ranks"
 ) -> DataFrame:
     """Median per class and feature of the values clipped to p1..p99."""
-    method = _method(df, method)
     if method == "ranks":
         rows = clipped_long(df, features, [label], method=method)
         return quantile_columns(rows, "value", {"median": 0.5}, [label, "feature"], method)
@@ -124,10 +116,9 @@ def class_medians(
 
 
 def scaled_medians(
-    df: DataFrame, features: Sequence[str], label: str = "label", method: str = "auto"
+    df: DataFrame, features: Sequence[str], label: str = "label", method: str = "ranks"
 ) -> DataFrame:
     """Class medians placed in the feature's clipped range (a range of 0 counts as 1)."""
-    method = _method(df, method)
     ranges = (
         clipped_long(df, features, method=method)
         .groupBy("feature")
@@ -185,10 +176,9 @@ def family_medians(
     df: DataFrame,
     families: Mapping[str, Sequence[str]],
     label: str = "label",
-    method: str = "auto",
+    method: str = "ranks",
 ) -> DataFrame:
     """Median of the feature medians per class and feature family, scaled per family."""
-    method = _method(df, method)
     features = [f for members in families.values() for f in members]
     of_feature = F.create_map(
         *[F.lit(x) for name, members in families.items() for f in members for x in (f, name)]

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -12,41 +11,17 @@ from pyspark.sql import functions as F
 
 from palisade.functions.numeric import col, finite
 
-# Up to this many pairs are one JVM aggregate.  Beyond that the generated code of the
-# aggregate grows too long to be compiled, and matrix products are faster.
-EXPRESSION_PAIRS = 6
+# Below this share of the sum of squares a spread is rounding noise.
+NOISE = 1e-12
 
 
-def pearson(df: DataFrame, features: Sequence[str], method: str = "auto") -> DataFrame:
+def pearson(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """(feature_a, feature_b, r) for every pair a before b in ``features`` order.
 
     Each pair uses the rows where both values are finite; constant columns give
-    null.  ``method`` is ``auto``, ``expressions`` or ``blocks``.
+    null.
     """
-    pairs = list(combinations(range(len(features)), 2))
-    if method == "auto":
-        method = "expressions" if len(pairs) <= EXPRESSION_PAIRS else "blocks"
-    if method == "blocks":
-        return _from_blocks(df, list(features))
-    centred = _centred(df, features)
-    sums = []
-    for i, j in pairs:
-        both = F.col(f"f{i}").isNotNull() & F.col(f"f{j}").isNotNull()
-        x, y = F.when(both, F.col(f"f{i}")), F.when(both, F.col(f"f{j}"))
-        spread = F.var_pop(x) * F.var_pop(y)
-        r = F.try_divide(F.covar_pop(x, y), F.sqrt(F.when(spread > 0, spread)))
-        sums.append(
-            F.struct(
-                F.lit(features[i]).alias("feature_a"),
-                F.lit(features[j]).alias("feature_b"),
-                r.alias("r"),
-            )
-        )
-    return (
-        centred.agg(F.array(*sums).alias("pairs"))
-        .select(F.explode("pairs").alias("p"))
-        .select("p.*")
-    )
+    return _from_blocks(df, list(features))
 
 
 def _centred(df: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -61,7 +36,9 @@ def _from_blocks(df: DataFrame, features: list[str]) -> DataFrame:
     """
     width = len(features)
     table = _centred(df, features)
-    means = table.agg(*[F.avg(c).alias(c) for c in table.columns]).first()
+    # A constant column is shifted by its value, not by a rounded mean, so it becomes zero.
+    middle = lambda c: F.when(F.min(c) == F.max(c), F.min(c)).otherwise(F.avg(c))
+    means = table.agg(*[middle(c).alias(c) for c in table.columns]).first()
     shift = np.array([means[c] if means[c] is not None else 0.0 for c in table.columns])
 
     def products(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -90,11 +67,12 @@ def _from_blocks(df: DataFrame, features: list[str]) -> DataFrame:
     spread_x = F.col("xx") - F.try_divide(F.col("x") * F.col("x"), F.col("n"))
     spread_y = F.col("yy") - F.try_divide(F.col("y") * F.col("y"), F.col("n"))
     joint = F.col("xy") - F.try_divide(F.col("x") * F.col("y"), F.col("n"))
-    spread = spread_x * spread_y
+    spread = F.when((spread_x > F.col("xx") * NOISE) & (spread_y > F.col("yy") * NOISE), spread_x * spread_y)
+    r = F.try_divide(joint, F.sqrt(F.when(spread > 0, spread)))
     return sums.select(
         names[F.col("i")].alias("feature_a"),
         names[F.col("j")].alias("feature_b"),
-        F.try_divide(joint, F.sqrt(F.when(spread > 0, spread))).alias("r"),
+        F.when(r.isNotNull(), F.greatest(F.least(r, F.lit(1.0)), F.lit(-1.0))).alias("r"),
     )
 
 

@@ -118,7 +118,7 @@ def array_difference(left: DataFrame, right: DataFrame, key: str, values: str) -
     )
 
 
-def thresholds(df: DataFrame, error: str, method: str = "auto") -> DataFrame:
+def thresholds(df: DataFrame, error: str, method: str = "ranks") -> DataFrame:
     """Candidate thresholds: p95, p99 and p99.9 of the benign errors."""
     return error_summary(df, error, (), method).select("p95", "p99", "p99_9")
 

@@ -221,7 +221,7 @@ def first_trigger(detections: DataFrame, key: str, batch: Sequence[str] = ()) ->
     )
 
 
-def first_of_label(df: DataFrame, label: str, value: str, key: str, count: int = 100, most: int = 1000) -> DataFrame:
-    """First ``count`` rows (never more than ``most``) of a label in key order."""
-    return df.where(col(label) == value).orderBy(key).limit(min(count, most))
+def first_of_label(df: DataFrame, label: str, value: str, key: str, count: int = 100, most: int | None = None) -> DataFrame:
+    """First ``count`` rows of a label in key order, or ``most`` if that is given and less."""
+    return df.where(col(label) == value).orderBy(key).limit(count if most is None else min(count, most))
 

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from palisade.functions.numeric import clip, col, finite, is_infinite, min_max
 from palisade.operators.ordered import attach, hash_key, sized_broadcast
 from palisade.operators.quantiles import quantile_columns
-from palisade.session import fits_in_buffers
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 SUMMARY = {**QUARTILES, "p95": 0.95, "p99": 0.99}
@@ -28,7 +27,7 @@ def long_form(df: DataFrame, features: Sequence[str], keep: Sequence[str] = ())
 
 
 def feature_summary(
-    df: DataFrame, features: Sequence[str], by: Sequence[str] = (), method: str = "auto"
+    df: DataFrame, features: Sequence[str], by: Sequence[str] = (), method: str = "ranks"
 ) -> DataFrame:
     """count, mean, std, min, max and quantiles per feature; NaN and Inf ignored."""
     rows = long_form(df, features, by)
@@ -91,7 +90,7 @@ def variances(df: DataFrame, features: Sequence[str]) -> DataFrame:
 
 
 def clip_bounds(
-    df: DataFrame, features: Sequence[str], low: float = 0.01, high: float = 0.99, method: str = "auto"
+    df: DataFrame, features: Sequence[str], low: float = 0.01, high: float = 0.99, method: str = "ranks"
 ) -> DataFrame:
     """(feature, low, high) quantiles: one row per feature."""
     rows = long_form(df, features)
@@ -104,7 +103,7 @@ def clipped_long(
     keep: Sequence[str] = (),
     low: float = 0.01,
     high: float = 0.99,
-    method: str = "auto",
+    method: str = "ranks",
 ) -> DataFrame:
     """Long form with values clipped to the feature's quantile range.
 
@@ -125,7 +124,7 @@ def within_bounds(
     keep: Sequence[str] = (),
     low: float = 0.01,
     high: float = 0.99,
-    method: str = "auto",
+    method: str = "ranks",
 ) -> DataFrame:
     """Long form restricted to values inside the feature's quantile range."""
     bounds = clip_bounds(df, features, low, high, method)
@@ -170,7 +169,7 @@ def box_statistics(
     by: str,
     low: float | None = 0.01,
     high: float | None = 0.99,
-    method: str = "auto",
+    method: str = "ranks",
 ) -> DataFrame:
     """Quartiles and whiskers per class and feature, optionally inside a quantile range."""
     if low is None:
@@ -178,8 +177,6 @@ def box_statistics(
     else:
         rows = within_bounds(df, features, [by], low, high, method)
     keys = [by, "feature"]
-    if method == "auto":
-        method = "buffered" if fits_in_buffers(df) else "ranks"
     quartile = quantile_columns(rows, "value", QUARTILES, keys, method)
     fences = quartile.withColumns(
         {
@@ -269,7 +266,7 @@ def column_counts(df: DataFrame) -> DataFrame:
     )
 
 
-def rows_per_key(df: DataFrame, key: str, method: str = "auto") -> DataFrame:
+def rows_per_key(df: DataFrame, key: str, method: str = "ranks") -> DataFrame:
     """Describe the number of rows per key value: one row."""
     counts = df.groupBy(key).agg(F.count("*").cast("double").alias("rows"))
     return feature_summary(counts, ["rows"], method=method).select(
@@ -297,10 +294,8 @@ def drop_constant(df: DataFrame) -> DataFrame:
     return df.drop(*constant_columns(df))
 
 
-def error_summary(df: DataFrame, value: str, by: Sequence[str] = (), method: str = "auto") -> DataFrame:
+def error_summary(df: DataFrame, value: str, by: Sequence[str] = (), method: str = "ranks") -> DataFrame:
     """Mean, population deviation and high quantiles of an error column."""
-    if method == "auto":
-        method = "buffered" if fits_in_buffers(df) else "ranks"
     moments = df.groupBy(*by).agg(
         F.count(finite(value)).alias("n"),
         F.avg(finite(value)).alias("mean"),

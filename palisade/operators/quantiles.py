@@ -1,9 +1,8 @@
 """Exact quantiles with linear interpolation.
 
-Spark's ``percentile`` buffers the distinct values of a group in one task, which
-(after counting equal values) is right for inputs of a known, small size and wrong for a feature column of a
-huge flow table.  ``quantiles`` checks the size estimate and otherwise narrows
-the requested ranks in three passes of map-side combined counts: coarse slots,
+Spark's ``percentile`` buffers the distinct values of a group in one task, which is
+wrong for a feature column of a huge flow table.  ``quantiles`` narrows the
+requested ranks in three passes of map-side combined counts: coarse slots,
 fine slots inside the slots that hold a requested rank, then the values inside
 those fine slots.  The slots found (a few per group) are broadcast after a size
 check, so the data itself is scanned three times and only counts are shuffled.
@@ -18,7 +17,6 @@ from pyspark.sql import functions as F
 
 from palisade.functions.numeric import col, finite, magnitude_slot
 from palisade.operators.ordered import attach, sized_broadcast
-from palisade.session import fits_in_buffers
 
 COARSE_PER_OCTAVE = 16
 FINE_PER_OCTAVE = 65536
@@ -30,15 +28,13 @@ def quantiles(
     probabilities: Sequence[float],
     group: Sequence[str] = (),
     name: str = "quantiles",
-    method: str = "auto",
+    method: str = "ranks",
 ) -> DataFrame:
     """One row per group: ``name`` is the array of quantiles, in the order asked.
 
-    Non-finite values are ignored.  ``method`` is ``auto``, ``buffered`` or
-    ``ranks``; both ways give the same numbers.
+    Non-finite values are ignored.  ``method`` is ``ranks`` or, as a check on small
+    data, ``buffered``; both give the same numbers.
     """
-    if method == "auto":
-        method = "buffered" if fits_in_buffers(df) else "ranks"
     probabilities = [float(p) for p in probabilities]
     if method == "buffered":
         probs = F.array(*[F.lit(p) for p in probabilities])
@@ -58,7 +54,7 @@ def quantile_columns(
     value: str | Column,
     named: dict[str, float],
     group: Sequence[str] = (),
-    method: str = "auto",
+    method: str = "ranks",
 ) -> DataFrame:
     """Like ``quantiles`` with one named column per probability."""
     wide = quantiles(df, value, list(named.values()), group, "__q", method)

@@ -1,16 +1,18 @@
-"""Session defaults, scratch space and size checks shared by the package."""
+"""Session defaults and scratch space shared by the package."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
-# Inputs whose estimated size stays below this may be handled by aggregates that
-# buffer the values of a group (exact percentiles).  Larger inputs take the
-# multi-pass route in ``operators.quantiles``.
-BUFFERED_INPUT_BYTES = 256 * 1024 * 1024
+_own_scratch: str | None = None
+
+
+def use_scratch(path: str) -> None:
+    """Folder for intermediate tables where ``spark.checkpoint.dir`` is unset, as in tests."""
+    global _own_scratch
+    _own_scratch = path
 
 
 def build_session(app: str = "palisade", master: str | None = None, **conf: str) -> SparkSession:
@@ -39,26 +41,11 @@ def build_session(app: str = "palisade", master: str | None = None, **conf: str)
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for intermediate tables and stream checkpoints.
 
-    On a cluster this lies in the shared folder named by
-    ``spark.checkpoint.dir``; a local temporary folder is used only when that
-    setting is absent, as in tests.
+    It lies in the shared folder named by ``spark.checkpoint.dir``.  Without that
+    setting the caller has to name a folder with ``use_scratch``.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or _own_scratch
     if not root:
-        root = tempfile.mkdtemp(prefix="palisade-")
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Optimizer's size estimate for ``df`` without running a job."""
-    try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(str(stats.sizeInBytes()))
-    except AttributeError:
-        return None
-
-
-def fits_in_buffers(df: DataFrame, limit: int = BUFFERED_INPUT_BYTES) -> bool:
-    """True only when the size of ``df`` is known and within ``limit``."""
-    size = estimated_bytes(df)
-    return size is not None and size <= limit

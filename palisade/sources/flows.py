@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from palisade.functions.flows import clean_label
 from palisade.functions.numeric import col
+from palisade.sources.logs import files_by_header
 
 # Identifier columns that are never features.
 IDENTIFIERS = (
@@ -52,10 +53,12 @@ def flow_schema(names: Sequence[str]) -> T.StructType:
 
 def read_flow_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """One or several flow files (a glob works); trimmed header, trimmed label."""
-    names = spark.read.option("header", True).csv(path).columns
-    reader = spark.read.option("header", True).option("nanValue", "NaN")
-    reader = reader.option("positiveInf", "Infinity").option("negativeInf", "-Infinity")
-    df = trimmed(reader.schema(flow_schema(names)).csv(path))
+    parts = []
+    for names, files in files_by_header(spark, path).items():
+        reader = spark.read.option("header", True).option("enforceSchema", False).option("nanValue", "NaN")
+        reader = reader.option("positiveInf", "Infinity").option("negativeInf", "-Infinity")
+        parts.append(trimmed(reader.schema(flow_schema(names)).csv(files)))
+    df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     return df.withColumn(LABEL, clean_label(LABEL)) if LABEL in df.columns else df
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,8 +23,7 @@ def _schema(*names: str, booleans: Sequence[str] = ()) -> T.StructType:
     )
 
 
-# Columns the derivations use; a file's other columns are ignored because the
-# reader matches header names (``enforceSchema`` off).
+# Columns the derivations use; the reader matches header names and ignores others.
 LOG_SCHEMAS = {
     "logon": _schema("date", "user", "pc"),
     "device": _schema("date", "user", "activity"),
@@ -46,20 +46,34 @@ def read_csv(
 ) -> DataFrame:
     """CSV with a header; ``schema`` names the wanted columns in any order.
 
-    The header is read first (a handful of bytes), so columns are matched by name
-    and the declared types are used without an inference pass over the data.
+    Each file's header is read first (a handful of bytes); files with the same header
+    are read together, so columns are matched by name and the declared types are used
+    without an inference pass over the data.
     ``multiline`` allows line breaks inside quotes, at the price of one task per file.
     """
-    reader = spark.read.option("header", True).option("multiLine", multiline).option("escape", '"')
-    names = reader.option("inferSchema", False).csv(path).columns
     types = {f.name.strip().lower(): f.dataType for f in schema}
-    full = T.StructType([T.StructField(n, types.get(n.strip().lower(), _TEXT)) for n in names])
-    df = reader.schema(full).csv(path)
-    by_name = {n.strip().lower(): n for n in names}
-    missing = [f.name for f in schema if f.name.lower() not in by_name]
-    if missing:
-        raise KeyError(f"columns {missing} not found in {path}")
-    return df.select(*[F.col(f"`{by_name[f.name.lower()]}`").alias(f.name) for f in schema])
+    parts = []
+    for names, files in files_by_header(spark, path).items():
+        full = T.StructType([T.StructField(n, types.get(n.strip().lower(), _TEXT)) for n in names])
+        reader = spark.read.option("header", True).option("multiLine", multiline).option("escape", '"')
+        df = reader.schema(full).option("enforceSchema", False).csv(files)
+        by_name = {n.strip().lower(): n for n in names}
+        missing = [f.name for f in schema if f.name.lower() not in by_name]
+        if missing:
+            raise KeyError(f"columns {missing} not found in {files}")
+        parts.append(df.select(*[F.col(f"`{by_name[f.name.lower()]}`").alias(f.name) for f in schema]))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def files_by_header(spark: SparkSession, path: str | list[str]) -> dict[tuple[str, ...], list[str]]:
+    """Files of a path, list or glob by their header."""
+    found: dict[tuple[str, ...], list[str]] = {}
+    for file in sorted(spark.read.text(path).inputFiles()):
+        names = spark.read.option("header", True).option("escape", '"').csv(file).columns
+        found.setdefault(tuple(names), []).append(file)
+    if not found:
+        raise FileNotFoundError(f"no file at {path}")
+    return found
 
 
 def read_parquet(spark: SparkSession, path: str, rows: int | None = None) -> DataFrame:

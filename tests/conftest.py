@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -9,7 +10,9 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 sys.path.insert(0, os.path.join(ROOT, "tests"))
 
-from palisade.session import build_session  # noqa: E402
+from palisade.session import build_session, use_scratch  # noqa: E402
+
+use_scratch(tempfile.mkdtemp(prefix="palisade-tests-"))
 
 
 @pytest.fixture(scope="session")

@@ -10,7 +10,6 @@ from palisade.operators import models as M
 from palisade.operators import prep
 from palisade.operators import userday as U
 from palisade.plans import behaviour, network
-from palisade.session import fits_in_buffers
 from palisade.sources import flows as S
 from palisade.sources import logs as G
 
@@ -105,9 +104,20 @@ def test_no_day_file_is_an_error(spark, tmp_path):
         S.read_days(spark, {"Monday": str(tmp_path / "absent.csv")})
 
 
-def test_size_check_is_an_upper_bound(spark):
-    assert fits_in_buffers(spark.range(1000))
-    assert not fits_in_buffers(spark.range(10**12))
+def test_files_with_other_column_orders_are_read_by_name(spark, tmp_path):
+    folder = tmp_path / "logs"
+    folder.mkdir()
+    (folder / "a.csv").write_text("user,pc,date\nu1,PC-1,d1\n")
+    (folder / "b.csv").write_text("pc,user,date\nPC-2,u2,d2\n")
+    rows = G.read_csv(spark, str(folder / "*.csv"), G.LOG_SCHEMAS["logon"]).orderBy("date").collect()
+    assert [(r.user, r.pc) for r in rows] == [("u1", "PC-1"), ("u2", "PC-2")]
+    (folder / "c.txt").write_text("")
+    flows = tmp_path / "flows"
+    flows.mkdir()
+    (flows / "a.csv").write_text("x, y,Label\n1,2,A \n")
+    (flows / "b.csv").write_text("y,x,Label\n4,3, B\n")
+    got = S.read_flow_csv(spark, str(flows / "*.csv")).orderBy("x").collect()
+    assert [(r.x, r.y, r.Label) for r in got] == [(1.0, 2.0, "A"), (3.0, 4.0, "B")]
 
 
 LOGS = {
