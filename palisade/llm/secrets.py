@@ -91,8 +91,6 @@ def base_spans(text: Column) -> dict[str, Column]:
     }
 
 
-
-
 def _steps(token: Column) -> Column:
     """Codes of the character pairs of a token (first-order transitions)."""
     size = len(ALPHABET) + 1
@@ -105,16 +103,15 @@ def _steps(token: Column) -> Column:
 
 
 def labelled_tokens(df: DataFrame, id_col: str, text_col: str, documents: int = SAMPLE_DOCUMENTS) -> DataFrame:
-    """(token, random) from at most ``documents`` texts of each sort.
+    """(token, random) from at most ``documents`` whole texts of each sort.
 
     Random strings are the values that the fixed patterns find; ordinary identifiers
     are the long words of texts in which they find nothing.
     """
     t = df.select(F.xxhash64(id_col).alias("h"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
     rule = f"{LONG_ACCESS}|{LONG_HEX}|{ASSIGN}"
-    short = F.substring(F.col("t"), 1, 20_000)  # of sample texts only
     hits = t.where(F.col("t").rlike(rule)).orderBy("h", "t").limit(documents)
-    rest = t.where(~F.col("t").rlike(rule)).select("h", short.alias("t")).orderBy("h", "t").limit(documents)
+    rest = t.where(~F.col("t").rlike(rule)).orderBy("h", "t").limit(documents)
     values = F.concat(
         F.regexp_extract_all(F.col("t"), F.lit(LONG_ACCESS), F.lit(0)),
         F.regexp_extract_all(F.col("t"), F.lit(LONG_HEX), F.lit(0)),
