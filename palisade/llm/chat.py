@@ -1,7 +1,7 @@
 """Tool calls of conversations: linked to results, ordered, validated, serialised.
 
-All native: calls and results are joined by identifier, dependencies are resolved in
-rounds (each takes the calls whose needs are all placed), arguments are parsed as
+All native: calls and results are joined by identifier, dependencies are resolved by
+doubling jumps along chains and in rounds where chains meet, arguments are parsed as
 variants and checked against a table of fields, and JSON is written with sorted keys.
 """
 
@@ -9,13 +9,14 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from palisade.llm.common import stored
-from palisade.llm.sharding import numbered
+from palisade.operators.ordered import attach
 
-ORDER_BLOCK = 10_000
+# Turns of a block and depths of a band that are numbered together.
+ORDER_BLOCK, BAND = 10_000, 1000
 
 
 class Field(NamedTuple):
@@ -48,28 +49,80 @@ def _errors(name: Column, arguments: Column, parsed: Column, fields: list[Field]
     return F.filter(F.array(*found), lambda e: e.isNotNull())
 
 
+def _jumps(single: DataFrame) -> DataFrame:
+    """(conv, call, root, steps, done) of calls with one need: the end of the chain of such
+    calls before it and its distance, found by doubling jumps; not done on a cycle."""
+    jumps = stored(single.withColumns({"steps": F.lit(1).cast("long"), "done": F.lit(False)}), "jumps")
+    longest = jumps.groupBy("conv").count().agg(F.max("count")).first()[0] or 0
+    for _ in range(int(longest).bit_length() + 1):  # the last one sees that nothing follows
+        hop = jumps.select("conv", F.col("call").alias("root"), F.col("root").alias("next"), F.col("steps").alias("more"))
+        moved = jumps.where("NOT done").join(hop, ["conv", "root"], "left").select(
+            "conv", "call", F.coalesce("next", "root").alias("root"),
+            (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps"), F.col("next").isNull().alias("done"),
+        )
+        jumps = stored(moved.unionByName(jumps.where("done")), "jumps")
+        if jumps.where("NOT done").isEmpty():
+            break
+    return jumps
+
+
 def _depths(calls: DataFrame, needs: DataFrame) -> DataFrame:
     """(conv, call, depth): 0 without needs, else one more than the deepest of them.
 
-    Calls on a cycle, or behind one, have no row.
+    Calls with one need follow their chain in a logarithm of its length; those with more
+    take a round for each such call on the longest path.  Calls on a cycle, or behind
+    one, have no row.
     """
     edges = stored(needs, "needs")
-    blocked = edges.select("conv", "call").distinct()
-    placed = calls.select("conv", "call").join(blocked, ["conv", "call"], "left_anti").withColumn("depth", F.lit(0))
-    placed = stored(placed.distinct(), "placed")
-    depth = 0
-    while True:
-        depth += 1
-        done = placed.select("conv", F.col("call").alias("need"))
-        open_ = edges.join(done, ["conv", "need"], "left_anti").select("conv", "call").distinct()
-        ready = (
-            blocked.join(open_, ["conv", "call"], "left_anti").join(placed.select("conv", "call"), ["conv", "call"], "left_anti")
-            .withColumn("depth", F.lit(depth))
+    key = ["conv", "call"]
+    counted = stored(edges.groupBy(*key).agg(F.count("*").alias("c"), F.min("need").alias("root")), "counted")
+    placed = calls.select(*key).distinct().join(counted, key, "left_anti").withColumn("depth", F.lit(0).cast("long"))
+    placed = stored(placed, "placed")
+    jumps = _jumps(counted.where("c = 1").select(*key, "root"))
+    ends = jumps.select("conv", F.col("call").alias("need"), "root", "steps")
+    pending = edges.join(counted.where("c > 1").select(*key), key, "left_semi").join(ends, ["conv", "need"], "left")
+    pending = stored(
+        pending.select(*key, F.coalesce("root", "need").alias("root"), F.coalesce("steps", F.lit(0)).alias("steps")), "pending"
+    )
+    while not pending.isEmpty():
+        at = placed.select("conv", F.col("call").alias("root"), "depth")
+        tried = pending.join(at, ["conv", "root"], "left").groupBy(*key).agg(
+            F.max(F.col("depth").isNull()).alias("missing"), (F.max(F.col("depth") + F.col("steps")) + 1).alias("depth")
         )
-        ready = stored(ready, "ready")
+        ready = stored(tried.where("NOT missing").select(*key, "depth"), "ready")
         if ready.isEmpty():
-            return placed
+            break
         placed = placed.unionByName(ready)
+        pending = stored(pending.join(ready, key, "left_anti"), "pending")
+    at = placed.select("conv", F.col("call").alias("root"), "depth")
+    chained = jumps.where("done").join(at, ["conv", "root"]).select(*key, (F.col("depth") + F.col("steps")).alias("depth"))
+    return placed.unionByName(chained)
+
+
+def _positioned(rows: DataFrame) -> DataFrame:
+    """Add ``position``, from 0 in each conversation by depth, turn and call.
+
+    Rows are numbered inside a cell (depth, block of turns); the rows before a cell are
+    summed over the bands of depths before its own and the cells before it in its band,
+    so no task sees a whole conversation.
+    """
+    cell = ["conv", "__band", "__depth", "__block"]
+    depth = F.coalesce("depth", F.lit(2**62))
+    rows = rows.withColumns(
+        {"__depth": depth, "__band": F.floor(depth / BAND), "__block": F.floor(F.col("turn") / ORDER_BLOCK)}
+    )
+    cells = rows.groupBy(*cell).agg(F.count("*").alias("__c"))
+    bands = cells.groupBy("conv", "__band").agg(F.sum("__c").alias("__c"))
+    earlier = lambda w: F.coalesce(F.sum("__c").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    bands = bands.select("conv", "__band", earlier(Window.partitionBy("conv").orderBy("__band")).alias("__low"))
+    inner = earlier(Window.partitionBy("conv", "__band").orderBy("__depth", "__block"))
+    starts = cells.withColumn("__inner", inner).join(bands, ["conv", "__band"]).select(
+        *cell, (F.col("__low") + F.col("__inner")).alias("__before")
+    )
+    ranked = rows.withColumn("__in", F.row_number().over(Window.partitionBy(*cell).orderBy("turn", "call")) - 1)
+    return attach(ranked, starts, cell).withColumn("position", (F.col("__before") + F.col("__in")).cast("long")).drop(
+        "__band", "__depth", "__block", "__in", "__before"
+    )
 
 
 def link(calls: DataFrame, results: DataFrame, fields: list[Field]) -> DataFrame:
@@ -103,7 +156,4 @@ def link(calls: DataFrame, results: DataFrame, fields: list[Field]) -> DataFrame
     rows = rows.select(
         "conv", "call", "turn", "depth", F.coalesce("matched", F.lit(False)).alias("matched"), errors.alias("errors"), body.alias("json")
     )
-    part = F.struct(F.coalesce("depth", F.lit(2**31 - 1)).alias("depth"), F.floor(F.col("turn") / ORDER_BLOCK).alias("block"))
-    return numbered(rows, "conv", ["turn", "call"], "position", part, 1).withColumn(
-        "position", F.when(F.col("depth").isNotNull(), F.col("position"))
-    )
+    return _positioned(rows).withColumn("position", F.when(F.col("depth").isNotNull(), F.col("position")))

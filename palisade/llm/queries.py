@@ -56,13 +56,19 @@ def conversation_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     text is the query, every third one calls another tool (and lacks a field that the
     tool asks for), it needs the call before it, and the turn after it is its result.
     """
-    by_turn = Window.partitionBy("conv_id").orderBy("turn")
+    block = F.floor(F.col("turn") / chat.ORDER_BLOCK).alias("block")
+    spoken = conversations.where("role = 'assistant'").select("conv_id", "turn", "text", block)
+    # The turn before is in the same block of turns or the last of the block before.
+    last = spoken.groupBy("conv_id", "block").agg(F.max("turn").alias("last"))
+    last = last.select("conv_id", "block", F.lag("last").over(Window.partitionBy("conv_id").orderBy("block")).alias("last"))
+    earlier = Window.partitionBy("conv_id", "block").orderBy("turn").rangeBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.max("turn").over(earlier), "last")
     name = lambda turn: F.concat(F.lit("c"), F.col("conv_id").cast("string"), F.lit("-"), turn.cast("string"))
-    said = conversations.where("role = 'assistant'").select(
+    said = spoken.join(last, ["conv_id", "block"], "left").select(
         F.col("conv_id").alias("conv"), name(F.col("turn")).alias("call"), "turn",
         F.when(F.col("turn") % 3 == 0, F.lit("recall")).otherwise(F.lit("reply")).alias("name"),
         F.to_json(F.struct(F.col("turn"), F.col("text").alias("query"))).alias("arguments"),
-        F.lag("turn").over(by_turn).alias("before"), F.col("conv_id"),
+        before.alias("before"), F.col("conv_id"),
     )
     needs = F.when(F.col("before").isNotNull(), F.array(name(F.col("before")))).otherwise(F.array().cast("array<string>"))
     calls = said.select("conv", "call", "turn", "name", "arguments", needs.alias("needs"))

@@ -328,6 +328,26 @@ def test_tool_links(spark):
     assert got[2, "e"].errors == ["invalid json"]
 
 
+def test_tool_links_along_chains(spark):
+    """A long chain, two chains that meet, a fan, and what stands behind a cycle."""
+    needs = {f"k{i:03}": [f"k{i - 1:03}"] if i else [] for i in range(300)}
+    needs |= {"m0": [], "m1": ["m0"], "meet": ["m1", "k010"], "after": ["meet"], "late": ["after", "k299"]}
+    needs |= {f"f{i}": ["k299"] for i in range(5)} | {"x": ["y"], "y": ["x"], "behind": ["y", "m0"], "far": ["behind"]}
+    rows = [(1, c, i % 7, "reply", "{}", n) for i, (c, n) in enumerate(needs.items())]
+    calls = spark.createDataFrame(rows, "conv long, call string, turn long, name string, arguments string, needs array<string>")
+    got = {r.call: r for r in chat.link(calls, spark.createDataFrame([], "conv long, call string, content string"), []).collect()}
+    depth: dict = {}
+    while True:
+        new = {c: 1 + max([depth[x] for x in n], default=-1) for c, n in needs.items() if c not in depth and all(x in depth for x in n)}
+        if not new:
+            break
+        depth |= new
+    assert {c: r.depth for c, r in got.items() if r.depth is not None} == depth
+    order = sorted(depth, key=lambda c: (depth[c], list(needs).index(c) % 7, c))
+    assert [got[c].position for c in order] == list(range(len(order)))
+    assert {c for c, r in got.items() if "cycle" in r.errors} == {"x", "y", "behind", "far"}
+
+
 def test_pipeline_agrees_with_its_parts(spark):
     import corpus_pipeline
 
