@@ -528,8 +528,8 @@ def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows of ``df`` that stand for their group: the one with the smallest id.
 
-    All columns stay as they are.  Rows without words or without an id are kept; of
-    rows that share the id of a group's first member, one is kept, the smallest text.
+    All columns stay as they are.  Rows without words or without an id are kept, and so
+    are all rows that share the id of a group's first member.
     """
     heads = groups(df, id_col, text_col).where(
         F.col(id_col).isNull() | (F.col("n_shingles") == 0) | (F.col("component_id") == F.col(id_col))
