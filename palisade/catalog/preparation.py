@@ -91,7 +91,7 @@ def _(t):
     f"SELECT {KEYS}, day, label FROM k WHERE size * 0.08 < 1 OR place <= round_even(size * 0.08, 0)",
 )
 def _(t):
-    kept = prep.stratified_sample(I.flows(t), 0.08, I.KEY, ["day", "label"], digits=2)
+    kept = prep.stratified_sample(I.flows(t), 0.08, I.KEY, ["day", "label"])
     return plain(kept.select(*I.KEY, "day", "label"))
 
 
@@ -180,7 +180,7 @@ FOUR_WAY = I.FLOWS + _PLACED.format(strata="label", source="flows") + f", parts
 
 @query("f06_four_way_split", f"WITH {FOUR_WAY} SELECT {KEYS}, label, split FROM parts")
 def _(t):
-    parts = prep.split(I.flows(t), network.SPLIT, I.KEY, ["label"], digits=2)
+    parts = prep.split(I.flows(t), network.SPLIT, I.KEY, ["label"])
     return plain(parts.select(*I.KEY, "label", "split"))
 
 
@@ -194,7 +194,7 @@ BENIGN_BOUNDS = [("production", 0.4), ("train", 0.8002), ("test", 0.9001), ("val
     + f" SELECT {KEYS}, {_bands(BENIGN_BOUNDS)} FROM placed",
 )
 def _(t):
-    parts = prep.benign_split(prep.keep_benign(I.flows(t)), I.KEY, digits=2)
+    parts = prep.benign_split(prep.keep_benign(I.flows(t)), I.KEY)
     return plain(parts.select(*I.KEY, "split"))
 
 
@@ -203,7 +203,7 @@ def _(t):
     f"WITH {I.FLOWS}{_PLACED.format(strata='label', source='flows')} SELECT {KEYS}, {_bands([('train', 0.8), ('test', 1.0)])} FROM placed",
 )
 def _(t):
-    parts = prep.split(I.flows(t), {"train": 0.8, "test": 0.2}, I.KEY, ["label"], digits=2)
+    parts = prep.split(I.flows(t), {"train": 0.8, "test": 0.2}, I.KEY, ["label"])
     return plain(parts.select(*I.KEY, "split"))
 
 
@@ -245,7 +245,7 @@ def _(t):
     f"SELECT split, label, n, {whole('rows', 'split_rows')}, classes, {num('rows * 100.0 / total', 'pct')}, place FROM k WHERE place <= 5",
 )
 def _(t):
-    return plain(prep.split_summary(prep.split(I.flows(t), network.SPLIT, I.KEY, ["label"], digits=2)))
+    return plain(prep.split_summary(prep.split(I.flows(t), network.SPLIT, I.KEY, ["label"])))
 
 
 @query(

@@ -116,11 +116,18 @@ def hash_positions(
     key: str,
     group: Sequence[str] = (),
     tie: Sequence[Column] = (),
-    digits: int = 4,
     name: str = "position",
     size: str | None = None,
+    slot_rows: int = 100_000,
 ) -> DataFrame:
-    """Positions along the hash text in column ``key``; slots are hash prefixes."""
+    """Positions along the hash text in column ``key``; slots are hash prefixes.
+
+    The rows are counted first, and the prefix is as long as it takes for a slot to
+    hold about ``slot_rows`` rows or fewer, even if they are all in one group.
+    """
+    rows, digits = df.count(), 1
+    while rows > slot_rows * 16**digits:
+        digits += 1
     slot = F.substring(F.col(key), 1, digits)
     return positions(df, [F.col(key), *tie], slot, group, name, size)
 

@@ -172,20 +172,20 @@ def sample(df: DataFrame, fraction: float, key: Sequence[str]) -> DataFrame:
     return df.where(hash_fraction(*key) < fraction)
 
 
-def _with_place(df: DataFrame, key: Sequence[str], group: Sequence[str], digits: int) -> DataFrame:
+def _with_place(df: DataFrame, key: Sequence[str], group: Sequence[str]) -> DataFrame:
     """Position by key hash within the group, and the size of the group."""
     keyed = df.withColumn("__hash", hash_key(*key))
     ties = [F.col(k) for k in key]
-    return hash_positions(keyed, "__hash", group, ties, digits, "__place", "__size")
+    return hash_positions(keyed, "__hash", group, ties, "__place", "__size")
 
 
 def stratified_sample(
-    df: DataFrame, fraction: float, key: Sequence[str], group: Sequence[str], digits: int = 4
+    df: DataFrame, fraction: float, key: Sequence[str], group: Sequence[str]
 ) -> DataFrame:
     """round(fraction * size) rows per group; groups too small for one row stay whole."""
     share = F.col("__size") * F.lit(fraction)
     kept = F.when(share >= 1, F.col("__place") <= F.rint(share)).otherwise(F.lit(True))
-    return _with_place(df, key, group, digits).where(kept).drop("__hash", "__place", "__size")
+    return _with_place(df, key, group).where(kept).drop("__hash", "__place", "__size")
 
 
 def split(
@@ -194,7 +194,6 @@ def split(
     key: Sequence[str],
     strata: Sequence[str] = (),
     name: str = "split",
-    digits: int = 4,
 ) -> DataFrame:
     """Assign every row to a split with exact sizes per stratum.
 
@@ -204,7 +203,7 @@ def split(
     """
     if abs(sum(ratios.values()) - 1.0) > 1e-8:
         raise ValueError(f"ratios must sum to 1, got {sum(ratios.values())}")
-    placed = _with_place(df, key, strata, digits)
+    placed = _with_place(df, key, strata)
     done, label = 0.0, F.lit(list(ratios)[-1])
     bounds = []
     for split_name, ratio in ratios.items():
@@ -216,10 +215,10 @@ def split(
     return placed.withColumn(name, label).drop("__hash", "__place", "__size")
 
 
-def benign_split(df: DataFrame, key: Sequence[str], name: str = "split", digits: int = 4) -> DataFrame:
+def benign_split(df: DataFrame, key: Sequence[str], name: str = "split") -> DataFrame:
     """40 % production; a third of the rest is halved into test and validation."""
     ratios = {"production": 0.4, "train": 0.6 * 0.667, "test": 0.6 * 0.1665, "val": 0.6 * 0.1665}
-    return split(df, ratios, key, (), name, digits)
+    return split(df, ratios, key, (), name)
 
 
 def split_summary(df: DataFrame, label: str = "label", name: str = "split", top: int = 5) -> DataFrame:
