@@ -17,9 +17,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Bound on the labelled rows used for fitting (and on their words, below).
+from palisade.llm.common import SPACES
+
+# Bound on the labelled rows used for fitting; their texts are used whole.
 SAMPLE_ROWS = 8000
-SAMPLE_WORDS = 2000
 MIN_DOCUMENTS = 5
 GRADES = 3
 CANDIDATES = 1500
@@ -132,9 +133,9 @@ def labelled_sample(df: DataFrame, labels: DataFrame, grade_col: str, rows: int,
     some = known.where("y > 0").orderBy(*order).limit(rows // 4).unionByName(
         known.where("y <= 0").orderBy(*order).limit(rows - rows // 4)
     )
-    head = F.array_join(F.slice(F.split(F.col("text"), r"[\x20\x09-\x0D]+"), 1, SAMPLE_WORDS), " ")
-    # At most ``rows`` texts of at most SAMPLE_WORDS words each: this bounds the driver's share.
-    got = text.join(some, "id").select("id", "y", head.alias("text")).orderBy(F.xxhash64("id"), "id", "y", "text")
+    # Features are sets, so each text comes as its distinct words, at most ``rows`` of them.
+    words = F.array_join(F.array_sort(F.array_distinct(F.split(F.col("text"), SPACES + "+"))), " ")
+    got = text.join(some, "id").select("id", "y", words.alias("text")).orderBy(F.xxhash64("id"), "id", "y", "text")
     out = []
     for r in got.limit(rows).toLocalIterator():
         out.append((sorted(features(r["text"].encode() if r["text"] else None)), int(r["y"])))
