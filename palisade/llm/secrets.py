@@ -38,6 +38,8 @@ KINDS = ("assign", "access", "hex", "markov")
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-."
 # Bound on the documents that give labelled samples.
 SAMPLE_DOCUMENTS = 2000
+# Rows expected below the sample's bound on hashes, as a multiple of the sample.
+SLACK = 2.0
 # A token is a secret when the ratio exceeds this many nats in all and per step.
 MIN_TOTAL, MIN_STEP = 12.0, 0.5
 # Weight of single characters against counted transitions.
@@ -109,9 +111,17 @@ def labelled_tokens(df: DataFrame, id_col: str, text_col: str, documents: int =
     are the long words of texts in which they find nothing.
     """
     t = df.select(F.xxhash64(id_col).alias("h"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-    rule = f"{LONG_ACCESS}|{LONG_HEX}|{ASSIGN}"
-    hits = t.where(F.col("t").rlike(rule)).orderBy("h", "t").limit(documents)
-    rest = t.where(~F.col("t").rlike(rule)).orderBy("h", "t").limit(documents)
+    t = t.withColumn("hit", F.col("t").rlike(f"{LONG_ACCESS}|{LONG_HEX}|{ASSIGN}"))
+    found = {r["hit"]: r["n"] for r in t.groupBy("hit").agg(F.approx_count_distinct("h", 0.02).alias("n")).collect()}
+
+    def first(hit: bool) -> DataFrame:
+        # The smallest hashes: a bound on them, with room to spare, lets each task pass on
+        # a few texts, so that the one task that takes the first ones is handed a few thousand.
+        share = min(1.0, SLACK * documents / max(1, found.get(hit, 0)))
+        bound = min(2**63 - 1, int(share * 2**64) - 2**63)
+        return t.where((F.col("h") <= F.lit(bound)) & (F.col("hit") == F.lit(hit))).orderBy("h", "t").limit(documents)
+
+    hits, rest = first(True), first(False)
     values = F.concat(
         F.regexp_extract_all(F.col("t"), F.lit(LONG_ACCESS), F.lit(0)),
         F.regexp_extract_all(F.col("t"), F.lit(LONG_HEX), F.lit(0)),

@@ -158,6 +158,27 @@ def test_secret_spans_match_patterns(spark, odd, nothing):
     assert secrets.report(nothing, ratio).count() == 0
 
 
+def test_labelled_tokens_come_from_the_smallest_hashes(spark):
+    plain = [(i, f"identifier_number{i:06d}") for i in range(3000)]
+    bad = [(i, f"password={hashlib.md5(str(i).encode()).hexdigest()}") for i in range(3000, 3040)]
+    df = spark.createDataFrame(plain + bad, "doc_id long, text string").repartition(16)
+    got = secrets.labelled_tokens(df, "doc_id", "text", documents=50)
+    first = df.where("doc_id < 3000").orderBy(F.xxhash64("doc_id")).limit(50)
+    assert {r.token for r in got.where("NOT random").collect()} == {r.text for r in first.collect()}
+    # Each value is found by two patterns.
+    assert {r.token for r in got.where("random").collect()} == {t.split("=")[1] for _, t in bad}
+    same = spark.createDataFrame([(7, "identifier_number")] * 200, "doc_id long, text string")
+    assert secrets.labelled_tokens(same, "doc_id", "text", documents=50).count() == 50
+
+
+def test_toxicity_learns_from_whole_texts(spark):
+    # The word that tells comes last in texts of 3,000 words.
+    rows = [(i, " ".join(f"{i}w{k}" for k in range(3000)) + (" grumbo" if i % 2 else " calm")) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.fit(df, spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int"))
+    assert {r.doc_id for r in toxicity.score(df, model).where("toxic").collect()} == {i for i in range(40) if i % 2}
+
+
 def test_markov_finds_a_random_token(spark):
     rng = random.Random(8)
     chars = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
