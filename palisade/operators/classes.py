@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from palisade.functions.flows import BENIGN, attack_family
-from palisade.functions.numeric import clip, col, finite
+from palisade.functions.numeric import clip, col, finite, magnitude_slot
+from palisade.operators.ordered import attach, prefix_sums
 from palisade.operators.profile import clipped_long, long_form, scaled_share
 from palisade.operators.quantiles import quantile_columns
 
@@ -194,7 +195,16 @@ def family_medians(
 
 def truncated_rank(df: DataFrame, score: str, name: str = "rank") -> DataFrame:
     """Descending rank with ties averaged and then cut to a whole number."""
-    first = F.rank().over(Window.orderBy(F.desc(score)))
-    ties = F.count("*").over(Window.partitionBy(score))
-    return df.withColumn(name, F.floor(first + (ties - 1) / 2.0).cast("int"))
-
+    counts = df.groupBy(F.col(score).alias("__score")).agg(F.count("*").alias("__ties"))
+    value, ends = F.col("__score").cast("double"), F.lit(2**61)
+    # Not a number comes before infinity; rows without a score come last.
+    slot = (
+        F.when(value.isNull(), ends * 2)
+        .when(F.isnan(value) | (value == float("inf")), -ends)
+        .when(value == float("-inf"), ends)
+        .otherwise(-magnitude_slot(value))
+    )
+    reached = prefix_sums(counts, {"__reached": F.col("__ties")}, [F.desc_nulls_last("__score")], slot)
+    middle = F.col("__reached") - (F.col("__ties") - 1) / 2.0
+    ranks = reached.select(F.col("__score").alias(score), F.floor(middle).cast("int").alias(name))
+    return attach(df, ranks, [score])

@@ -9,6 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from palisade.operators import alerts as L
+from palisade.operators import classes
 from palisade.operators import drift as D
 from palisade.operators.ordered import positions, prefix_sums, rolling
 from palisade.operators.profile import box_statistics, feature_summary
@@ -127,3 +128,11 @@ def test_drift_report_lists_at_most_fifty_events(spark):
     assert report["drift_event_count"] > 50
     indexes = [e["index"] for e in report["drift_events"]]
     assert indexes == sorted(indexes)
+
+
+def test_truncated_rank_of_odd_scores(spark):
+    scores = [3.0, 1.0, 3.0, None, -2.5, 0.0, float("nan"), float("inf"), float("-inf"), 3.0, None]
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(scores)], "i int, score double")
+    got = {r.i: r["rank"] for r in classes.truncated_rank(df, "score").collect()}
+    assert got == {6: 1, 7: 2, 0: 4, 2: 4, 9: 4, 1: 6, 5: 7, 4: 8, 8: 9, 3: 10, 10: 10}
+    assert classes.truncated_rank(df.where("i < 0"), "score").count() == 0
