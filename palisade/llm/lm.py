@@ -189,9 +189,8 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
     """One row per input row: id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     A tenth of the ids (by crc32) is held out from all that is learned.  Null and empty
-    texts are one end token.  Rows that share an id are scored as one text each, with
-    the counts of that id's rows added up.  Without training texts every token has the
-    same probability.  An empty table gives an empty result.  Other columns are not
+    texts are one end token.  Rows are scored one by one, and ids may repeat or be
+    null.  Without training texts every token has the same probability.  An empty table gives an empty result.  Other columns are not
     read.
     """
     spark = df.sparkSession
@@ -215,7 +214,11 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
     tables: dict[str, np.ndarray] = {}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
         known, names, fitted = shared.value
+        # Rows are numbered here, once: the result is stored before it is split.
+        next_row = TaskContext.get().partitionId() << 33
         if "t" not in tables:
             tables["t"] = LogBilinear.unpacked(fitted).table()
         table = tables["t"]
@@ -224,7 +227,7 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
         for batch in batches:
             for low in range(0, batch.num_rows, 200):
                 keys, held = batch.column(0).slice(low, 200).to_pylist(), batch.column(2).slice(low, 200).to_pylist()
-                rows: list[list] = [[], [], [], [], [], [], [], []]
+                rows: list[list] = [[], [], [], [], [], [], [], [], []]
 
                 def emit(*values, rows=rows):
                     for column, value in zip(rows, values, strict=True):
@@ -238,30 +241,31 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
                     rare = Counter([w for w, x in zip(words, b, strict=True) if x is None]) if None in b else {}
                     common = [x for x in b if x is not None]
                     lm += sum([other[w] for w, x in zip(words, b, strict=True) if x is not None])
-                    emit(keys[at], held[at], None, 1, len(words), len(common), sum(common), lm)
+                    emit(next_row, keys[at], held[at], None, 1, len(words), len(common), sum(common), lm)
                     for w, c in rare.items():
-                        emit(keys[at], None, w, c, 0, 0, 0.0, 0.0)
-                kinds_ = [pa.int64(), pa.bool_(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+                        emit(next_row, None, None, w, c, 0, 0, 0.0, 0.0)
+                    next_row += 1
+                kinds_ = [pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(rows, kinds_, strict=True)],
-                    names=["id", "held_out", "token", "times", "n_tokens", "n_known", "base", "lm"],
+                    names=["row", "id", "held_out", "token", "times", "n_tokens", "n_known", "base", "lm"],
                 )
 
     parts = stored(
-        source.mapInArrow(run, "id long, held_out boolean, token binary, times long, n_tokens long, n_known long, base double, lm double"),
+        source.mapInArrow(run, "row long, id long, held_out boolean, token binary, times long, n_tokens long, n_known long, base double, lm double"),
         "scored",
     )
     texts_only = parts.where("token IS NULL")
     c, t = F.coalesce("c", F.lit(0)), F.col("times")
     rare = (
-        parts.where("token IS NOT NULL").select("id", "token", "times").join(counts, "token", "left").groupBy("id").agg(
+        parts.where("token IS NOT NULL").select("row", "token", "times").join(counts, "token", "left").groupBy("row").agg(
             F.sum(F.when(c > 0, t).otherwise(0)).alias("rare_known"),
             F.sum(t * F.log10((c + 0.1) / F.lit(n + 0.1 * (v + 1)))).alias("rare_base"),
             F.sum(t * F.log10((c + 0.1) / F.lit(others + 0.1 * (kinds + 1)))).alias("rare_lm"),
         )
     )
     zero = lambda name: F.coalesce(name, F.lit(0))
-    joined = texts_only.join(rare.withColumnRenamed("id", "rid"), F.col("id").eqNullSafe(F.col("rid")), "left")
+    joined = texts_only.join(rare, "row", "left")
     return joined.select(
         F.col("id").alias(id_col), "held_out", "n_tokens",
         (F.col("n_known") + zero("rare_known")).cast("long").alias("n_known"),

@@ -276,6 +276,23 @@ def test_language_model_counts_and_normalises(spark, odd, nothing):
     assert lm.score(odd).count() == odd.count() and lm.score(nothing).count() == 0
 
 
+def test_language_model_scores_rows_that_share_a_key(spark, monkeypatch):
+    # Words beyond the looked-up ones join by shuffle; here all but four are.
+    monkeypatch.setattr(lm, "FREQUENT", 4)
+    rows = [(i, f"a a b b c d{i} e{i} f{i}") for i in range(40)]
+    rows += [(k, f"a b d{i} e{i} new{i}") for k, low in ((3, 0), (None, 10)) for i in range(low, low + 5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = lm.score(df).toPandas()
+    assert len(got) == len(rows) and (got.n_known <= got.n_tokens).all()
+    kept = [t.encode().split() + [b"\n"] for k, t in rows if k is None or zlib.crc32(str(k).encode()) % 10]
+    counts = {}
+    for w in (w for t in kept for w in t):
+        counts[w] = counts.get(w, 0) + 1
+    n, v = sum(counts.values()), len(counts)
+    base = lambda t: sum(np.log10((counts.get(w, 0) + 0.1) / (n + 0.1 * (v + 1))) for w in t.encode().split() + [b"\n"])
+    assert np.allclose(sorted(got.base_score), sorted(base(t) for _, t in rows))
+
+
 def test_neighbours_reach_brute_force(spark):
     df = spark.read.parquet(f"{TESTDATA}/embeddings.parquet")
     got = ann.nearest(df, every=10).toPandas()
