@@ -1,14 +1,16 @@
 """Log-bilinear language model, trained by noise-contrastive estimation in numpy.
 
 The score of a word after another is  (C q(before)) . r(word) + b(word),  normalised
-over the vocabulary: the VOCABULARY - 1 most frequent words and one class for all
-others, inside which words follow their counts.  Every task trains on its own share of
-the corpus, from the same start and against the same noise; the parameters are then
-averaged, weighted by what each task has seen.  As a context is one word, one batched
-matrix product per model gives the normalised log-probabilities of all word pairs.
-
-Counts of all words come from the whole corpus.  Frequent words, a table of fixed
-size, are looked up inside the scan; the others join by shuffle.
+over the vocabulary: every word seen at least LEAST times (and the VOCABULARY most
+frequent ones in any case) and classes of the others by the power of two below their
+count, inside which words follow their counts.  Every task trains on all tokens of its
+own share of the corpus, from the same start; the parameters of each word are then
+averaged, weighted by how often each task has seen it.  As a context is one word, its
+normalising sum is computed once, by tasks that take blocks of contexts.
+
+Counts of all words come from the whole corpus.  Frequent words, FREQUENT of them or
+the whole vocabulary, are looked up inside the scan; the others join by shuffle, and
+as their counts are not known inside the scan they share the first class.
 """
 
 from __future__ import annotations
@@ -25,10 +27,9 @@ from pyspark.sql import functions as F
 from palisade.llm.common import stored, word_texts
 
 VOCABULARY = 2048
+LEAST = 100
 WIDTH = 32
 FREQUENT = 1 << 17
-# Each document trains on every STRIDE-th of its tokens; counts use all of them.
-STRIDE = 8
 BATCH, NOISE, RATE = 2048, 64, 0.05
 END = b"\n"  # no word holds white space
 FLUSH = 300_000
@@ -82,6 +83,14 @@ class LogBilinear:
             np.eye(WIDTH, dtype=np.float32), np.log(share).astype(np.float32),
         )
 
+    @staticmethod
+    def _summed(index: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct indices and the sums of their rows."""
+        order = np.argsort(index, kind="stable")
+        index = index[order]
+        heads = np.flatnonzero(np.append(True, index[1:] != index[:-1]))
+        return index[heads], np.add.reduceat(rows[order], heads, axis=0)
+
     def step(self, before: np.ndarray, word: np.ndarray, noise: np.ndarray, share: np.ndarray, rate: float,
              past: dict[str, np.ndarray]) -> None:
         """One stochastic NCE step: tell each word from ``noise`` words shared by the batch.
@@ -96,25 +105,31 @@ class LogBilinear:
         up = (1 / (1 + np.exp(np.clip(good, -30, 30)))).astype(np.float32)  # 1 - sigmoid
         down = (1 / (1 + np.exp(-np.clip(bad, -30, 30)))).astype(np.float32)
         dc = up[:, None] * self.r[word] - down @ self.r[noise]
-        gradient = {x: np.zeros_like(getattr(self, x)) for x in "qrb"}
-        np.add.at(gradient["r"], word, up[:, None] * c / n)
-        np.add.at(gradient["r"], noise, -(down.T @ c) / n)
-        np.add.at(gradient["b"], word, up / n)
-        np.add.at(gradient["b"], noise, -down.sum(axis=0) / n)
-        np.add.at(gradient["q"], before, dc @ self.m.T / n)
-        gradient["m"] = q.T @ dc / n
-        for x, g in gradient.items():
-            past[x] = past.get(x, 1e-8) + g * g
-            getattr(self, x).__iadd__((rate * g / np.sqrt(past[x])).astype(np.float32))
+        # Only the rows of words in the batch change.
+        targets = np.concatenate([word, noise])
+        pulls = np.hstack([np.vstack([up[:, None] * c, -(down.T @ c)]), np.append(up, -down.sum(axis=0))[:, None]]) / n
+        at, g = self._summed(targets, pulls)
+        gradient = {"r": (at, g[:, :-1]), "b": (at, g[:, -1]), "q": self._summed(before, dc @ self.m.T / n), "m": (slice(None), q.T @ dc / n)}
+        for x, (at, g) in gradient.items():
+            values = getattr(self, x)
+            if x not in past:
+                past[x] = np.full_like(values, 1e-8)
+            past[x][at] += g * g
+            values[at] += (rate * g / np.sqrt(past[x][at])).astype(np.float32)
+
+    def sums(self, low: int = 0, high: int | None = None) -> np.ndarray:
+        """Log of the sum over all words, for each context from ``low`` to ``high``."""
+        contexts, out = self.q[low:high] @ self.m, []
+        for i in range(0, len(contexts), 64):
+            s = contexts[i : i + 64] @ self.r.T + self.b
+            top = s.max(axis=1, keepdims=True)
+            np.exp(s - top, out=s)
+            out.append(np.log(s.sum(axis=1, dtype=np.float64)) + top[:, 0])
+        return np.concatenate(out) if out else np.zeros(0)
 
     def table(self) -> np.ndarray:
         """log10 P(word | before) for all pairs, one row per context."""
-        out = np.empty((len(self.q), len(self.r)), dtype=np.float32)
-        for low in range(0, len(self.q), 256):
-            s = (self.q[low : low + 256] @ self.m) @ self.r.T + self.b
-            s -= s.max(axis=1, keepdims=True)
-            out[low : low + 256] = (s - np.log(np.exp(s).sum(axis=1, keepdims=True))) / np.log(10)
-        return out
+        return (((self.q @ self.m) @ self.r.T + self.b - self.sums()[:, None]) / np.log(10)).astype(np.float32)
 
     def packed(self) -> np.ndarray:
         """Parameters as rows: q | r | b per word, then the context matrix."""
@@ -130,11 +145,18 @@ class LogBilinear:
 
 
 def _ids(words: list[bytes], number: dict[bytes, int]) -> np.ndarray:
-    """Model ids of a text: the end, its words, the end.  0 is the class of other words."""
+    """Model ids of a text: the end, its words, the end.  0 is the class of words not looked up."""
     get = number.get
     return np.array([number[END], *[get(w, 0) for w in words], number[END]], dtype=np.int64)
 
 
+def _rows(at: np.ndarray, weight: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
+    data = np.ascontiguousarray(values, dtype=np.float32)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(at, pa.int64()), pa.array(weight, pa.int64()), pa.array([x.tobytes() for x in data], pa.binary())], names=["row", "weight", "value"]
+    )
+
+
 def train(texts: DataFrame, number: dict[bytes, int], share: np.ndarray) -> LogBilinear:
     """Average of the models that tasks fit to their shares of the corpus."""
     spark = texts.sparkSession
@@ -144,45 +166,75 @@ def train(texts: DataFrame, number: dict[bytes, int], share: np.ndarray) -> LogB
         names, p = shared.value
         model, rng = LogBilinear.start(p), np.random.default_rng(11)
         noise_edges = np.cumsum(p, dtype=np.float64)
-        before, word, seen, past = [], [], 0, {}
+        before, word, past = [], [], {}
+        seen = np.zeros(len(p) + WIDTH, dtype=np.int64)
 
         def learn(b, w):
             noise = np.minimum(np.searchsorted(noise_edges, rng.random(NOISE)), len(p) - 1)
             model.step(b, w, noise, p, RATE, past)
+            np.add.at(seen, b, 1)
+            np.add.at(seen, w, 1)
+            seen[len(p) :] += len(b)
 
         for batch in batches:
             for low in range(0, batch.num_rows, 500):
-                for key, words in zip(batch.column(0).slice(low, 500).to_pylist(), word_texts(batch.column(1).slice(low, 500)), strict=True):
+                for words in word_texts(batch.column(0).slice(low, 500)):
                     ids = _ids(words, names)
-                    at = np.arange(1 + (key or 0) % STRIDE, len(ids), STRIDE)
-                    before.append(ids[at - 1])
-                    word.append(ids[at])
+                    before.append(ids[:-1])
+                    word.append(ids[1:])
                 b, w = np.concatenate(before), np.concatenate(word)
                 for i in range(0, len(b) - BATCH + 1, BATCH):
                     learn(b[i : i + BATCH], w[i : i + BATCH])
-                    seen += BATCH
                 left = len(b) % BATCH
                 before, word = [b[len(b) - left :]], [w[len(w) - left :]]
         if before and len(before[0]):
             learn(before[0], word[0])
-            seen += len(before[0])
-        if seen:
-            rows = model.packed()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(len(rows))), pa.array([seen] * len(rows), pa.int64()), pa.array(list(rows * np.float32(seen)), pa.list_(pa.float32()))],
-                names=["row", "seen", "value"],
-            )
-
-    parts = texts.select("id", "text").mapInArrow(run, "row long, seen long, value array<float>")
-    width = 2 * WIDTH + 1
-    sums = parts.groupBy("row").agg(
-        F.sum("seen").alias("seen"), *[F.sum(F.col("value")[i].cast("double")).alias(f"v{i}") for i in range(width)]
-    )
-    got = sums.orderBy("row").toArrow()  # VOCABULARY + WIDTH rows
-    if got.num_rows == 0:
-        return LogBilinear.start(share)
-    values = np.stack([got.column(f"v{i}").to_numpy() for i in range(width)], axis=1)
-    return LogBilinear.unpacked((values / got.column("seen").to_numpy()[:, None]).astype(np.float32))
+        at, rows = np.flatnonzero(seen), model.packed()
+        for low in range(0, len(at), 20_000):
+            some = at[low : low + 20_000]
+            yield _rows(some, seen[some], rows[some])
+
+    def average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Weighted means of the rows of a partition, which holds all parts of its rows."""
+        at, weight, total = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, 2 * WIDTH + 1))
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            values = np.frombuffer(b"".join(batch.column(2).to_pylist()), dtype=np.float32).reshape(batch.num_rows, -1)
+            part = batch.column(1).to_numpy()
+            index = np.concatenate([at, batch.column(0).to_numpy()])
+            grown = np.hstack([np.append(weight, part)[:, None], np.vstack([total, values * part[:, None].astype(float)])])
+            at, sums = LogBilinear._summed(index, grown)
+            weight, total = sums[:, 0].astype(np.int64), sums[:, 1:]
+        if len(at):
+            yield _rows(at, weight, total / weight[:, None])
+
+    schema = "row long, weight long, value binary"
+    parts = texts.select("text").mapInArrow(run, schema)
+    got = parts.repartition("row").mapInArrow(average, schema).select("row", "value").toArrow()  # vocabulary + WIDTH rows
+    rows = LogBilinear.start(share).packed()
+    if got.num_rows:
+        rows[got.column("row").to_numpy()] = np.frombuffer(b"".join(got.column("value").to_pylist()), dtype=np.float32).reshape(got.num_rows, -1)
+    return LogBilinear.unpacked(rows)
+
+
+def normalisers(model: LogBilinear, spark) -> np.ndarray:
+    """``model.sums()``, a task for each block of contexts."""
+    shared = spark.sparkContext.broadcast(model.packed())
+    block = 1024
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fitted = LogBilinear.unpacked(shared.value)
+        for batch in batches:
+            for i in batch.column(0).to_pylist():
+                z = fitted.sums(i * block, (i + 1) * block)
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(z)) + i * block), pa.array(z, pa.float64())], names=["row", "z"])
+
+    blocks = -(-len(model.q) // block)
+    got = spark.range(0, blocks, 1, min(blocks, 1000)).mapInArrow(run, "row long, z double").toArrow()
+    out = np.empty(len(model.q))
+    out[got.column("row").to_numpy()] = got.column("z").to_numpy()
+    return out
 
 
 def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -197,33 +249,46 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
     source = _source(df, id_col, text_col)
     texts = source.where("NOT held_out")
     counts = stored(_counts(texts), "counts")
-    n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    top = counts.orderBy(F.desc("c"), "token").limit(FREQUENT).collect()  # at most FREQUENT words
+    n, v, often = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*"), F.count_if(F.col("c") >= LEAST)).first()
+    # Words of the vocabulary, and more up to FREQUENT.
+    top = counts.orderBy(F.desc("c"), "token").limit(max(FREQUENT, often)).collect()
     frequent = {bytes(r["token"]): r["c"] for r in top}
-    listed = [w for w in frequent if w != END][: VOCABULARY - 2]
+    listed = [w for w in frequent if w != END][: max(VOCABULARY - 2, often)]
     number = {END: 1, **{w: i + 2 for i, w in enumerate(listed)}}
-    inside = sum(frequent[w] for w in listed) + frequent.get(END, 0)
-    others, kinds = n - inside, v - len(listed) - (END in frequent)
-    share = np.array([max(others, 0), frequent.get(END, 0), *[frequent[w] for w in listed]], dtype=float) + 1
+    first = len(number) + 1
+    # Class -> its occurrences and words; class 0 holds what is not looked up, and unseen words.
+    totals, kinds = Counter({0: n - sum(frequent.values())}), Counter({0: v - len(frequent) + 1})
+    grades: dict[int, int] = {}
+    for w, c in frequent.items():
+        if w not in number:
+            number[w] = k = first + grades.setdefault(c.bit_length(), len(grades))
+            totals[k] += c
+            kinds[k] += 1
+    share = np.array([totals[0], frequent.get(END, 0), *[frequent[w] for w in listed], *[totals[first + i] for i in range(len(grades))]], dtype=float) + 1
     share = (share / share.sum()).astype(np.float32)
     model = train(texts, number, share)
     base_of = lambda c: np.log10((c + 0.1) / (n + 0.1 * (v + 1)))
-    # A word of the class "other" has the class's probability times its share of the class.
-    other_of = lambda c: np.log10((c + 0.1) / (others + 0.1 * (kinds + 1)))
-    shared = spark.sparkContext.broadcast((frequent, number, model.packed()))
-    tables: dict[str, np.ndarray] = {}
+    # A word of a class has the class's probability times its share of the class.
+    inside = {w: float(np.log10((frequent[w] + 0.1) / (totals[k] + 0.1 * kinds[k]))) for w, k in number.items() if k >= first}
+    shared = spark.sparkContext.broadcast((frequent, number, inside, model.packed(), normalisers(model, spark)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        known, names, fitted = shared.value
+        known, names, within, fitted, z = shared.value
         # Rows are numbered here, once: the result is stored before it is split.
         next_row = TaskContext.get().partitionId() << 33
-        if "t" not in tables:
-            tables["t"] = LogBilinear.unpacked(fitted).table()
-        table = tables["t"]
+        fit = LogBilinear.unpacked(fitted)
+        contexts = fit.q @ fit.m
+
+        def likelihood(ids: np.ndarray) -> float:
+            total = 0.0
+            for i in range(0, len(ids) - 1, 50_000):
+                b, w = ids[i : min(i + 50_000, len(ids) - 1)], ids[i + 1 : i + 50_001]
+                total += float((np.einsum("ij,ij->i", contexts[b], fit.r[w]) + fit.b[w] - z[b]).sum(dtype=np.float64))
+            return total / np.log(10)
+
         base = {w: float(base_of(c)) for w, c in known.items()}
-        other = {w: 0.0 if w in names else float(other_of(c)) for w, c in known.items()}
         for batch in batches:
             for low in range(0, batch.num_rows, 200):
                 keys, held = batch.column(0).slice(low, 200).to_pylist(), batch.column(2).slice(low, 200).to_pylist()
@@ -236,11 +301,11 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
                 for at, words in enumerate(word_texts(batch.column(1).slice(low, 200))):
                     words.append(END)
                     ids = _ids(words[:-1], names)
-                    lm = float(table[ids[:-1], ids[1:]].sum(dtype=np.float64))
+                    lm = likelihood(ids)
                     b = [base.get(w) for w in words]
                     rare = Counter([w for w, x in zip(words, b, strict=True) if x is None]) if None in b else {}
                     common = [x for x in b if x is not None]
-                    lm += sum([other[w] for w, x in zip(words, b, strict=True) if x is not None])
+                    lm += sum([within.get(w, 0.0) for w in words])
                     emit(next_row, keys[at], held[at], None, 1, len(words), len(common), sum(common), lm)
                     for w, c in rare.items():
                         emit(next_row, None, None, w, c, 0, 0, 0.0, 0.0)
@@ -261,7 +326,7 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
         parts.where("token IS NOT NULL").select("row", "token", "times").join(counts, "token", "left").groupBy("row").agg(
             F.sum(F.when(c > 0, t).otherwise(0)).alias("rare_known"),
             F.sum(t * F.log10((c + 0.1) / F.lit(n + 0.1 * (v + 1)))).alias("rare_base"),
-            F.sum(t * F.log10((c + 0.1) / F.lit(others + 0.1 * (kinds + 1)))).alias("rare_lm"),
+            F.sum(t * F.log10((c + 0.1) / F.lit(totals[0] + 0.1 * kinds[0]))).alias("rare_lm"),
         )
     )
     zero = lambda name: F.coalesce(name, F.lit(0))

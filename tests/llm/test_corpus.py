@@ -276,6 +276,32 @@ def test_language_model_counts_and_normalises(spark, odd, nothing):
     assert lm.score(odd).count() == odd.count() and lm.score(nothing).count() == 0
 
 
+def test_language_model_learns_from_every_position(spark):
+    rows = [(8 * i + 7, "left right" if i % 2 else f"w{i % 9} x{i % 7}") for i in range(4000)]
+    number = {lm.END: 1, b"left": 2, b"right": 3, **{f"{a}{i}".encode(): 4 + i + 9 * (a == "x") for a in "wx" for i in range(9)}}
+    df = spark.createDataFrame(rows, "id long, text string").coalesce(1)
+    table = lm.train(df, number, np.full(24, 1 / 24, dtype=np.float32)).table()
+    assert table[2, 3] > table[2, 4:].max() and not np.allclose(table, table[0], atol=0.05)
+
+
+def test_language_model_vocabulary_follows_the_counts(spark, monkeypatch):
+    taken = {}
+
+    def train(texts, number, share):
+        taken.update(number)
+        assert abs(share.sum() - 1) < 1e-4 and len(share) == max(number.values()) + 1
+        return lm.LogBilinear.start(share)
+
+    monkeypatch.setattr(lm, "train", train)
+    often = " ".join(f"o{i}" for i in range(3000))
+    rows = [(i, often + "".join(f" r{k}" for k in range(60) if i % (k + 2) == 0)) for i in range(130)]
+    got = lm.score(spark.createDataFrame(rows, "doc_id long, text string")).toPandas()
+    assert len({taken[f"o{i}".encode()] for i in range(3000)}) == 3000
+    # Rarer words share classes by their counts; the model has a probability for each of them.
+    assert 1 < len({taken[f"r{k}".encode()] for k in range(60)}) < 10
+    assert np.isfinite(got.score).all()
+
+
 def test_language_model_scores_rows_that_share_a_key(spark, monkeypatch):
     # Words beyond the looked-up ones join by shuffle; here all but four are.
     monkeypatch.setattr(lm, "FREQUENT", 4)
