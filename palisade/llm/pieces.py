@@ -101,6 +101,9 @@ def sample(lattices: Lattices, text: str, k: int, seed: int):
     serial = 0
     # (-perturbed, serial, word, position, log-probability, path); a path is a linked list.
     heap = [(-(-log(-log(draw() or 1e-300))), 0, 0, 0, 0.0, None)]
+    # The k + 1 largest values queued so far.  Each stands for a segmentation of its own
+    # with just that value, so what is below all of them is never among the first k + 1.
+    best = [-heap[0][0]]
     done: list[tuple] = []
     while heap and len(done) <= k:
         negative, _, w, at, phi, path = heapq.heappop(heap)
@@ -125,6 +128,12 @@ def sample(lattices: Lattices, text: str, k: int, seed: int):
                     v = g - x + (log(-math.expm1(gap)) if gap < 0 else -700.0)
                     value = g - max(0.0, v) - math.log1p(exp(-abs(v)))
                     serial += 1
+                    if len(best) > k:
+                        if value < best[0]:
+                            continue
+                        heapq.heapreplace(best, value)
+                    else:
+                        heapq.heappush(best, value)
                     to = (w, end_) if end_ < len(edges) else (w + 1, 0)
                     heapq.heappush(heap, (-value, serial, *to, phi + lp_, (path, ids_)))
                 end, ids, lp = chosen
@@ -132,15 +141,14 @@ def sample(lattices: Lattices, text: str, k: int, seed: int):
                 path = (path, ids)
             w, at = (w, end) if end < len(edges) else (w + 1, 0)
         done.append((path, phi, g))
-        if len(heap) > 200_000:  # only entries that can still be among the first k + 1
-            heap = heapq.nsmallest(k + 1, heap)
     threshold = done[k][2] if len(done) > k else None
     out = []
     for path, phi, g in done[:k]:
-        ids: list[int] = []
+        parts = []
         while path is not None:
-            ids[:0] = path[1]
+            parts.append(path[1])
             path = path[0]
+        ids = [i for part in reversed(parts) for i in part]
         inclusion = 1.0 if threshold is None else -math.expm1(-math.exp(min(phi - threshold, 700.0)))
         out.append((tuple(ids), phi, g, inclusion))
     return out

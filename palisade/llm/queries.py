@@ -132,7 +132,7 @@ def op9_mixture_packing(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def op10_gumbel_segmentations(spark: SparkSession, sf: str) -> DataFrame:
-    return pieces.encode(table(spark, sf, "conversations"), ["conv_id", "turn"])
+    return pieces.encode(table(spark, sf, "documents"), ["doc_id"])
 
 
 _STOPS = ", ".join(f"'{w}'" for w in dict.fromkeys(quality.STOP_WORDS))

@@ -360,6 +360,14 @@ def test_segmentations_are_distinct_and_decode(spark, odd, nothing):
     assert pieces.encode(nothing, ["doc_id"]).count() == 0
 
 
+def test_segmentations_cover_the_documents(spark, tmp_path):
+    rows = [(1, "one two"), (2, None), (3, "river stone " * 3000)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = queries.op10_gumbel_segmentations(spark, str(tmp_path)).collect()
+    assert {r.doc_id for r in got} == {1, 2, 3}
+    assert len({tuple(r.ids) for r in got if r.doc_id == 3}) == pieces.SAMPLES
+
+
 def test_first_sample_follows_the_probabilities():
     import public_tokenizers
 
