@@ -3,12 +3,13 @@
 Building: every vector starts with its nearest among the vectors beside it along a few
 random directions.  Then, again and again, each node compares its neighbours, forward
 and reverse, with each other (neighbours of neighbours), and every node keeps its best
-DEGREE.  All steps are joins and bounded groups: reverse neighbours of a node are
+DEGREE, until hardly an edge is new.  All steps are joins and bounded groups: reverse neighbours of a node are
 drawn by hash slot, at most DEGREE of them, before anything is grouped.
 
 Searching: each query keeps a beam of the best nodes seen, expands the best unexpanded
-ones, and stops when the beam holds none.  Vectors are compared in half precision
-until the beam's best are scored on the original vectors in double precision.
+ones, and stops when the beam holds none.  Vectors are compared in half precision; at
+last all of the beam that rounding could have kept from the best ``k`` is scored on the
+original vectors in double precision.
 """
 
 from __future__ import annotations
@@ -20,18 +21,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from palisade.llm.common import stored
+from palisade.llm.common import discard, stored
 
 DEGREE = 20
 DIRECTIONS = 4
 BLOCK = 512
-ROUNDS = 6
+DELTA = 0.001  # share of new edges below which the graph is settled
 OFFERS = 6  # per node, list and round
 BEAM = 448
 WIDTH = 64
-MAX_STEPS = 10
-RERANK = 4  # times the neighbours asked for
 ENTRIES = 64
+# Far beyond what building or searching needs; reaching it is an error.
+LIMIT = 500
 
 
 def clean(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -172,11 +173,11 @@ def _compare(lists: DataFrame) -> DataFrame:
     return lists.mapInArrow(run, "id long, other long, sim float")
 
 
-def build(packed: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """Neighbour graph (id, other, sim, old)."""
+def build(packed: DataFrame) -> DataFrame:
+    """Neighbour graph (id, other, sim, old), improved until it settles."""
     false = F.lit(False).alias("old")
     graph = stored(_best(_start(packed).select("id", "other", "sim", false)), "graph")
-    for _ in range(rounds):
+    for _ in range(LIMIT):
         # A node keeps its first list position for what it has, and asks its members' vectors.
         lists = graph.select(F.col("id").alias("node"), F.col("other").alias("member"), "old").unionByName(_drawn(graph))
         lists = lists.groupBy("node", "member").agg(F.min("old").alias("old"))
@@ -188,14 +189,16 @@ def build(packed: DataFrame, rounds: int = ROUNDS) -> DataFrame:
             F.collect_list(F.struct("member", "old", "worst", "v")).alias("members")
         )
         offers = _compare(asked.select("members")).select("id", "other", "sim", false)
-        graph = stored(_best(graph.withColumn("old", F.lit(True)).unionByName(offers)), "graph")
-        if graph.where("NOT old").isEmpty():
-            break
-    return graph
+        last, graph = graph, stored(_best(graph.withColumn("old", F.lit(True)).unionByName(offers)), "graph")
+        discard(last)
+        fresh, edges = graph.agg(F.count_if(~F.col("old")), F.count("*")).first()
+        if fresh <= DELTA * edges:
+            return graph
+    raise RuntimeError(f"the neighbour graph has not settled after {LIMIT} rounds")
 
 
 def search(packed: DataFrame, graph: DataFrame, queries: DataFrame, k: int, beam: int = BEAM) -> DataFrame:
-    """(query, id) of the best nodes seen for ``queries`` (query, qv): a few times ``k``.
+    """(query, id) of the nodes seen for ``queries`` (query, qv) that may be among its best ``k``.
 
     A query whose id is a node starts at its own neighbours; all queries also start at
     ENTRIES nodes drawn by hash.
@@ -242,19 +245,29 @@ def search(packed: DataFrame, graph: DataFrame, queries: DataFrame, k: int, beam
                 )
 
     vectors = packed.select(F.col("id").alias("next"), "v")
-    for step in range(MAX_STEPS):
+    for step in range(LIMIT):
         found = asked.distinct().join(vectors, "next").groupBy("query").agg(
             F.collect_list(F.struct(F.col("next").alias("id"), "v")).alias("found")
         )
         moving = state if step == 0 else state.where("busy")
         moved = moving.join(found, "query", "left").select("query", "qv", "beam", "found").mapInArrow(run, schema)
-        state = stored(moved if step == 0 else moved.unionByName(state.where("NOT busy")), "beams")
+        last, state = state, stored(moved if step == 0 else moved.unionByName(state.where("NOT busy")), "beams")
+        if step:
+            discard(last)
         if state.where("busy").isEmpty():
             break
         fresh = F.slice(F.filter("beam", lambda x: x["open"]), 1, WIDTH)
         front = state.where("busy").select("query", F.explode(fresh).alias("f")).select("query", F.col("f.id").alias("node"))
         asked = front.join(links, "node").select("query", F.explode("next").alias("next"))
-    return state.select("query", F.explode(F.slice("beam", 1, RERANK * k)).alias("b")).select("query", F.col("b.id").alias("id"))
+    else:
+        raise RuntimeError(f"queries are still searching after {LIMIT} steps")
+    # Half precision moves a component by 2^-11 of itself, so a product of unit vectors by
+    # about 2^-10; sums and the smallest components add far less than 2^-22 a dimension.
+    off = F.lit(1.01 * 2.0**-10) + F.length("qv") / 2 * F.lit(2.0**-22)
+    least = F.when(F.size("beam") >= k, F.get("beam", F.lit(k - 1))["sim"].cast("double") - 2 * off).otherwise(F.lit(-9.0))
+    beams = state.select("query", "beam", least.alias("least"))
+    close = beams.select("query", F.explode(F.filter("beam", lambda x: x["sim"] >= F.col("least"))).alias("b"))
+    return close.select("query", F.col("b.id").alias("id"))
 
 
 def scored(pairs: DataFrame, vectors: DataFrame) -> DataFrame:

@@ -335,6 +335,33 @@ def test_neighbours_reach_brute_force(spark):
     assert hits / total >= 0.9
 
 
+def test_search_goes_on_until_no_query_is_busy(spark, monkeypatch):
+    # A chain along a half circle: each step comes one node nearer.
+    monkeypatch.setattr(ann, "ENTRIES", 2)
+    n = 60
+    points = [(i, [float(np.cos(np.pi * i / n)), float(np.sin(np.pi * i / n))]) for i in range(n)]
+    packed = ann._packed(spark.createDataFrame(points, "id long, x array<double>"))
+    entries = [r["id"] for r in packed.select("id").orderBy(F.xxhash64("id"), "id").limit(2).collect()]
+    target = max(range(n), key=lambda i: min(abs(i - e) for e in entries))
+    assert min(abs(target - e) for e in entries) > 11
+    graph = spark.createDataFrame([(i, i + 1, 1.0, True) for i in range(n - 1)], "id long, other long, sim float, old boolean")
+    query = packed.where(F.col("id") == target).select(F.lit(1000).cast("long").alias("query"), F.col("v").alias("qv"))
+    assert target in {r["id"] for r in ann.search(packed, graph, query, 1).collect()}
+
+
+def test_near_equal_neighbours_are_told_apart(spark):
+    # Half precision sees 60 equal vectors, all of which are entries.
+    rng = np.random.default_rng(3)
+    x = np.ones((60, 8)) + rng.normal(0, 1e-5, (60, 8))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {}
+    for q in ann.nearest(df).orderBy("query_id", "rank").collect():
+        got.setdefault(q["query_id"], []).append(q["score"])
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    for q, scores in got.items():
+        assert np.allclose(scores, np.sort(np.delete(unit @ unit[q], q))[::-1][:5], rtol=0, atol=1e-14)
+
+
 def test_neighbours_of_odd_vectors(spark):
     schema = "vec_id long, embedding array<float>, id long"
     rows = [(0, [1.0, 0.0], 1), (1, [1.0, 0.1], 1), (2, None, 1), (3, [0.0, 0.0], 1), (4, [float("nan"), 1.0], 1), (50, [0.0, 1.0], 1), (None, [1.0, 1.0], 1), (0, [1.0, 0.0], 1), (7, [1.0], 1)]
