@@ -138,7 +138,7 @@ def _(t):
 def _(t):
     rows = scored(t)
     attacks = prep.split(rows.where("true_label <> 'BENIGN'"), {"train": 0.8, "test": 0.2}, ["vec_id"], ["true_label"])
-    model = M.fit_classifier(attacks.where("split = 'train'"), "code", "true_label", trees=10, depth=4)
+    model = M.fit_classifier(attacks.where("split = 'train'"), "code", "true_label")
     tested = model.classify(attacks.where("split = 'test'"))
     return plain(E.class_quality(tested, "true_label", "predicted_label"))
 

@@ -440,14 +440,14 @@ def _(t):
 
 @query("f20_forest_importance")
 def _(t):
-    return plain(K.forest_importance(I.flows(t), I.FEATURES, trees=10, depth=6))
+    return plain(K.forest_importance(I.flows(t), I.FEATURES))
 
 
 @query("f21_combined_ranking")
 def _(t):
     table = I.flows(t)
     mi = K.mutual_information(table, I.FEATURES)
-    importance = K.forest_importance(table, I.FEATURES, trees=5, depth=5)
+    importance = K.forest_importance(table, I.FEATURES)
     return plain(K.combined_ranking(table, I.FEATURES, mi, importance))
 
 
@@ -463,7 +463,7 @@ def _(t):
 
 @query("f22_training_accuracy")
 def _(t):
-    model, prepared = K.forest(I.flows(t), I.FEATURES, trees=5, depth=5)
+    model, prepared = K.forest(I.flows(t), I.FEATURES)
     scored = model.transform(prepared)
     hit = (F.col("prediction") == F.col("target")).cast("int")
     return plain(scored.agg(F.count("*").alias("rows"), F.avg(hit).alias("accuracy")))

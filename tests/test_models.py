@@ -154,3 +154,25 @@ def test_activity_layers_end_to_end(spark, tmp_path):
     assert [first["target"], second["target"]] == [0, 1]
     small = behaviour.labelled_from_disk(spark, gold, str(raw / "insiders.csv"))
     assert "target" in small.columns and "user" not in small.columns
+
+
+@pytest.mark.parametrize(
+    ("name", "size"),
+    [("f20_forest_importance", (100, 12)), ("f21_combined_ranking", (100, 12)), ("f22_training_accuracy", (100, 12)), ("f13_attack_classifier", (50, 6))],
+)
+def test_queries_grow_whole_forests(spark, monkeypatch, name, size):
+    import palisade.catalog  # noqa: F401
+    from pyspark.ml.classification import RandomForestClassifier
+
+    from palisade.catalog.registry import QUERIES
+
+    class Asked(Exception):
+        pass
+
+    def fit(self, *_):
+        raise Asked((self.getNumTrees(), self.getMaxDepth()))
+
+    monkeypatch.setattr(RandomForestClassifier, "fit", fit)
+    with pytest.raises(Asked) as asked:
+        QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert asked.value.args[0] == size
