@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from palisade.llm import ann, chat, jaccard, lm, packing, pieces, quality, secrets, sharding, toxicity
+from palisade.llm import ann, chat, jaccard, lm, packing, pieces, quality, repair, search, secrets, sharding, toxicity, urls
 from palisade.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -135,6 +135,30 @@ def op10_gumbel_segmentations(spark: SparkSession, sf: str) -> DataFrame:
     return pieces.encode(table(spark, sf, "documents"), ["doc_id"])
 
 
+@query
+def op11_block_table_repair(spark: SparkSession, sf: str) -> DataFrame:
+    return repair.report(table(spark, sf, "conversations"))
+
+
+@query
+def op12_mask_search(spark: SparkSession, sf: str) -> DataFrame:
+    return search.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"), k=20)
+
+
+URL_ENTRIES = [
+    urls.Entry("org", "/", "allow"),
+    urls.Entry("example.org", "/es/", "block"),
+    urls.Entry("example.org", "/en/1", "block"),
+    urls.Entry("com", "/fr/", "allow"),
+    urls.Entry("com", "/de/", "block"),
+]
+
+
+@query
+def op13_url_trie(spark: SparkSession, sf: str) -> DataFrame:
+    return urls.judge(table(spark, sf, "pages"), URL_ENTRIES)
+
+
 _STOPS = ", ".join(f"'{w}'" for w in dict.fromkeys(quality.STOP_WORDS))
 _WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
@@ -189,3 +213,113 @@ WITH RECURSIVE d AS (
 SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, c.component_id
 FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY 1) c USING (doc_id)
 """
+
+ORACLES["op11_block_table_repair"] = r"""
+WITH RECURSIVE o AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key,
+         dense_rank() OVER (ORDER BY conv_id) AS k
+  FROM conversations
+), z AS (
+  SELECT *, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(range(1, len(key) + 1),
+           lambda i: list_prepend(CAST(ord(substr(key, i, 1)) AS BIGINT), [-1, -1, -1, -1, -1, -1, -1, -1])))),
+         lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END) END),
+         4294967295) % 20 AS m
+  FROM o
+), d AS (
+  SELECT k, conv_id, turn, CASE WHEN m = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN m = 1 THEN '' WHEN m = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM z, range(0, 2) t(copy) WHERE m <> 0 AND (m = 3 OR copy = 0)
+), n AS (
+  SELECT *, row_number() OVER (PARTITION BY k ORDER BY turn NULLS FIRST, role, sha256(role || chr(10) || text)) AS i FROM d
+), f AS (
+  SELECT *, left(role, 1) AS r,
+         CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+              WHEN row_number() OVER (PARTITION BY k, role, text ORDER BY i) > 1 THEN 'duplicate'
+              WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 'truncated' ELSE '' END AS fault
+  FROM n
+), s AS (
+  SELECT k, i, role, text, r, coalesce(lag(r) OVER (PARTITION BY k ORDER BY i), '') AS p, turn, fault,
+         fault IN ('blank', 'duplicate') AS del, CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END AS e FROM f
+), b AS (
+  SELECT k, CAST(max(i) + 1 AS BIGINT) AS i, [0, 6, 3, 0] AS g FROM s GROUP BY k
+  UNION ALL
+  SELECT k, i, [least(h[1], 3 + least(h[3], 3 + h[4])), least(h[2], 3 + least(h[3], 3 + h[4])), least(h[3], 3 + h[4]), least(h[4], 3 + h[3])]
+  FROM (
+    SELECT s.k, s.i, CASE WHEN del THEN list_transform(g, lambda x: 4 + x) ELSE [
+        least(4 + g[1], 3 + e + g[3], CASE r WHEN 's' THEN e + g[2] WHEN 'u' THEN e + g[3] ELSE 999 + g[1] END),
+        least(4 + g[2], 3 + e + g[3], CASE r WHEN 'u' THEN e + g[3] ELSE 999 + g[1] END),
+        least(4 + g[3], 3 + e + g[4], CASE r WHEN 'a' THEN e + g[4] ELSE 999 + g[1] END),
+        least(4 + g[4], 3 + e + g[3], CASE r WHEN 'u' THEN e + g[3] ELSE 999 + g[1] END)] END AS h
+    FROM b JOIN s ON s.k = b.k AND s.i = b.i - 1
+  )
+), w AS (
+  SELECT k, CAST(1 AS BIGINT) AS i, 0 AS q, '' AS audit, CAST([] AS VARCHAR[]) AS o, min(g[1]) FILTER (WHERE i = 1) AS cost FROM b GROUP BY k
+  UNION ALL
+  SELECT k, CASE WHEN x = 'I' THEN i ELSE i + 1 END,
+         CASE WHEN x = 'D' THEN q WHEN x = 'K' AND q = 0 AND r = 's' THEN 1 ELSE nx END, audit || x,
+         CASE WHEN x = 'D' THEN o WHEN x = 'K' THEN list_append(o, role || ':' || text)
+              ELSE list_append(o, CASE WHEN nx = 2 THEN 'user:' ELSE 'assistant:' END || CASE WHEN x = 'R' THEN text ELSE '' END) END, cost
+  FROM (
+    SELECT w.*, s.role, s.text, s.r, [2, 2, 3, 2][q + 1] AS nx,
+           CASE WHEN s.i IS NULL THEN 'I'
+                WHEN 4 + y.g[q + 1] = b.g[q + 1] THEN 'D'
+                WHEN 3 + b.g[[2, 2, 3, 2][q + 1] + 1] = b.g[q + 1] THEN 'I'
+                WHEN (r = 's' AND q = 0 AND e + y.g[2] = b.g[q + 1]) OR (r = 'u' AND q <> 2 AND e + y.g[3] = b.g[q + 1])
+                  OR (r = 'a' AND q = 2 AND e + y.g[4] = b.g[q + 1]) THEN 'K'
+                ELSE 'R' END AS x
+    FROM w JOIN b ON b.k = w.k AND b.i = w.i LEFT JOIN s ON s.k = w.k AND s.i = w.i LEFT JOIN b y ON y.k = w.k AND y.i = w.i + 1
+    WHERE s.i IS NOT NULL OR q IN (1, 2)
+  )
+), done AS (
+  SELECT w.k, cost, audit, sha256(array_to_string(o, chr(10))) AS seal FROM w JOIN (SELECT k, max(i) AS i FROM b GROUP BY k) e ON e.k = w.k AND e.i = w.i
+  WHERE q IN (0, 3)
+), c AS (
+  SELECT k, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps, count(*) FILTER (WHERE fault = 'blank') AS blank,
+         count(*) FILTER (WHERE fault = 'duplicate') AS duplicate, count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+         count(*) FILTER (WHERE i > 1 AND p || r NOT IN ('su', 'ua', 'au')) AS illegal FROM s GROUP BY k
+)
+SELECT conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank,
+       CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+       CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(cost, 0) AS BIGINT) AS cost,
+       coalesce(audit, '') AS audit, coalesce(seal, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT k, conv_id FROM o) LEFT JOIN c USING (k) LEFT JOIN done USING (k)
+"""
+
+_TERMS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+ORACLES["op12_mask_search"] = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS k, doc_id, {_TERMS} AS w FROM documents
+), i AS (
+  SELECT row_number() OVER () AS j, item_id, {_TERMS} AS w FROM benchmark
+), c AS (SELECT count(*) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM d WHERE len(w) > 0
+), it AS (SELECT j, item_id, t, count(*) AS r FROM (SELECT j, item_id, unnest(w) AS t FROM i) GROUP BY ALL
+), tf AS (
+  SELECT k, doc_id, t, count(*) AS tf, n FROM (SELECT k, doc_id, len(w) AS n, unnest(w) AS t FROM d)
+  WHERE t IN (SELECT t FROM it) GROUP BY ALL
+), wt AS (
+  SELECT t, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, c GROUP BY t, n_docs
+), s AS (
+  SELECT j, item_id, k, doc_id, CAST(sum(r * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM tf JOIN wt USING (t) JOIN it USING (t), c GROUP BY j, item_id, k, doc_id
+)
+SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY j ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s WHERE score > 0
+) WHERE rank <= 20
+"""
+
+_FITS = " UNION ALL ".join(
+    f"SELECT '{e.host}' AS h, '{e.path}' AS p, '{e.verdict}' AS v" for e in URL_ENTRIES
+)
+ORACLES["op13_url_trie"] = rf"""
+WITH u AS (
+  SELECT row_number() OVER () AS k, page_id,
+         translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path FROM pages
+), e AS ({_FITS}
+), m AS (
+  SELECT k, h || p AS rule, v, row_number() OVER (PARTITION BY k ORDER BY length(h) DESC, length(p) DESC) AS best
+  FROM u JOIN e ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+)
+SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM u LEFT JOIN m ON m.k = u.k AND best = 1
+"""
