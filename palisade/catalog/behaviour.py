@@ -187,12 +187,32 @@ def _(t):
     silver = U.silver_http(I.http_log(t))
     middle = F.lit("2024-01-15").cast("date")
     silver.where(F.col("date") <= middle).write.partitionBy("date").parquet(f"{layer}/http")
-    behaviour.add_missing_http_days(spark, layer, cache)
+    behaviour.refresh_http_days(spark, layer, cache)
     silver.where(F.col("date") > middle).write.mode("append").partitionBy("date").parquet(f"{layer}/http")
-    days = behaviour.add_missing_http_days(spark, layer, cache)
+    days = behaviour.refresh_http_days(spark, layer, cache)
     return plain(days.select("user", "date", "http_request_count", "after_hours_http_count", "mean_url_length"))
 
 
+@query(
+    "d10_late_and_broken_days",
+    f"WITH {HTTP_DAY} SELECT {ID}, n AS http_request_count, {whole('ah', 'after_hours_http_count')}, {num('len', 'mean_url_length')}, "
+    f"{z_sql('n', 'http_count_zscore')} FROM http_day",
+)
+def _(t):
+    """Late rows for stored days, and a run that broke before it was entered as done."""
+    spark = t.spark
+    layer, cache = scratch_path(spark, "silver"), scratch_path(spark, "http-days")
+    silver = U.silver_http(I.http_log(t))
+    late, broken = F.col("event_id") % 7 == 0, F.dayofmonth("date") % 5 == 0
+    silver.where(~late).write.partitionBy("date").parquet(f"{layer}/http")
+    # What a broken run may leave: half of a day's users, and no entry.
+    U.daily_http(silver.where(broken & ~late & (F.col("user") < "u5"))).write.partitionBy("date").parquet(cache)
+    behaviour.refresh_http_days(spark, layer, cache)
+    silver.where(late).write.mode("append").partitionBy("date").parquet(f"{layer}/http")
+    days = U.http_scores(behaviour.refresh_http_days(spark, layer, cache))
+    return plain(days.select("user", "date", "http_request_count", "after_hours_http_count", "mean_url_length", "http_count_zscore"))
+
+
 def silver_tables(t):
     return {
         "logon": silver_logon(t),
@@ -268,8 +288,56 @@ def _(t):
     + " FROM l JOIN v USING (\"user\", date) JOIN e USING (\"user\", date) JOIN f USING (\"user\", date) JOIN h USING (\"user\", date)",
 )
 def labelled(t):
-    gold = behaviour.gold_tables(silver_tables(t), exact=True)
-    return plain(behaviour.labelled_days(gold, I.periods(t)))
+    return plain(behaviour.labelled_from_silver(silver_tables(t), I.periods(t), exact=True))
+
+
+def sparse_silver(t):
+    """Silver tables that each miss days: every log keeps the events of some kinds."""
+    kept = {
+        "logon": "activity <> 'signup'",
+        "device": "activity IN ('Connect', 'Disconnect')",
+        "email": "attachments IS NOT NULL",
+        "file": "activity <> 'open' AND to_usb_event + from_usb_event + copy_event > 0",
+        "http": "url IS NOT NULL",
+    }
+    logs = {"logon": I.logs(t), "device": I.device_log(t)}
+    tables = silver_tables(t)
+    derive = {"logon": U.silver_logon, "device": U.silver_device}
+    some = {n: derive[n](df.where(kept[n])) for n, df in logs.items()}
+    return {**tables, **some, **{n: tables[n].where(kept[n]) for n in ("email", "file", "http")}}
+
+
+_SPARSE = {
+    "logs": "activity <> 'signup'", "device_rows": "activity IN ('click', 'view')", "email": "attachments IS NOT NULL",
+    "flagged": "kind IN ('click', 'view')", "http": "url IS NOT NULL",
+}
+
+
+def _zero(columns: str) -> str:
+    return ", ".join(f"COALESCE({c}, 0) AS {c.split('.')[-1]}" for c in columns.split())
+
+
+@query(
+    "c03_user_day_features",
+    f"WITH {LOGON_DAY.replace('FROM logs GROUP', 'FROM logs WHERE ' + _SPARSE['logs'] + ' GROUP')}, "
+    f"{HTTP_DAY.replace('FROM http GROUP', 'FROM http WHERE ' + _SPARSE['http'] + ' GROUP')}, "
+    f"{EMAIL_DAY.replace('FROM email GROUP', 'FROM email WHERE ' + _SPARSE['email'] + ' GROUP')}, "
+    f"{FILE_DAY.replace('FROM flagged GROUP', 'FROM flagged WHERE ' + _SPARSE['flagged'] + ' GROUP')}, device AS (SELECT u, d, "
+    "SUM(CASE WHEN activity = 'click' THEN 1 ELSE 0 END) AS c, SUM(CASE WHEN activity = 'view' THEN 1 ELSE 0 END) AS dc "
+    f"FROM logs WHERE {_SPARSE['device_rows']} GROUP BY u, d), l AS ({LOGON_SQL}), h AS ({HTTP_SQL}), e AS ({EMAIL_SQL}), f AS ({FILE_SQL}), "
+    f"v AS (SELECT {ID}, {whole('c', 'usb_connect_count')}, {whole('dc', 'usb_disconnect_count')}, "
+    f"{flag_sql('c <> dc', 'incomplete_session_flag')}, {z_sql('c', 'usb_connect_zscore')} FROM device) SELECT l.*, "
+    + _zero("v.usb_connect_count v.usb_disconnect_count v.incomplete_session_flag v.usb_connect_zscore e.email_count e.send_count "
+            "e.after_hours_email_count e.external_email_ratio e.attachment_per_email e.email_volume_deviation e.external_ratio_deviation "
+            "f.file_copy_count f.file_write_count f.file_delete_count f.usb_copy_count f.usb_read_count f.after_hours_file_count "
+            "f.unique_file_count f.avg_keyword_count f.decoy_access_count f.file_copy_zscore h.http_request_count h.unique_url_count "
+            "h.unique_domain_count h.suspicious_url_count h.after_hours_http_count h.weekend_http_flag h.mean_url_length "
+            "h.http_count_zscore h.domain_count_zscore")
+    + " FROM l "
+    + " ".join(f'LEFT JOIN {x} ON {x}."user" = l."user" AND {x}.date = l.date' for x in "vefh"),
+)
+def _(t):
+    return plain(U.merged_features(sparse_silver(t), exact=True))
 
 
 @query(

@@ -108,7 +108,10 @@ def _(t):
 
 
 def detections(t):
-    return M.detect(scored(t), LIMIT, by_code(t), "vec_id")
+    rows = I.vectors(t)
+    model = M.block_reconstruction(rows.where("true_label = 'BENIGN'"), "embedding", I.DIMENSIONS)
+    names = prep.label_map(rows.where("true_label <> 'BENIGN'"), "true_label")
+    return M.detect_vectors(rows, "embedding", model, LIMIT, M.best_score, names, "vec_id")
 
 
 DETECTED = NAMED + f""", detected AS (SELECT vec_id, true_label, mse, mse >= {LIMIT} AS hot,

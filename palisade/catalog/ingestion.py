@@ -128,6 +128,18 @@ def _(t):
     return plain(G.day_partition(stored, 1998, 10, 3).select("o_orderkey", "o_totalprice"))
 
 
+@query(
+    "a09_pruned_event_day",
+    f"SELECT event_id, user_id, {num('value', 'value')} FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-17'",
+)
+def _(t):
+    """One day of a table partitioned down to the day: one folder is read."""
+    path = scratch_path(t.spark, "events-by-day")
+    df, names = G.with_partition_columns(t.events, "ts", "day")
+    G.write_layer(df, path, names)
+    return plain(G.read_day(t.spark, path, 2024, 1, 17).select("event_id", "user_id", "value"))
+
+
 @query("a10_parquet_sink", f"SELECT event_id, user_id, {num('value', 'value')} FROM events")
 def _(t):
     path = scratch_path(t.spark, "events-snappy")

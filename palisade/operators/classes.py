@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from palisade.functions.flows import BENIGN, attack_family
 from palisade.functions.numeric import clip, col, finite, magnitude_slot
 from palisade.operators.ordered import attach, prefix_sums
-from palisade.operators.profile import clipped_long, long_form, scaled_share
-from palisade.operators.quantiles import quantile_columns
+from palisade.operators.profile import long_form, scaled_share
+from palisade.operators.quantiles import interpolated, order_statistics, quantile_columns
 
 
 def _all():
@@ -93,13 +93,37 @@ def family_totals(df: DataFrame, label: str = "label") -> DataFrame:
 # ---- class profiles ---------------------------------------------------------
 
 
+def _clipped_medians(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
+    """(label, feature, median, low, high) of values clipped to p1..p99 of the feature.
+
+    Clipping keeps the order, so the middle values of the clipped rows are the clipped
+    middle values of the rows.  The bounds of all classes and the middles of each come
+    from one search over both groupings.
+    """
+    found = order_statistics(
+        long_form(df, features, [label]), "value", [([label, "feature"], [0.5]), (["feature"], [0.01, 0.99])]
+    )
+    of_feature = Window.partitionBy("feature")
+    bound = lambda i: F.max(F.when(F.col("set") == 1, interpolated(F.col("places")[i]))).over(of_feature)
+    middle = F.col("places")[0]
+    clipped = F.struct(
+        clip(middle["low"], F.col("low"), F.col("high")).alias("low"),
+        clip(middle["high"], F.col("low"), F.col("high")).alias("high"),
+        middle["weight"].alias("weight"),
+    )
+    return (
+        found.withColumns({"low": bound(0), "high": bound(1)})
+        .where("set = 0")
+        .select(label, "feature", interpolated(clipped).alias("median"), "low", "high")
+    )
+
+
 def class_medians(
     df: DataFrame, features: Sequence[str], label: str = "label", method: str = "ranks"
 ) -> DataFrame:
     """Median per class and feature of the values clipped to p1..p99."""
     if method == "ranks":
-        rows = clipped_long(df, features, [label], method=method)
-        return quantile_columns(rows, "value", {"median": 0.5}, [label, "feature"], method)
+        return _clipped_medians(df, features, label).select(label, "feature", "median")
     # Equal values are counted once; bounds and medians both start from the counts.
     counts = (
         long_form(df, features, [label])
@@ -110,32 +134,20 @@ def class_medians(
     bounds = counts.groupBy("feature").agg(ends.alias("ends"))
     clipped = clip("value", F.col("ends")[0], F.col("ends")[1])
     return (
-        counts.join(F.broadcast(bounds), "feature")
+        counts.join(bounds, "feature")
         .groupBy(label, "feature")
         .agg(F.percentile(clipped, F.lit(0.5), F.col("n")).alias("median"))
     )
 
 
-def scaled_medians(
-    df: DataFrame, features: Sequence[str], label: str = "label", method: str = "ranks"
-) -> DataFrame:
-    """Class medians placed in the feature's clipped range (a range of 0 counts as 1)."""
-    ranges = (
-        clipped_long(df, features, method=method)
-        .groupBy("feature")
-        .agg(F.min("value").alias("low"), F.max("value").alias("high"))
-    )
+def scaled_medians(df: DataFrame, features: Sequence[str], label: str = "label") -> DataFrame:
+    """Class medians placed in the feature's clipped range (a range of 0 counts as 1).
+
+    The least and largest clipped values are the bounds themselves.
+    """
     span = F.col("high") - F.col("low")
-    return (
-        class_medians(df, features, label, method)
-        .join(F.broadcast(ranges), "feature")
-        .select(
-            label,
-            "feature",
-            "median",
-            ((F.col("median") - F.col("low")) / F.when(span == 0, 1.0).otherwise(span)).alias("scaled"),
-        )
-    )
+    scaled = (F.col("median") - F.col("low")) / F.when(span == 0, 1.0).otherwise(span)
+    return _clipped_medians(df, features, label).select(label, "feature", "median", scaled.alias("scaled"))
 
 
 def separation(medians: DataFrame, label: str = "label", benign: str = BENIGN) -> DataFrame:

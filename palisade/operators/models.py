@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -10,13 +10,14 @@ import pandas as pd
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from palisade.functions.flows import action_text, is_anomalous
 from palisade.functions.numeric import col
 from palisade.operators.prep import class_weights, decode_labels, encode_labels, label_map
+from palisade.session import scratch_path
 
 CODE_WIDTH = 8
 
@@ -197,6 +198,122 @@ def detect(
     )
 
 
+@dataclass(frozen=True)
+class FlatForest:
+    """A fitted forest as arrays, evaluated for a batch of rows level by level.
+
+    ``shares`` are the class shares at each node; inner nodes have a feature, leaves -1.
+    """
+
+    feature: np.ndarray
+    threshold: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
+    shares: np.ndarray
+    roots: np.ndarray
+
+    def classify(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(class id, confidence) of each row: the trees' shares are averaged."""
+        at = np.repeat(self.roots[None, :], len(x), axis=0)
+        rows = np.arange(len(x))[:, None]
+        while True:
+            inner = self.feature[at] >= 0
+            if not inner.any():
+                break
+            low = x[rows, np.maximum(self.feature[at], 0)] <= self.threshold[at]
+            at = np.where(inner, np.where(low, self.left[at], self.right[at]), at)
+        chances = self.shares[at].mean(axis=1)
+        return chances.argmax(axis=1), chances.max(axis=1)
+
+
+def flat_forest(spark: SparkSession, model) -> FlatForest:
+    """Nodes of a fitted forest with numeric features, read from its saved form.
+
+    The table has at most trees x 2^(depth + 1) rows, whatever the data.
+    """
+    path = scratch_path(spark, "forest")
+    model.write().save(path)
+    nodes = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*").orderBy("treeID", "id").collect()
+    place = {(n["treeID"], n["id"]): i for i, n in enumerate(nodes)}
+    if any(n["split"]["numCategories"] != -1 for n in nodes if n["leftChild"] >= 0):
+        raise ValueError("splits on categories are not supported")
+    inner = [n["leftChild"] >= 0 for n in nodes]
+    child = lambda n, side: place[n["treeID"], n[side]]
+    stats = np.array([n["impurityStats"] for n in nodes], dtype=float)
+    return FlatForest(
+        np.array([n["split"]["featureIndex"] if x else -1 for n, x in zip(nodes, inner, strict=True)]),
+        np.array([n["split"]["leftCategoriesOrThreshold"][0] if x else 0.0 for n, x in zip(nodes, inner, strict=True)]),
+        np.array([child(n, "leftChild") if x else i for i, (n, x) in enumerate(zip(nodes, inner, strict=True))]),
+        np.array([child(n, "rightChild") if x else i for i, (n, x) in enumerate(zip(nodes, inner, strict=True))]),
+        stats / np.maximum(stats.sum(axis=1, keepdims=True), 1e-300),
+        np.array([i for i, n in enumerate(nodes) if n["id"] == 0]),
+    )
+
+
+def best_score(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Class scores read from the code itself: (position of the largest, the largest)."""
+    return codes.argmax(axis=1), codes.max(axis=1)
+
+
+def detect_vectors(
+    df: DataFrame,
+    vector: str,
+    reconstruction: Reconstruction,
+    threshold: float,
+    classify: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]],
+    labels: DataFrame,
+    key: str,
+    error: str = "mse_error",
+) -> DataFrame:
+    """Two-stage detection straight from the vectors, in one scan and one evaluation.
+
+    Each Arrow batch is scored whole; the codes of its anomalous rows alone go to
+    ``classify``, which returns class ids and confidences.  A null vector has no error
+    and is not anomalous.
+    """
+    centre, encoder, decoder = reconstruction.centre, reconstruction.encoder, reconstruction.decoder
+    schema = T.StructType(
+        [
+            T.StructField("error", T.DoubleType()),
+            T.StructField("hot", T.BooleanType()),
+            T.StructField("id", T.IntegerType()),
+            T.StructField("confidence", T.DoubleType()),
+        ]
+    )
+
+    @F.pandas_udf(schema)
+    def staged(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            known, n = batch.notna().to_numpy(), len(batch)
+            error, hot, ids, sure = np.full(n, np.nan), np.zeros(n, dtype=bool), np.full(n, -1), np.full(n, np.nan)
+            if known.any():
+                x = np.vstack(batch[known].to_numpy()).astype(float) - centre
+                codes = x @ encoder
+                error[known] = ((x - codes @ decoder) ** 2).mean(axis=1)
+                hot = known & ~(error < threshold)
+                if hot.any():
+                    ids[hot], sure[hot] = classify(codes[hot[known]])
+            yield pd.DataFrame(
+                {
+                    "error": pd.Series(error).astype("Float64").where(known),
+                    "hot": hot,
+                    "id": pd.Series(ids).astype("Int32").where(hot),
+                    "confidence": pd.Series(sure).astype("Float64").where(hot),
+                }
+            )
+
+    scored = df.withColumn("__s", staged(col(vector).cast("array<double>"))).select(
+        *[c for c in df.columns if c in (key, "true_label")],
+        F.col("__s.error").alias(error),
+        F.col("__s.hot").alias("is_anomalous"),
+        F.col("__s.id").alias("predicted_id"),
+        F.col("__s.confidence").alias("confidence"),
+    )
+    named = decode_labels(scored, labels, "predicted_id")
+    text = F.concat(F.lit("ATTACK: "), F.col("predicted_label"))
+    return named.withColumn("action", F.when(F.col("is_anomalous"), text).otherwise(F.lit("BENIGN - Passed"))).drop("predicted_id")
+
+
 def detection_totals(detections: DataFrame) -> DataFrame:
     return detections.agg(
         F.count("*").alias("total_samples"),

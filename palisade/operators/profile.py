@@ -301,7 +301,12 @@ def error_summary(df: DataFrame, value: str, by: Sequence[str] = (), method: str
         F.avg(finite(value)).alias("mean"),
         F.stddev_pop(finite(value)).alias("std"),
     )
-    return attach(moments, quantile_columns(df, value, ERROR_SUMMARY, by, method), list(by))
+    tails = quantile_columns(df, value, ERROR_SUMMARY, by, method)
+    if by:
+        return attach(moments, tails, list(by))
+    # One row each, put side by side without a join.
+    both = moments.unionByName(tails, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])
 
 
 def scaled_share(df: DataFrame, value: str, by: Sequence[str], name: str, pad: float = 0.0) -> DataFrame:

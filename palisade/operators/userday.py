@@ -7,8 +7,9 @@ day, so the window over a user stays small however active the user is.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -282,6 +283,181 @@ def tumbling_days(daily: DataFrame, measure: str, name: str, days: int = 50, use
     return daily.groupBy(user, span.cast("int").alias("span")).agg(F.avg(measure).alias(name))
 
 
+# ---- all logs at once -------------------------------------------------------
+
+
+class Measures(NamedTuple):
+    """What a day of one log is summed up to: name -> column of the silver table.
+
+    ``first`` and ``last`` are minimum and maximum, ``means`` averages, and ``distinct``
+    counts different values.  ``rows`` names the count of the log's rows.
+    """
+
+    rows: str
+    sums: dict[str, str] = {}
+    first: dict[str, str] = {}
+    last: dict[str, str] = {}
+    means: dict[str, str] = {}
+    distinct: dict[str, str] = {}
+
+
+MEASURES = {
+    "logon": Measures(
+        "logon_count",
+        {"after_hours_logon_count": "after_hours_flag"},
+        {"first_logon_hour": "hour"},
+        {"last_activity_hour": "hour", "weekend_flag": "weekend_flag"},
+        distinct={"unique_pc_count": "pc"},
+    ),
+    "device": Measures(
+        "device_count", {"usb_connect_count": "usb_connect_event", "usb_disconnect_count": "usb_disconnect_event"}
+    ),
+    "email": Measures(
+        "email_count",
+        {
+            "send_count": "send_flag",
+            "after_hours_email_count": "after_hours_flag",
+            "emails_with_external": "has_external_recipient",
+            "total_attachments": "attachment_count",
+        },
+    ),
+    "file": Measures(
+        "file_count",
+        {
+            "file_copy_count": "copy_event",
+            "file_write_count": "write_event",
+            "file_delete_count": "delete_event",
+            "usb_copy_count": "to_usb_event",
+            "usb_read_count": "from_usb_event",
+            "after_hours_file_count": "after_hours_flag",
+            "decoy_access_count": "decoy_access_flag",
+        },
+        means={"avg_keyword_count": "content_keyword_count"},
+        distinct={"unique_file_count": "filename"},
+    ),
+    "http": Measures(
+        "http_request_count",
+        {"suspicious_url_count": "suspicious_url_flag", "after_hours_http_count": "after_hours_flag"},
+        last={"weekend_http_flag": "weekend_flag"},
+        means={"mean_url_length": "url_length"},
+        distinct={"unique_url_count": "url", "unique_domain_count": "domain"},
+    ),
+}
+# Counted exactly whatever is asked of the others, as in the tables of single logs.
+ALWAYS_EXACT = ("unique_pc_count",)
+
+# Columns of the merged table after the keys, log by log.
+MERGED = (
+    "logon_count", "unique_pc_count", "first_logon_hour", "last_activity_hour", "after_hours_logon_count", "weekend_flag",
+    "logon_count_zscore", "work_duration_hours",
+    "usb_connect_count", "usb_disconnect_count", "incomplete_session_flag", "usb_connect_zscore",
+    "email_count", "send_count", "after_hours_email_count", "external_email_ratio", "attachment_per_email",
+    "email_volume_deviation", "external_ratio_deviation",
+    "file_copy_count", "file_write_count", "file_delete_count", "usb_copy_count", "usb_read_count", "after_hours_file_count",
+    "unique_file_count", "avg_keyword_count", "decoy_access_count", "file_copy_zscore",
+    "http_request_count", "unique_url_count", "unique_domain_count", "suspicious_url_count", "after_hours_http_count",
+    "weekend_http_flag", "mean_url_length", "http_count_zscore", "domain_count_zscore",
+)
+
+
+def _tagged(silver: DataFrame, log: str, measures: Mapping[str, Measures], exact: Sequence[str]) -> DataFrame:
+    """Rows of one log in the columns of all logs; measures of other logs are null.
+
+    Each value to be counted exactly takes a row, tagged by its measure; the other
+    measures are on the row of tag 0.
+    """
+    m = measures[log]
+    counted = [name for name in m.distinct if name in exact]
+    pair = lambda tag, item: F.struct(F.lit(tag).alias("tag"), item.cast("string").alias("item"))
+    tags = F.array(
+        pair(0, F.lit(None)), *[pair(i, col(m.distinct[name])) for i, name in enumerate(exact, 1) if name in counted]
+    )
+    rows = silver.withColumn("__x", F.explode(tags)) if counted else silver.withColumn("__x", tags[0])
+    here = F.col("__x.tag") == 0 if counted else F.lit(True)
+    out = [F.lower("user").alias("user"), F.col("date"), F.col("__x.tag").alias("tag"), F.col("__x.item").alias("item")]
+    for name, other in measures.items():
+        own = name == log
+
+        def value(source: str | None, kind: str, own=own):
+            return (F.when(here, col(source)) if own else F.lit(None)).cast(kind)
+
+        out.append((F.when(here, F.lit(1)) if own else F.lit(None)).cast("long").alias(other.rows))
+        out += [value(c, "long").alias(n) for n, c in other.sums.items()]
+        out += [value(c, "int").alias(n) for n, c in (*other.first.items(), *other.last.items())]
+        out += [value(c, "double").alias(n) for n, c in other.means.items()]
+        out += [value(c, "string").alias(n) for n, c in other.distinct.items() if n not in exact]
+    return rows.select(*out)
+
+
+def merged_days(silver: Mapping[str, DataFrame], exact: bool = False, measures: Mapping[str, Measures] = MEASURES) -> DataFrame:
+    """One row per user and date with the measures of all logs, null where a log has no row.
+
+    The logs are put together first and meet in one aggregation, combined before its
+    shuffle.  With ``exact``, values to be counted are rows tagged by measure, which a
+    first aggregation makes distinct; otherwise they are sketches inside the only one.
+    """
+    named = [n for m in measures.values() for n in m.distinct]
+    counted = named if exact else []
+    rows = reduce(DataFrame.unionByName, [_tagged(silver[log], log, measures, counted) for log in measures])
+    means = [n for m in measures.values() for n in m.means]
+    totals = [
+        *[F.sum(n).alias(n) for m in measures.values() for n in (m.rows, *m.sums)],
+        *[F.min(n).alias(n) for m in measures.values() for n in m.first],
+        *[F.max(n).alias(n) for m in measures.values() for n in m.last],
+    ]
+    if not exact:
+        return rows.groupBy(*KEYS).agg(
+            *totals, *[F.avg(n).alias(n) for n in means], *[_distinct(n, n in ALWAYS_EXACT).alias(n) for n in named]
+        )
+    inner = rows.groupBy(*KEYS, "tag", "item").agg(
+        *totals, *[f for n in means for f in (F.sum(n).alias(n), F.count(n).alias(f"__n_{n}"))]
+    )
+    return inner.groupBy(*KEYS).agg(
+        *totals,
+        *[F.try_divide(F.sum(n), F.sum(f"__n_{n}")).alias(n) for n in means],
+        *[F.count_if((F.col("tag") == i) & F.col("item").isNotNull()).alias(n) for i, n in enumerate(counted, 1)],
+    )
+
+
+def merged_features(silver: Mapping[str, DataFrame], exact: bool = False) -> DataFrame:
+    """Features of all logs on the user-days of the first one, numeric gaps 0.
+
+    The same table as joining the five feature tables to the logon days, with one
+    meeting of the logs instead of ten.  A baseline looks only at days on which its log
+    has rows, whether or not the user logged on.
+    """
+    flagged = dict(silver)
+    flagged["file"] = lookup_flag(silver["file"], silver["decoy_file"], ["filename", "pc"], "decoy_access_flag")
+    days = merged_days(flagged, exact)
+    seen = lambda rows, value: F.when(F.col(rows).isNotNull(), value)
+    days = days.withColumns(
+        {
+            **{n: seen(m.rows, F.col(n)) for m in MEASURES.values() for n in m.distinct},
+            "external_email_ratio": seen("email_count", ratio_or_zero("emails_with_external", "email_count")),
+            "attachment_per_email": seen("email_count", ratio_or_zero("total_attachments", "email_count")),
+        }
+    )
+    scored = with_zscores(
+        days,
+        {
+            "logon_count": "logon_count_zscore",
+            "usb_connect_count": "usb_connect_zscore",
+            "file_copy_count": "file_copy_zscore",
+            "http_request_count": "http_count_zscore",
+            "unique_domain_count": "domain_count_zscore",
+        },
+    )
+    scored = with_deviations(
+        scored, {"email_count": "email_volume_deviation", "external_email_ratio": "external_ratio_deviation"}
+    ).withColumns(
+        {
+            "work_duration_hours": F.col("last_activity_hour") - F.col("first_logon_hour"),
+            "incomplete_session_flag": A.flag(F.col("usb_connect_count") != F.col("usb_disconnect_count")),
+        }
+    )
+    return fill_numeric(scored.where("logon_count IS NOT NULL").select(*KEYS, *MERGED))
+
+
 # ---- labelled user-day table ------------------------------------------------
 
 
@@ -338,8 +514,3 @@ def heuristic_label(days: DataFrame, scores: Sequence[str], limit: float = 3.0,
     """1 when any score column lies further than ``limit`` from zero."""
     far = [F.abs(F.coalesce(col(s), F.lit(0.0))) > limit for s in scores]
     return days.withColumn(name, reduce(lambda a, b: a | b, far).cast("int"))
-
-
-def missing_dates(events: DataFrame, done: DataFrame, date: str = "date") -> DataFrame:
-    """Events of dates that ``done`` does not hold yet."""
-    return events.join(done.select(date).distinct(), date, "left_anti")

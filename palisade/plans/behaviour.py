@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import time
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from palisade.operators import userday as U
 from palisade.operators.prep import drop_present
@@ -12,6 +14,9 @@ from palisade.operators.profile import constant_columns
 from palisade.sources import logs
 from palisade.sources.flows import path_exists
 
+# Folder name of rows without a date.
+NO_DATE = "__HIVE_DEFAULT_PARTITION__"
+
 SILVER = {
     "logon": U.silver_logon,
     "device": U.silver_device,
@@ -64,20 +69,69 @@ def build_gold(spark: SparkSession, silver_dir: str, gold_dir: str, overwrite: b
         logs.write_layer(table, f"{gold_dir}/{name}_features", (), overwrite, codec="snappy")
 
 
-def add_missing_http_days(spark: SparkSession, silver_dir: str, cache_dir: str) -> DataFrame:
-    """Daily web aggregates, computing only dates not stored yet.
+def stored_days(spark: SparkSession, path: str) -> DataFrame:
+    """(date, signature) of every ``date=`` folder, from the file listing alone.
+
+    The signature changes whenever a file of the day is added, replaced or removed.
+    """
+    files = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.parquet")
+        .load(path)
+        .select(F.regexp_extract("path", r"/date=([^/]+)/", 1).alias("date"), "path", "length", "modificationTime")
+    )
+    mark = F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")
+    text = F.concat_ws("|", F.count("*"), F.sum("length"), F.max("modificationTime").cast("string"), F.sum(mark).cast("string"))
+    return files.groupBy("date").agg(F.md5(text).alias("signature"))
+
+
+LEDGER = "date string, signature string, run long"
+
 
-    The stored dates are partition directories, so finding them reads no data, and
-    all missing days are aggregated by one job.  Returns the complete table.
+def stale_days(spark: SparkSession, source: str, cache: str, redo: Sequence[str] = ()) -> DataFrame:
+    """(date, signature) of days that ``cache`` lacks or holds from other files, and of ``redo``."""
+    days = stored_days(spark, source)
+    ledger = f"{cache}/_days"
+    if not path_exists(spark, ledger):
+        return days
+    done = spark.read.schema(LEDGER).json(ledger).groupBy("date").agg(F.max_by("signature", "run").alias("known"))
+    return days.join(done, "date", "left").where(
+        F.col("known").isNull() | (F.col("known") != F.col("signature")) | F.col("date").isin(*redo)
+    ).select("date", "signature")
+
+
+def rows_of_days(df: DataFrame, dates: Sequence[str]) -> DataFrame:
+    """Rows of the named days; the literal dates prune folders before anything is read."""
+    known = [d for d in dates if d != NO_DATE]
+    wanted = F.col("date").isin(*[F.lit(d).cast("date") for d in known]) if known else F.lit(False)
+    return df.where(wanted | F.col("date").isNull() if NO_DATE in dates else wanted)
+
+
+def refresh_http_days(spark: SparkSession, silver_dir: str, cache_dir: str, redo: Sequence[str] = ()) -> DataFrame:
+    """Daily web aggregates, computing only days that are new, changed or in ``redo``.
+
+    Stale days replace their folders and others stay.  A day counts as done once its
+    signature is in the ledger, which is written last, so a broken run is repeated by
+    the next one, and late rows make their day stale.  One small row per calendar day
+    passes through the driver.  Returns the complete table.
     """
-    silver = spark.read.parquet(f"{silver_dir}/http")
-    todo = silver
-    if path_exists(spark, cache_dir):
-        todo = U.missing_dates(silver, spark.read.parquet(cache_dir))
-    U.daily_http(todo).write.mode("append").partitionBy("date").parquet(cache_dir)
+    source = f"{silver_dir}/http"
+    stale = [tuple(r) for r in stale_days(spark, source, cache_dir, redo).collect()]
+    if stale:
+        todo = rows_of_days(spark.read.parquet(source), [d for d, _ in stale])
+        daily = U.daily_http(todo)
+        daily.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(cache_dir)
+        rows = [(d, s, time.time_ns()) for d, s in stale]
+        spark.createDataFrame(rows, LEDGER).coalesce(1).write.mode("append").json(f"{cache_dir}/_days")
     return spark.read.parquet(cache_dir)
 
 
+def labelled_from_silver(silver: Mapping[str, DataFrame], insiders: DataFrame, exact: bool = False) -> DataFrame:
+    """``labelled_days`` straight from the silver tables; all logs meet in one shuffle."""
+    return U.label_periods(U.merged_features(silver, exact), insiders)
+
+
 def labelled_days(gold: Mapping[str, DataFrame], insiders: DataFrame) -> DataFrame:
     """One row per user and date with all features and the 0/1 target."""
     first, *rest = gold.values()

@@ -65,8 +65,8 @@ class Detector:
     classifier: M.AttackClassifier
 
     def detect(self, df: DataFrame, vector: str, key: str) -> DataFrame:
-        scored = self.reconstruction.score(df, vector)
-        return M.detect(scored, self.threshold, self.classifier.classify, key)
+        forest = M.flat_forest(df.sparkSession, self.classifier.model)
+        return M.detect_vectors(df, vector, self.reconstruction, self.threshold, forest.classify, self.classifier.labels, key)
 
 
 def fit_detector(

@@ -161,3 +161,8 @@ def ingest_csv(
 def day_partition(df: DataFrame, year: int, month: int, day: int) -> DataFrame:
     """One day of a bronze table; the filter prunes directories."""
     return df.where((F.col("year") == year) & (F.col("month") == month) & (F.col("day") == day))
+
+
+def read_day(spark: SparkSession, path: str, year: int, month: int, day: int) -> DataFrame:
+    """One day of a table written with granularity ``day``; other folders are not opened."""
+    return day_partition(read_parquet(spark, path), year, month, day)
