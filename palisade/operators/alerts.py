@@ -135,6 +135,7 @@ def alert_rows(df: DataFrame, endpoint: str, when: str, status: str | None = Non
 # ---- cooldown ---------------------------------------------------------------
 
 _LONG_AGO = -(2**62)
+BLOCK_ALERTS, BLOCK_COOLDOWNS = 50_000, 64
 _NOTHING = object()
 
 
@@ -221,14 +222,15 @@ def cooldown(
     )
     if width <= 0:
         return stamped.withColumn(name, F.lit(True)).drop("__us", "__key")
-    block = int(round((block_seconds or max(seconds * 64, 3600.0)) * 1_000_000))
-    block = max(block, width)
-    times = (
-        stamped.select("__key", "__us")
-        .where("__us IS NOT NULL")
-        .distinct()
-        .withColumn("__block", F.floor(F.col("__us") / F.lit(block)).cast("long"))
-    )
+    times = stamped.select("__key", "__us").where("__us IS NOT NULL").distinct()
+    if block_seconds is None:
+        # As many cooldowns as keep the fullest block near BLOCK_ALERTS distinct times.
+        slots = times.groupBy("__key", F.floor(F.col("__us") / F.lit(width))).agg(F.count("*").alias("n"))
+        peak = slots.agg(F.max("n")).first()[0] or 1
+        block = width * max(1, min(BLOCK_COOLDOWNS, BLOCK_ALERTS // peak))
+    else:
+        block = max(int(round(block_seconds * 1_000_000)), width)
+    times = times.withColumn("__block", F.floor(F.col("__us") / F.lit(block)).cast("long"))
 
     def reduce_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in _whole_groups(batches, ["__key", "__block"]):
@@ -264,16 +266,16 @@ def cooldown(
     )
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ready = _LONG_AGO
-        for frame in batches:
-            hit = np.zeros(len(frame), dtype=bool)
-            moments, marks = frame["__us"].to_numpy(), frame["__start"].to_numpy()
-            for i in range(len(frame)):
-                if marks[i]:
-                    ready = moments[i]
-                elif moments[i] >= ready:
-                    hit[i], ready = True, moments[i] + width
-            yield frame.loc[hit, ["__key", "__us"]]
+        for frame in _whole_groups(batches, ["__key", "__block"]):
+            moments, fired = frame["__us"].to_numpy(), []
+            for first, last in _runs(frame, ["__key", "__block"]):
+                # The first row of a block is its start; each jump finds the next alert to fire.
+                us = moments[first + 1 : last]
+                at = int(np.searchsorted(us, moments[first], side="left"))
+                while at < len(us):
+                    fired.append(first + 1 + at)
+                    at = int(np.searchsorted(us, us[at] + width, side="left"))
+            yield frame.iloc[fired][["__key", "__us"]]
 
     # The start of a block is a marker row that sorts before the block's alerts, so
     # blocks and starts meet in one shuffle.

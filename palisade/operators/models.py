@@ -334,6 +334,7 @@ def first_trigger(detections: DataFrame, key: str, batch: Sequence[str] = ()) ->
         detections.where("is_anomalous")
         .groupBy(*batch)
         .agg(F.min_by(row, F.col(key)).alias("t"))
+        .where("t IS NOT NULL")
         .select("t.*")
     )
 

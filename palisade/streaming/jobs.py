@@ -6,18 +6,38 @@ what is there into a Parquet table with a checkpoint and returns that table.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor, StatefulProcessorHandle
 
 from palisade.functions import activity as A
+from palisade.operators.drift import SPREAD_FLOOR
+from palisade.operators.models import first_trigger
+from palisade.operators.quality import trigger_record
 from palisade.session import scratch_path
 
+# The state store that timers and lists of stateful processors need.
+STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def started(writer: DataStreamWriter, spark: SparkSession):
+    """Start a query with the state store of stateful processors, for this query only."""
+    before = spark.conf.get(STORE, None)
+    spark.conf.set(STORE, ROCKS)
+    try:
+        return writer.start()
+    finally:
+        if before is None:
+            spark.conf.unset(STORE)
+        else:
+            spark.conf.set(STORE, before)
+
 
 def read_stream(spark: SparkSession, path: str, schema: T.StructType, when: str = "ts", files: int | None = None) -> DataFrame:
     """Parquet files as a stream; the event time becomes a zoned timestamp, which
@@ -32,14 +52,14 @@ def run_available(stream: DataFrame, name: str, mode: str = "append", target: st
     """Process everything available, then read the written table."""
     spark = stream.sparkSession
     target = target or scratch_path(spark, f"{name}-out")
-    query = (
+    writer = (
         stream.writeStream.format("parquet")
         .outputMode(mode)
         .option("path", target)
         .option("checkpointLocation", checkpoint or scratch_path(spark, f"{name}-checkpoint"))
         .trigger(availableNow=True)
-        .start()
     )
+    query = started(writer, spark)
     query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(target)
 
@@ -113,75 +133,208 @@ def with_lookup(stream: DataFrame, lookup: DataFrame, keys: Sequence[str], name:
     return stream.join(marked, list(keys), "left").withColumn(name, F.coalesce(F.col(name), F.lit(0)))
 
 
-def cooldown(stream: DataFrame, key: str, when: str, seconds: float, late: str = "1 hour") -> DataFrame:
-    """Fired alerts only: (key, fired_at).  State is one timestamp per key.
+def _millis(us: int) -> int:
+    """The first watermark (in ms) that settles a time given in microseconds."""
+    return -(-int(us) // 1000)
+
 
-    Within a micro-batch the times of a key are put in order before use; the
-    batches of a key stay bounded by the source's per-trigger limit.
+class CooldownProcessor(StatefulProcessor):
+    """Fired alerts of a key, in event-time order whatever order they arrive in.
+
+    Alerts wait until the watermark has passed them, because an earlier one may still
+    arrive.  Waiting times lie within the watermark's delay, and those that the last
+    fired alert already silences are not kept.  The end of a cooldown is forgotten once
+    the watermark has passed it.
     """
-    width = int(round(seconds * 1_000_000))
-    key_field = stream.schema[key]
 
-    def step(group: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        us = np.unique(np.concatenate([b["__us"].to_numpy() for b in batches]))
-        ready = state.get[0] if state.exists else None
-        fired = []
+    def __init__(self, key: str, width: int):
+        self.key, self.width = key, width
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.ready = handle.getValueState("ready", "us long")
+        self.waiting = handle.getListState("waiting", "us array<long>")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        ready, first = self.ready.get()[0] if self.ready.exists() else None, None
+        for batch in rows:
+            us = np.unique(batch["moment_us"][~batch["beat"].astype(bool)].to_numpy(dtype="int64"))
+            us = us if ready is None else us[us >= ready]
+            if len(us):
+                self.waiting.appendValue((us.tolist(),))
+                first = int(us[0]) if first is None else min(first, int(us[0]))
+        if first is not None:
+            self.handle.registerTimer(_millis(first))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        settled = timerValues.getCurrentWatermarkInMs() * 1000
+        ready = self.ready.get()[0] if self.ready.exists() else None
+        us = np.unique(np.concatenate([np.asarray(x[0], dtype="int64") for x in self.waiting.get()] or [np.zeros(0, dtype="int64")]))
+        end, fired = int(np.searchsorted(us, settled, side="right")), []
         at = 0 if ready is None else int(np.searchsorted(us, ready, side="left"))
-        while at < len(us):
-            fired.append(us[at])
-            at = int(np.searchsorted(us, us[at] + max(width, 1), side="left"))
+        while at < end:
+            fired.append(int(us[at]))
+            ready = fired[-1] + max(self.width, 1)
+            at = int(np.searchsorted(us, ready, side="left"))
+        rest = us[max(end, at) :]
+        self.waiting.clear()
+        if len(rest):
+            self.waiting.appendValue((rest.tolist(),))
+            self.handle.registerTimer(_millis(rest[0]))
+        if ready is not None and ready > settled:
+            self.ready.update((ready,))
+            self.handle.registerTimer(_millis(ready))
+        else:
+            self.ready.clear()
         if fired:
-            state.update((int(fired[-1]) + width,))
-        yield pd.DataFrame({key: [group[0]] * len(fired), "__us": np.array(fired, dtype="int64")})
+            yield pd.DataFrame({self.key: [key[0]] * len(fired), "moment_us": fired})
+
+    def close(self) -> None:
+        pass
+
+
+class RollingDriftProcessor(StatefulProcessor):
+    """Drift events of a series against its last ``width`` values, in event-time order.
+
+    Rows wait in arrays, one for each batch they came in, until the watermark has passed
+    them; then they go through the window in the order of (time, order).
+    """
+
+    def __init__(self, key: str, width: int, limit: float):
+        self.key, self.width, self.limit = key, width, limit
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.past = handle.getValueState("past", "values array<double>")
+        self.waiting = handle.getListState("waiting", "us array<long>, o array<long>, v array<double>")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        first = None
+        for batch in rows:
+            batch = batch[~batch["beat"].astype(bool)]
+            if len(batch):
+                us = batch["moment_us"].to_numpy(dtype="int64")
+                values = batch["row_value"].to_numpy(dtype=float)
+                self.waiting.appendValue((us.tolist(), batch["row_order"].to_numpy(dtype="int64").tolist(), values.tolist()))
+                first = int(us.min()) if first is None else min(first, int(us.min()))
+        if first is not None:
+            self.handle.registerTimer(_millis(first))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        settled, parts = timerValues.getCurrentWatermarkInMs() * 1000, list(self.waiting.get())
+        if not parts:
+            return
+        us = np.concatenate([np.asarray(p[0], dtype="int64") for p in parts])
+        order = np.concatenate([np.asarray(p[1], dtype="int64") for p in parts])
+        values = np.concatenate([np.asarray(p[2], dtype=float) for p in parts])
+        ranked = np.lexsort((order, us))
+        us, order, values = us[ranked], order[ranked], values[ranked]
+        end = int(np.searchsorted(us, settled, side="right"))
+        self.waiting.clear()
+        if end < len(us):
+            self.waiting.appendValue((us[end:].tolist(), order[end:].tolist(), values[end:].tolist()))
+            self.handle.registerTimer(_millis(us[end]))
+        if end == 0:
+            return
+        past = np.asarray(self.past.get()[0] if self.past.exists() else [], dtype=float)
+        series = np.concatenate([past, values[:end]])
+        frame = pd.Series(series).rolling(self.width, min_periods=1)
+        mean, std = frame.mean().to_numpy(), frame.std(ddof=0).to_numpy()
+        z = np.divide(series - mean, std, out=np.zeros_like(series), where=std > SPREAD_FLOOR)[len(past) :]
+        self.past.update((series[len(series) - min(self.width - 1, len(series)) :].tolist(),))
+        hit = np.abs(z) > self.limit
+        if hit.any():
+            yield pd.DataFrame(
+                {self.key: [key[0]] * int(hit.sum()), "row_order": order[:end][hit], "row_value": values[:end][hit], "z_score": z[hit]}
+            )
+
+    def close(self) -> None:
+        pass
+
+
+# Stands for a null order, which comes first.
+NO_ORDER = -(2**62)
+
 
-    output = T.StructType([key_field, T.StructField("__us", T.LongType())])
-    state = T.StructType([T.StructField("ready", T.LongType())])
+def _keyed(stream: DataFrame, key: str, when: str, late: str, beats: Column | None, *more: Column):
+    """Rows grouped for a stateful processor.
+
+    Keys travel as text and no other column is null: pandas turns whole numbers with a
+    gap into fractions, which are other keys.
+    """
     return (
         stream.withWatermark(when, late)
-        .select(key, F.unix_micros(when).alias("__us"))
-        .groupBy(key)
-        .applyInPandasWithState(step, output, state, "append", GroupStateTimeout.NoTimeout)
-        .select(key, F.timestamp_micros("__us").alias("fired_at"))
+        .where(F.col(when).isNotNull())
+        .select(
+            F.col(key).cast("string").alias("series"),
+            F.col(when).alias("moment"),
+            F.unix_micros(when).alias("moment_us"),
+            (F.lit(False) if beats is None else F.coalesce(beats, F.lit(False))).alias("beat"),
+            *more,
+        )
+        .groupBy("series")
     )
 
 
-def rolling_drift(stream: DataFrame, key: str, order: str, value: str, width: int, limit: float = 3.0) -> DataFrame:
-    """Drift events per series: (key, order, value, z_score).
+def cooldown(
+    stream: DataFrame, key: str, when: str, seconds: float, late: str = "1 hour", beats: Column | None = None
+) -> DataFrame:
+    """Fired alerts only: (key, fired_at), once the watermark has passed them.
 
-    State is the last ``width - 1`` values of the series.  Input must arrive in
-    order across micro-batches; inside one it is sorted here.
+    Rows for which ``beats`` is true are no alerts; they only move the watermark.
     """
-    key_field = stream.schema[key]
+    output = T.StructType([T.StructField("series", T.StringType()), T.StructField("moment_us", T.LongType())])
+    return (
+        _keyed(stream, key, when, late, beats)
+        .transformWithStateInPandas(CooldownProcessor("series", int(round(seconds * 1_000_000))), output, "append", "eventTime")
+        .select(F.col("series").cast(stream.schema[key].dataType).alias(key), F.timestamp_micros("moment_us").alias("fired_at"))
+    )
 
-    def step(group: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(batches)).sort_values("__o")
-        past = list(state.get[0]) if state.exists else []
-        values = np.concatenate([np.array(past, dtype=float), rows["__v"].to_numpy(dtype=float)])
-        frame = pd.Series(values).rolling(width, min_periods=1)
-        mean, std = frame.mean().to_numpy(), frame.std(ddof=0).to_numpy()
-        z = np.divide(values - mean, std, out=np.zeros_like(values), where=std > 1e-9)[len(past):]
-        state.update((values[-(width - 1):].tolist() if width > 1 else [],))
-        hit = np.abs(z) > limit
-        yield pd.DataFrame(
-            {key: [group[0]] * int(hit.sum()), "__o": rows["__o"].to_numpy()[hit], "__v": rows["__v"].to_numpy()[hit], "z_score": z[hit]}
-        )
 
+def rolling_drift(
+    stream: DataFrame,
+    key: str,
+    order: str,
+    value: str,
+    width: int,
+    limit: float = 3.0,
+    when: str = "ts",
+    late: str = "1 hour",
+    beats: Column | None = None,
+) -> DataFrame:
+    """Drift events per series: (key, order, value, z_score).
+
+    Rows may come in any order within ``late``; they count in the order of time and
+    ``order``.  Rows for which ``beats`` is true only move the watermark.
+    """
     output = T.StructType(
-        [key_field, T.StructField("__o", T.LongType()), T.StructField("__v", T.DoubleType()), T.StructField("z_score", T.DoubleType())]
+        [T.StructField(n, t) for n, t in (("series", T.StringType()), ("row_order", T.LongType()), ("row_value", T.DoubleType()), ("z_score", T.DoubleType()))]
     )
-    state = T.StructType([T.StructField("values", T.ArrayType(T.DoubleType()))])
-    return (
-        stream.select(key, F.col(order).cast("long").alias("__o"), F.col(value).cast("double").alias("__v"))
-        .groupBy(key)
-        .applyInPandasWithState(step, output, state, "append", GroupStateTimeout.NoTimeout)
-        .select(key, F.col("__o").alias(order), F.col("__v").alias(value), "z_score")
+    place = F.coalesce(F.col(order).cast("long"), F.lit(NO_ORDER)).alias("row_order")
+    keyed = _keyed(stream, key, when, late, beats, place, F.col(value).cast("double").alias("row_value"))
+    return keyed.transformWithStateInPandas(RollingDriftProcessor("series", width, limit), output, "append", "eventTime").select(
+        F.col("series").cast(stream.schema[key].dataType).alias(key),
+        F.nullif("row_order", F.lit(NO_ORDER)).alias(order),
+        F.col("row_value").alias(value),
+        "z_score",
     )
 
 
-def trigger_sink(stream: DataFrame, path: str, checkpoint: str):
-    """Append JSON trigger records of each micro-batch, idempotently per batch id."""
+def trigger_sink(detections: DataFrame, key: str, path: str, checkpoint: str, defaults: Mapping[str, str] | None = None):
+    """One JSON trigger record for each micro-batch with an anomalous row: its first.
+
+    A batch that is run again replaces its own folder, so every batch counts once.
+    ``detections`` has ``detect_vectors``' columns; a ``timestamp`` column is used if
+    there is one, else the default.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").text(f"{path}/batch={batch_id}")
+        first = first_trigger(batch, key).withColumnRenamed("predicted_label", "attack_type")
+        if "timestamp" not in first.columns:
+            first = first.withColumn("timestamp", F.lit(None).cast("string"))
+        trigger_record(first, defaults).coalesce(1).write.mode("overwrite").text(f"{path}/batch={batch_id}")
 
-    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    writer = detections.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return started(writer.trigger(availableNow=True), detections.sparkSession)
