@@ -74,9 +74,27 @@ def _(t):
     return plain(U.http_features(U.silver_http(I.http_log(t)), exact=True))
 
 
-@query("d03_http_daily_approximate")
+def near(sketched: str, exact: str, name: str):
+    """Whether a sketch lies within three of its standard errors (5 %) of the exact count."""
+    return (F.abs(F.col(sketched) - F.col(exact)) <= 0.15 * F.col(exact) + 1).alias(name)
+
+
+def beside_exact(rows, exact, counts):
+    """Approximate table with its sketched counts replaced by whether they are near."""
+    true = exact.select("user", "date", *[F.col(c).alias(f"true_{c}") for c in counts])
+    kept = [c for c in rows.columns if c not in counts]
+    return rows.join(true, ["user", "date"]).select(*kept, *[near(c, f"true_{c}", c) for c in counts])
+
+
+@query(
+    "d03_http_daily_approximate",
+    f"WITH {HTTP_DAY} SELECT * EXCLUDE (domain_count_zscore) REPLACE (CAST(1 AS BIGINT) AS unique_url_count, CAST(1 AS BIGINT) AS unique_domain_count) FROM ({HTTP_SQL})",
+)
 def _(t):
-    return plain(U.http_features(U.silver_http(I.http_log(t))))
+    """The default route; distinct counts are sketches and are held against exact ones."""
+    silver = U.silver_http(I.http_log(t))
+    rows = U.http_features(silver).drop("domain_count_zscore")
+    return plain(beside_exact(rows, U.daily_http(silver, exact=True), ["unique_url_count", "unique_domain_count"]))
 
 
 EMAIL_DAY = I.EMAIL + """, email_day AS (SELECT u, d, COUNT(*) AS n, SUM(send) AS sent, SUM(ah) AS ah, SUM(n_all) AS rcpt, SUM(n_ext) AS ext,
@@ -126,6 +144,17 @@ def _(t):
     )
 
 
+@query(
+    "d05_file_daily_approximate",
+    f"WITH {FILE_DAY} SELECT * REPLACE (CAST(1 AS BIGINT) AS unique_file_count) FROM ({FILE_SQL})",
+)
+def _(t):
+    """The default route; the count of files is a sketch and is held against the exact one."""
+    silver, decoys = U.silver_file(I.file_log(t)), U.decoy_lookup(I.decoys(t))
+    exact = U.file_features(silver, decoys, exact=True)
+    return plain(beside_exact(U.file_features(silver, decoys), exact, ["unique_file_count"]))
+
+
 @query("c01_lookup_flag", f"WITH {I.FILES} SELECT event_id, {whole('decoy', 'decoy_access_flag')} FROM flagged")
 def _(t):
     files = I.file_log(t).drop("content").withColumn("pc", A.normalised("pc"))

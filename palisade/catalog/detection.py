@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from palisade.catalog import inputs as I
@@ -37,11 +38,25 @@ def _(t):
     return plain(scored(t).select("vec_id", F.posexplode("code").alias("position", "code")))
 
 
-@query("f12_fitted_reconstruction")
+@query(
+    "f12_fitted_reconstruction",
+    f"WITH {I.SCORES} SELECT true_label, COUNT(*) AS n, CAST(1 AS BIGINT) AS valid, "
+    "CASE WHEN true_label = 'BENIGN' THEN CAST(1 AS BIGINT) END AS below_fixed_code FROM scored GROUP BY true_label",
+)
 def _(t):
+    """The fitted code has no closed form, but no linear code of its width fits the benign
+    rows better, so their mean error lies below that of the fixed one."""
     rows = I.vectors(t)
-    model = M.fit_reconstruction(rows.where("true_label = 'BENIGN'"), "embedding")
-    return plain(model.score(rows, "embedding").select("vec_id", "true_label", "mse_error"), 8)
+    benign = F.col("true_label") == "BENIGN"
+    fitted = M.fit_reconstruction(rows.where(benign), "embedding").score(rows, "embedding", error="fitted")
+    both = M.block_reconstruction(rows.where(benign), "embedding", I.DIMENSIONS).score(fitted, "embedding", "fixed_code")
+    return plain(
+        both.groupBy("true_label").agg(
+            F.count("*").alias("n"),
+            F.bool_and(F.col("fitted") >= 0).alias("valid"),
+            F.when(F.first(benign), F.avg("fitted") < F.avg("mse_error")).alias("below_fixed_code"),
+        )
+    )
 
 
 @query(
@@ -128,25 +143,93 @@ def detector(t):
     return plain(detections(t), mse_error=8)
 
 
-@query("f15_fitted_detector")
+@query(
+    "f15_fitted_detector",
+    f"WITH {I.SCORES}, b AS (SELECT COUNT(*) AS n FROM scored WHERE true_label = 'BENIGN') "
+    "SELECT CASE WHEN true_label = 'BENIGN' THEN 'benign' ELSE 'attack' END AS kind, COUNT(*) AS rows, "
+    "CASE WHEN true_label = 'BENIGN' THEN CAST(MAX(b.n - 1 - floor((b.n - 1) * 0.95)) AS BIGINT) END AS flagged, CAST(1 AS BIGINT) AS consistent "
+    "FROM scored, b GROUP BY 1, true_label = 'BENIGN'",
+)
 def _(t):
+    """What holds of any fitted detector: benign rows above their own p95 are flagged, and a
+    row is named if and only if it is anomalous."""
     rows = I.vectors(t)
     model = network.fit_detector(
         rows.where("true_label = 'BENIGN'"), rows.where("true_label <> 'BENIGN'"), "embedding", "true_label"
     )
-    return plain(model.detect(rows, "embedding", "vec_id"), mse_error=8)
+    found = model.detect(rows, "embedding", "vec_id")
+    hot, named = F.col("is_anomalous"), F.col("predicted_label")
+    fits = (
+        (hot == (F.col("mse_error") >= model.threshold))
+        & (named.isNotNull() == hot)
+        & (F.col("confidence").between(0, 1) | ~hot)
+        & (F.col("action") == F.when(hot, F.concat(F.lit("ATTACK: "), named)).otherwise("BENIGN - Passed"))
+    )
+    kind = F.when(F.col("true_label") == "BENIGN", "benign").otherwise("attack").alias("kind")
+    return plain(
+        found.groupBy(kind).agg(
+            F.count("*").alias("rows"),
+            F.when(F.first(F.col("true_label") == "BENIGN"), F.count_if(hot)).alias("flagged"),
+            F.bool_and(fits).alias("consistent"),
+        )
+    )
 
 
-@query("f13_attack_classifier")
+@query(
+    "f13_attack_classifier",
+    f"WITH {I.SCORES} SELECT true_label AS class, COUNT(*) - CAST(floor(COUNT(*) * 0.8 + 0.5) AS BIGINT) AS support, CAST(1 AS BIGINT) AS valid "
+    "FROM scored WHERE true_label <> 'BENIGN' GROUP BY true_label",
+)
 def _(t):
+    """Held-out rows of each class; every one is given a class, and the shares are shares.
+    (The classes of the stored vectors cannot be told apart, so accuracy says nothing.)"""
     rows = scored(t)
     attacks = prep.split(rows.where("true_label <> 'BENIGN'"), {"train": 0.8, "test": 0.2}, ["vec_id"], ["true_label"])
     model = M.fit_classifier(attacks.where("split = 'train'"), "code", "true_label")
     tested = model.classify(attacks.where("split = 'test'"))
-    return plain(E.class_quality(tested, "true_label", "predicted_label"))
+    quality = E.class_quality(tested, "true_label", "predicted_label")
+    every = Window.partitionBy()
+    shares = F.array(*[F.col(c).between(0, 1) for c in ("precision", "recall", "f1", "accuracy")])
+    valid = F.forall(shares, lambda x: x) & (F.sum("predicted").over(every) == F.sum("support").over(every))
+    return plain(quality.select("class", "support", valid.alias("valid")))
+
 
+_FOLDED = I.SCORES + """, folded AS (SELECT s.*, CAST(least(floor(CAST(CAST('0x' || substr(md5(CAST(s.vec_id AS VARCHAR)), 1, 8) AS BIGINT) AS DOUBLE) / 4294967296 * 3), 2) AS BIGINT) AS fold FROM scored s)"""
 
-@query("f18_cross_validation")
+
+@query(
+    "f18_centroid_validation",
+    f"WITH {_FOLDED}, att AS (SELECT f.fold, f.true_label, f.vec_id, c.b, c.m FROM folded f JOIN codes c ON c.vec_id = f.vec_id WHERE true_label <> 'BENIGN'), "
+    "cen AS (SELECT k.fold AS out, a.true_label AS class, a.b, AVG(a.m) AS c FROM att a JOIN (SELECT DISTINCT fold FROM att) k ON k.fold <> a.fold GROUP BY 1, 2, 3), "
+    "d AS (SELECT a.fold, a.vec_id, a.true_label, c.class, SUM((c.c - a.m) * (c.c - a.m)) AS d FROM att a JOIN cen c ON c.out = a.fold AND c.b = a.b GROUP BY ALL), "
+    "p AS (SELECT fold, vec_id, true_label, arg_min(class, (d, class)) AS predicted FROM d GROUP BY ALL), "
+    "h AS (SELECT fold, true_label, COUNT(*) AS n, COUNT(*) FILTER (WHERE predicted = true_label) AS hit FROM p GROUP BY ALL) "
+    f"SELECT fold, {whole('SUM(n)', 'rows')}, {num('SUM(hit) / SUM(n)', 'accuracy')}, {num('AVG(hit / n)', 'mean_recall')} FROM h GROUP BY fold",
+)
+def _(t):
+    attacks = prep.folds(scored(t), 3, ["vec_id"]).where("true_label <> 'BENIGN'")
+    return plain(E.centroid_validation(attacks, "code", "true_label", "fold", M.CODE_WIDTH))
+
+
+@query(
+    "f18_forest_validation",
+    f"WITH {_FOLDED} SELECT fold, COUNT(*) AS rows, CAST(1 AS BIGINT) AS valid FROM folded WHERE true_label <> 'BENIGN' GROUP BY fold",
+)
+def _(t):
+    """The forest fitted without each fold; rows tried in it."""
+    attacks = prep.folds(scored(t), 3, ["vec_id"]).where("true_label <> 'BENIGN'")
+    tried = M.validate_classifier(attacks, "code", "true_label", "fold")
+    return plain(tried.select("fold", "rows", F.col("accuracy").between(0, 1).alias("valid")))
+
+
+@query(
+    "f18_cross_validation",
+    f"WITH {_FOLDED}, k AS (SELECT DISTINCT fold AS out FROM folded), "
+    "l AS (SELECT out, quantile_cont(mse, 0.95) AS threshold FROM folded JOIN k ON out <> fold WHERE true_label = 'BENIGN' GROUP BY out) "
+    f"SELECT fold, {num('threshold', 'threshold', 8)}, {num('AVG(CASE WHEN mse >= threshold THEN 1 ELSE 0 END) FILTER (WHERE true_label = ' + repr('BENIGN') + ')', 'false_positive_rate')}, "
+    f"{num('AVG(CASE WHEN mse < threshold THEN 1 ELSE 0 END) FILTER (WHERE true_label <> ' + repr('BENIGN') + ')', 'false_negative_rate')} "
+    "FROM folded JOIN l ON out = fold GROUP BY fold, threshold",
+)
 def _(t):
     rows = prep.folds(scored(t), 3, ["vec_id"])
     parts = []

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -149,11 +150,8 @@ def _(t):
 
 # ---- flows ------------------------------------------------------------------
 
-YEARS = range(1995, 2002)
-
-
 def flow_csv(t) -> dict[str, str]:
-    """One CSV directory per day, with blanks around header names, and a missing day."""
+    """One CSV directory for each day there is, blanks around header names, and a missing day."""
     root = scratch_path(t.spark, "flow-csv")
     table = I.flows(t).select(
         F.concat(F.lit(" "), F.col("label"), F.lit(" ")).alias(" Label"),
@@ -164,7 +162,8 @@ def flow_csv(t) -> dict[str, str]:
         "day",
     )
     table.write.partitionBy("day").option("header", True).csv(root)
-    return {**{str(y): f"{root}/day={y}" for y in YEARS}, "2002": f"{root}/day=2002"}
+    days = {str(d): f"{root}/day={d}" for d in I.days_of(table) if d is not None}
+    return {**days, "missing": f"{root}/day=missing"}
 
 
 @query(
@@ -186,7 +185,7 @@ def _(t):
 
 @query("a13_glob_scan", f"WITH {I.FLOWS} SELECT label AS \"Label\", COUNT(*) AS n, {num('SUM(price)', 'price', 2)} FROM flows GROUP BY label")
 def _(t):
-    root = flow_csv(t)["1995"].rsplit("/", 1)[0]
+    root = flow_csv(t)["missing"].rsplit("/", 1)[0]
     table = S.read_flow_csv(t.spark, f"{root}/day=*")
     return plain(table.groupBy("Label").agg(F.count("*").alias("n"), F.sum("price").alias("price")), 2)
 
@@ -274,22 +273,52 @@ def _(t):
 @query(
     "a19_features_with_labels",
     "SELECT e.vec_id, COALESCE(CAST(l.quality AS VARCHAR), 'UNKNOWN') AS label, "
-    + ", ".join(num(f"CASE WHEN e.embedding[{i + 1}] > 0 THEN e.embedding[{i + 1}] ELSE 0 END", f"f{i:02d}") for i in range(3))
+    + ", ".join(num(f"CASE WHEN e.embedding[{i + 1}] > 0 THEN e.embedding[{i + 1}] ELSE 0 END", f"f{i:02d}") for i in range(I.DIMENSIONS))
     + " FROM embeddings e LEFT JOIN labels l ON l.doc_id = e.vec_id",
 )
 def _(t):
-    wide = M.to_columns(t.embeddings.drop("label"), "embedding", 3)
-    names = ["f00", "f01", "f02"]
+    wide = M.to_columns(t.embeddings.drop("label"), "embedding", I.DIMENSIONS)
+    names = [f"f{i:02d}" for i in range(I.DIMENSIONS)]
     gaps = wide.withColumns({n: F.when(F.col(n) > 0, F.col(n)) for n in names})
     labels = t.labels.select(F.col("doc_id").alias("vec_id"), F.col("quality").cast("string").alias("label"))
     return plain(S.with_labels(gaps, labels, "vec_id", names))
 
 
-@query("a20_size_reduction")
+@query(
+    "a20_size_reduction",
+    "SELECT CAST(1 AS BIGINT) AS stored, CAST(1 AS BIGINT) AS smaller, CAST(1 AS BIGINT) AS percent_of_sizes, COUNT(*) AS rows FROM orders",
+)
 def _(t):
+    """File sizes are not known to SQL: what holds of them is, and that all rows are there."""
     path = scratch_path(t.spark, "orders-zstd")
     G.write_layer(order_log(t), path)
-    return plain(V.size_reduction(t.spark, order_csv(t), path))
+    sizes = V.size_reduction(t.spark, order_csv(t), path)
+    before, after = F.col("bytes_before"), F.col("bytes_after")
+    facts = sizes.select(
+        (after > 0).alias("stored"),
+        (after < before).alias("smaller"),
+        (F.abs(F.col("reduction_pct") - (before - after) * 100.0 / before) <= 0.0051).alias("percent_of_sizes"),
+    )
+    return plain(facts.withColumn("rows", F.lit(G.read_parquet(t.spark, path).count())))
+
+
+@query(
+    "a07_partition_column_missing",
+    "SELECT 'as written' AS source, COUNT(*) AS rows, CAST(1 AS BIGINT) AS refused FROM orders UNION ALL SELECT 'parsed', COUNT(*), 0 FROM orders",
+)
+def _(t):
+    """A log without its timestamp is refused before anything is read; a parsed one is not."""
+
+    def tried(df, source):
+        refused = 0
+        try:
+            df, _ = G.with_partition_columns(df, "timestamp", "day")
+        except KeyError:
+            refused = 1
+        return df.agg(F.count("*").alias("rows")).select(F.lit(source).alias("source"), "rows", F.lit(refused).alias("refused"))
+
+    raw = order_log(t)
+    return plain(tried(raw, "as written").unionByName(tried(G.with_timestamp(raw), "parsed")))
 
 
 _PROFILED = [("l_orderkey", "bigint"), ("l_linenumber", "int"), ("l_quantity", "double"), ("l_extendedprice", "double"), ("l_returnflag", "string")]
@@ -325,3 +354,49 @@ def _(t):
     return plain(
         catalog.withColumns({"distribution": F.concat_ws(",", entries), "classes": F.concat_ws(",", "classes")})
     )
+
+
+_SAMPLED = [*_PROFILED, ("l_partkey", "bigint"), ("l_suppkey", "bigint")]
+
+
+@query(
+    "a21_profile_with_sample",
+    f"WITH picked AS (SELECT * FROM lineitem ORDER BY md5(concat_ws('|', {', '.join(f'CAST({k} AS VARCHAR)' for k in I.KEY)})), {', '.join(I.KEY)} LIMIT 5) "
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", '{k}' AS type, (SELECT COUNT(*) FROM lineitem) AS rows, (SELECT COUNT({c}) FROM lineitem) AS non_null, "
+        f"string_agg(CAST({c} AS VARCHAR), ',' ORDER BY CAST({c} AS VARCHAR)) AS sample FROM picked"
+        for c, k in _SAMPLED
+    ),
+)
+def _(t):
+    rows = t.lineitem.select(*[c for c, _ in _SAMPLED])
+    profile = V.profile_with_sample(rows, I.KEY)
+    return plain(profile.select("column", "type", "rows", "non_null", F.concat_ws(",", F.array_sort("sample")).alias("sample")))
+
+
+@query(
+    "a22_file_catalog",
+    f"WITH {I.FLOWS}, c AS (SELECT day, label, COUNT(*) AS n FROM flows GROUP BY day, label), d AS (SELECT label, SUM(n) AS n FROM c GROUP BY label) "
+    f"SELECT 'day=' || day AS file, CAST(1 AS BIGINT) AS files, {whole('SUM(n)', 'rows')}, CAST(11 AS BIGINT) AS columns, "
+    "string_agg(label || '=' || n, ',' ORDER BY label) AS distribution, string_agg(label, ',' ORDER BY label) AS classes, CAST(1 AS BIGINT) AS sized FROM c GROUP BY day "
+    f"UNION ALL SELECT NULL, (SELECT COUNT(DISTINCT day) FROM c), {whole('SUM(n)', 'rows')}, 11, "
+    "string_agg(label || '=' || CAST(n AS BIGINT), ',' ORDER BY label), string_agg(label, ',' ORDER BY label), 1 FROM d",
+)
+def _(t):
+    """One file for each day; sizes are held against each other, as SQL does not know them."""
+    path = scratch_path(t.spark, "flow-files")
+    I.flows(t).repartition("day").write.partitionBy("day").parquet(path)
+    schema = I.flows(t).drop("day").schema
+    files = t.spark.read.schema(schema).option("recursiveFileLookup", True).parquet(path)
+    entries = F.transform(
+        F.array_sort(F.map_entries("distribution")), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))
+    )
+    every = Window.partitionBy()
+    of_files = F.sum(F.when(F.col("file").isNotNull(), F.col("bytes"))).over(every)
+    sized = F.when(F.col("file").isNull(), F.col("bytes") == of_files).otherwise(F.col("bytes") > 0)
+    return plain(
+        V.file_catalog(files, "label").select(
+            F.regexp_extract("file", "(day=[^/]+)/", 1).alias("file"), "files", "rows", "columns",
+            F.concat_ws(",", entries).alias("distribution"), F.concat_ws(",", "classes").alias("classes"), sized.alias("sized"),
+        ).withColumn("file", F.when(F.col("file") != "", F.col("file")))
+    )

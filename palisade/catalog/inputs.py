@@ -194,6 +194,11 @@ def flows(t: Tables) -> DataFrame:
     )
 
 
+def days_of(table: DataFrame) -> list:
+    """The days that a flow table holds, in order: one small row each."""
+    return [r["day"] for r in table.select("day").distinct().orderBy("day").collect()]
+
+
 FLOWS = """flows AS (SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber,
   CASE WHEN l_returnflag = 'N' THEN 'BENIGN'
     WHEN l_returnflag = 'R' AND l_linestatus = 'O' THEN 'DoS Hulk' WHEN l_returnflag = 'R' THEN 'DDoS'

@@ -69,11 +69,11 @@ def _(t):
 
 @query(
     "b22_rows_within_quantiles",
-    f"WITH {I.clipped_sql(I.PLAIN_FEATURES, 0.02, 0.98)} SELECT label, feature, COUNT(*) AS n, {num('AVG(original)', 'mean', 4)} "
+    f"WITH {I.clipped_sql(I.FEATURES, 0.02, 0.98)} SELECT label, feature, COUNT(*) AS n, {num('AVG(original)', 'mean', 4)} "
     "FROM clipped WHERE original BETWEEN lo AND hi GROUP BY label, feature",
 )
 def _(t):
-    rows = P.within_bounds(I.flows(t), I.PLAIN_FEATURES, ["label"], 0.02, 0.98)
+    rows = P.within_bounds(I.flows(t), I.FEATURES, ["label"], 0.02, 0.98)
     return plain(rows.groupBy("label", "feature").agg(F.count("*").alias("n"), F.avg("value").alias("mean")), 4)
 
 
@@ -120,14 +120,14 @@ def _(t):
 
 @query(
     "f02_saved_scaler",
-    f"WITH {I.FLOWS}, early AS (SELECT * FROM flows WHERE day < 1998), {_ENDS.format(source='early')} "
-    f"SELECT {KEYS}, {_scaled(I.PLAIN_FEATURES)} FROM flows r, ends e",
+    f"WITH {COMPLETE}, early AS (SELECT * FROM complete WHERE day < 1998), {_ENDS.format(source='early')} "
+    f"SELECT {KEYS}, {_scaled(I.FEATURES)} FROM complete r, ends e",
 )
 def _(t):
-    """Fitted on early days, stored, read back and applied to every row."""
-    table = I.flows(t)
+    """Fitted on early days, stored, read back and applied to every complete row."""
+    table = prep.complete_rows(I.flows(t), I.FEATURES)
     path = scratch_path(t.spark, "scaler")
-    prep.fit_min_max(table.where("day < 1998"), I.PLAIN_FEATURES).save(t.spark, path)
+    prep.fit_min_max(table.where("day < 1998"), I.FEATURES).save(t.spark, path)
     return plain(prep.Scaler.load(t.spark, path).transform(table, I.KEY), 8)
 
 

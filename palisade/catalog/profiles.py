@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from palisade.catalog import inputs as I
 from palisade.catalog.registry import num, plain, query, whole
+from palisade.functions.numeric import finite
 from palisade.operators import classes as C
 from palisade.operators import correlation as R
 from palisade.operators import profile as P
@@ -13,9 +15,7 @@ from palisade.operators import ranking as K
 from palisade.sources import flows as S
 
 LONG = I.FLOWS + ", " + I.long_sql(I.FEATURES)
-LONG4 = I.FLOWS + ", " + I.long_sql(I.PLAIN_FEATURES)
 CLIPPED = I.clipped_sql(I.FEATURES)
-CLIPPED4 = I.clipped_sql(I.PLAIN_FEATURES)
 
 _FAMILY = """CASE WHEN label = 'BENIGN' THEN 'Benign' WHEN label = 'DoS Hulk' THEN 'DoS' WHEN label = 'DDoS' THEN 'DDoS'
   WHEN label = 'PortScan' THEN 'Probe / Scan' ELSE 'Brute Force' END"""
@@ -42,17 +42,13 @@ def _(t):
     return plain(C.imbalance(I.flows(t)))
 
 
-YEARS = list(range(1995, 2002))
-
-
 @query(
     "d13_class_day_pivot",
-    f"WITH {I.FLOWS} SELECT label, "
-    + ", ".join(whole(f"COUNT(*) FILTER (WHERE day = {y})", f'"{y}"') for y in YEARS)
-    + " FROM flows GROUP BY label",
+    f"WITH {I.FLOWS} SELECT label, COLUMNS(* EXCLUDE (label)) FROM (PIVOT (SELECT label, day FROM flows) ON day USING COUNT(*) GROUP BY label)",
 )
 def _(t):
-    return plain(C.class_day_pivot(I.flows(t), YEARS))
+    table = I.flows(t)
+    return plain(C.class_day_pivot(table, I.days_of(table)))
 
 
 @query(
@@ -105,10 +101,9 @@ def feature_summary(t):
     return plain(P.feature_summary(I.flows(t), I.FEATURES), 4)
 
 
-@query("d18_feature_summary_by_class", f"WITH {LONG4} SELECT label, feature, {_STATS} FROM longf GROUP BY label, feature")
+@query("d18_feature_summary_by_class", f"WITH {LONG} SELECT label, feature, {_STATS} FROM longf GROUP BY label, feature")
 def _(t):
-    """The rank-narrowing route, as used when the table is too big to buffer."""
-    return plain(P.feature_summary(I.flows(t), I.PLAIN_FEATURES, ["label"], method="ranks"), 4)
+    return plain(P.feature_summary(I.flows(t), I.FEATURES, ["label"]), 4)
 
 
 @query(
@@ -145,6 +140,16 @@ def _(t):
     return plain(P.null_map(I.flows(t), I.FEATURES, rows=None))
 
 
+@query(
+    "d22_null_map_of_sample",
+    f"WITH {I.FLOWS}, picked AS (SELECT * FROM flows ORDER BY hk, l_orderkey, l_partkey, l_suppkey, l_linenumber LIMIT 5000), "
+    + I.long_sql(I.FEATURES, "longs", "picked")
+    + " SELECT feature, CAST(bool_or(value IS NULL) AS BIGINT) AS has_missing FROM longs GROUP BY feature",
+)
+def _(t):
+    return plain(P.null_map(I.flows(t), I.FEATURES, key=I.KEY))
+
+
 @query("d23_variance", f"WITH {LONG} SELECT feature, {num('var_samp(value)', 'variance', 2)} FROM longf GROUP BY feature")
 def _(t):
     return plain(P.variances(I.flows(t), I.FEATURES), 2)
@@ -199,6 +204,11 @@ def _bin_sql(value: str, low: str, high: str, bins: int) -> str:
     )
 
 
+def _bucket_sql(value: str, low: str, high: str, bins: int) -> str:
+    """Bins as width_bucket counts them: many rates lie exactly on a bound."""
+    return f"CASE WHEN {low} = {high} THEN 1 ELSE least(CAST(floor({bins} * ({value} - {low}) / ({high} - {low})) AS BIGINT) + 1, {bins}) END"
+
+
 @query(
     "d26_correlation_histogram",
     f"WITH {PAIRS}, a AS (SELECT 'abs_r' AS feature, abs(r) AS value FROM pairs WHERE r IS NOT NULL), "
@@ -283,18 +293,18 @@ def _(t):
 
 @query(
     "d33_histogram",
-    f"WITH {LONG4}, s AS (SELECT feature, MIN(value) AS lo, MAX(value) AS hi FROM longf GROUP BY feature), "
-    f"b AS (SELECT l.feature, {_bin_sql('l.value', 's.lo', 's.hi', 50)} AS bin FROM longf l JOIN s ON s.feature = l.feature WHERE l.value IS NOT NULL) "
-    "SELECT feature, CAST(bin AS BIGINT) AS bin, COUNT(*) AS n FROM b WHERE feature IN ('quantity', 'price') GROUP BY 1, 2",
+    f"WITH {LONG}, s AS (SELECT feature, MIN(value) AS lo, MAX(value) AS hi FROM longf GROUP BY feature), "
+    f"b AS (SELECT l.feature, {_bucket_sql('l.value', 's.lo', 's.hi', 50)} AS bin FROM longf l JOIN s ON s.feature = l.feature WHERE l.value IS NOT NULL) "
+    "SELECT feature, CAST(bin AS BIGINT) AS bin, COUNT(*) AS n FROM b GROUP BY 1, 2",
 )
 def _(t):
-    rows = P.long_form(I.flows(t), ["quantity", "price"])
+    rows = P.long_form(I.flows(t), I.FEATURES).withColumn("value", finite("value"))
     return plain(P.histogram(rows, 50).select("feature", "bin", "n"))
 
 
 @query(
     "d34_box_statistics",
-    f"WITH {CLIPPED4}, kept AS (SELECT label, feature, original AS value FROM clipped WHERE original BETWEEN lo AND hi), "
+    f"WITH {CLIPPED}, kept AS (SELECT label, feature, original AS value FROM clipped WHERE original BETWEEN lo AND hi), "
     "q AS (SELECT label, feature, quantile_cont(value, 0.25) AS a, quantile_cont(value, 0.5) AS b, quantile_cont(value, 0.75) AS c FROM kept GROUP BY label, feature), "
     "w AS (SELECT k.label, k.feature, MIN(k.value) FILTER (WHERE k.value BETWEEN q.a - 1.5 * (q.c - q.a) AND q.c + 1.5 * (q.c - q.a)) AS lo, "
     "MAX(k.value) FILTER (WHERE k.value BETWEEN q.a - 1.5 * (q.c - q.a) AND q.c + 1.5 * (q.c - q.a)) AS hi, "
@@ -304,7 +314,7 @@ def _(t):
     f"{num('w.hi', 'whisker_high', 4)}, w.outliers FROM q JOIN w ON w.label = q.label AND w.feature = q.feature",
 )
 def _(t):
-    return plain(P.box_statistics(I.flows(t), I.PLAIN_FEATURES, "label"), 4)
+    return plain(P.box_statistics(I.flows(t), I.FEATURES, "label"), 4)
 
 
 _BIN = _bin_sql("l.value", "s.lo", "s.hi", 512)
@@ -312,16 +322,17 @@ _BIN = _bin_sql("l.value", "s.lo", "s.hi", 512)
 
 @query(
     "d35_density",
-    f"WITH {CLIPPED4}, l AS (SELECT feature, value FROM clipped WHERE feature = 'price'), "
-    "s AS (SELECT MIN(value) AS lo, MAX(value) AS hi, COUNT(*) AS n, stddev_samp(value) * pow(COUNT(*), -0.2) AS h FROM l), "
-    f"c AS (SELECT {_BIN} AS bin, COUNT(*) AS k FROM l, s GROUP BY 1), p AS (SELECT unnest(range(200)) AS point), "
-    "x AS (SELECT p.point, s.lo + (s.hi - s.lo) * p.point / 199 AS x, s.n, s.h, s.lo + (c.bin - 0.5) * (s.hi - s.lo) / 512 AS centre, c.k FROM p, s, c) "
-    f"SELECT 'price' AS feature, point, {num('x', 'x', 4)}, {num('SUM(k * exp(-(x - centre) * (x - centre) / (h * h) / 2)) / (n * h * sqrt(2 * pi())) * 1e6', 'density')} "
-    "FROM x GROUP BY point, x, n, h",
+    f"WITH {CLIPPED}, l AS (SELECT feature, value FROM clipped WHERE value IS NOT NULL), "
+    "s AS (SELECT feature, MIN(value) AS lo, MAX(value) AS hi, COUNT(*) AS n, stddev_samp(value) * pow(COUNT(*), -0.2) AS h FROM l GROUP BY feature), "
+    f"c AS (SELECT l.feature, {_BIN} AS bin, COUNT(*) AS k FROM l JOIN s ON s.feature = l.feature GROUP BY 1, 2), p AS (SELECT unnest(range(200)) AS point), "
+    "x AS (SELECT s.feature, p.point, s.lo + (s.hi - s.lo) * p.point / 199 AS x, s.n, s.h, s.lo + (c.bin - 0.5) * (s.hi - s.lo) / 512 AS centre, c.k "
+    "FROM p, s JOIN c ON c.feature = s.feature) "
+    f"SELECT feature, point, {num('x', 'x', 4)}, {num('SUM(k * exp(-(x - centre) * (x - centre) / (h * h) / 2)) / (n * h * sqrt(2 * pi())) * 1e6', 'density', 3)} "
+    "FROM x GROUP BY feature, point, x, n, h",
 )
 def _(t):
-    rows = P.clipped_long(I.flows(t), I.PLAIN_FEATURES).where("feature = 'price'")
-    return plain(P.density(rows).withColumn("density", F.col("density") * 1e6), x=4)
+    rows = P.clipped_long(I.flows(t), I.FEATURES)
+    return plain(P.density(rows).withColumn("density", F.col("density") * 1e6), x=4, density=3)
 
 
 # ---- tables -----------------------------------------------------------------
@@ -411,7 +422,10 @@ def _(t):
 )
 def _(t):
     table = I.flows(t)
-    days = {str(y): table.where(F.col("day") == y).drop("day").withColumnRenamed("quantity", " quantity ") for y in YEARS}
+    days = {
+        str(d): table.where(F.col("day").eqNullSafe(F.lit(d))).drop("day").withColumnRenamed("quantity", " quantity ")
+        for d in I.days_of(table)
+    }
     return plain(
         S.union_days(days, "tag").groupBy("tag").agg(F.count("*").alias("n"), F.sum("quantity").alias("quantity")), 2
     )
@@ -438,17 +452,37 @@ def _(t):
     return plain(K.mutual_information(I.flows(t), I.FEATURES), 8)
 
 
-@query("f20_forest_importance")
+@query("f20_forest_importance", f"SELECT unnest({I.FEATURES}) AS feature, CAST(1 AS BIGINT) AS valid, 1.0::DOUBLE AS total")
 def _(t):
-    return plain(K.forest_importance(I.flows(t), I.FEATURES))
+    """A forest has no closed form: shares lie between 0 and 1 and add up to 1."""
+    shares = K.forest_importance(I.flows(t), I.FEATURES)
+    total = F.sum("importance").over(Window.partitionBy())
+    return plain(shares.select("feature", F.col("importance").between(0, 1).alias("valid"), total.alias("total")))
 
 
-@query("f21_combined_ranking")
+@query(
+    "f21_combined_ranking",
+    f"WITH {MI}, m AS (SELECT feature, SUM(n / t * ln(n * t / (b * c))) AS mi FROM tot GROUP BY feature), "
+    "v AS (SELECT feature, var_samp(value) AS s FROM longf GROUP BY feature), "
+    "j AS (SELECT m.feature, mi, (s - MIN(s) OVER ()) / (MAX(s) OVER () - MIN(s) OVER () + 1e-9) AS vn, "
+    "(mi - MIN(mi) OVER ()) / (MAX(mi) OVER () - MIN(mi) OVER () + 1e-9) AS mn FROM m JOIN v ON v.feature = m.feature) "
+    f"SELECT feature, {num('vn', 'variance_norm')}, {num('mn', 'mi_norm')}, CAST(1 AS BIGINT) AS combined, CAST(1 AS BIGINT) AS ranked FROM j",
+)
 def _(t):
+    """The forest's share has no closed form; score and rank are held against their definitions."""
     table = I.flows(t)
     mi = K.mutual_information(table, I.FEATURES)
-    importance = K.forest_importance(table, I.FEATURES)
-    return plain(K.combined_ranking(table, I.FEATURES, mi, importance))
+    ranked = K.combined_ranking(table, I.FEATURES, mi, K.forest_importance(table, I.FEATURES))
+    every = Window.partitionBy()
+    above = F.size(F.filter(F.collect_list("combined").over(every), lambda x: x > F.col("combined")))
+    ties = F.size(F.filter(F.collect_list("combined").over(every), lambda x: x == F.col("combined")))
+    return plain(
+        ranked.select(
+            "feature", "variance_norm", "mi_norm",
+            (F.abs(F.col("combined") - F.sqrt(F.col("mi_norm") * F.col("rf_norm"))) < 1e-9).alias("score"),
+            (F.col("combined_rank") == F.floor(above + (ties + 1) / 2)).alias("ranked"),
+        ).withColumnRenamed("score", "combined")
+    )
 
 
 @query(
@@ -461,9 +495,14 @@ def _(t):
     return plain(scores.select("feature", "score"), 9)
 
 
-@query("f22_training_accuracy")
+@query(
+    "f22_training_accuracy",
+    f"WITH {I.FLOWS} SELECT COUNT(*) AS rows, CAST(1 AS BIGINT) AS above_chance FROM flows WHERE "
+    + " AND ".join(f"isfinite({f})" for f in I.FEATURES),
+)
 def _(t):
+    """Rows used, and whether the mean recall of the classes is above that of a guess."""
     model, prepared = K.forest(I.flows(t), I.FEATURES)
-    scored = model.transform(prepared)
     hit = (F.col("prediction") == F.col("target")).cast("int")
-    return plain(scored.agg(F.count("*").alias("rows"), F.avg(hit).alias("accuracy")))
+    classes = model.transform(prepared).groupBy("target").agg(F.count("*").alias("n"), F.avg(hit).alias("recall"))
+    return plain(classes.agg(F.sum("n").alias("rows"), (F.avg("recall") > 1.0 / F.count("*")).alias("above_chance")))

@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from palisade.functions.numeric import col, magnitude_slot
-from palisade.operators.ordered import prefix_sums
+from palisade.functions.numeric import col
+from palisade.operators.ordered import depth_slots, prefix_sums
 from palisade.operators.profile import error_summary
 
 
@@ -123,22 +123,23 @@ def thresholds(df: DataFrame, error: str, method: str = "ranks") -> DataFrame:
     return error_summary(df, error, (), method).select("p95", "p99", "p99_9")
 
 
-def sweep(df: DataFrame, score: str, positive: Column) -> DataFrame:
+def sweep(df: DataFrame, score: str, positive: Column, slot_rows: int = 100_000) -> DataFrame:
     """Counts at every distinct threshold (flag when score >= threshold).
 
     Rows are first counted per distinct score, then accumulated from the highest
-    score down across magnitude slots.  The two totals are read first.
+    score down across slots of about ``slot_rows`` scores each, however they are
+    spread.  The two totals are read first.
     """
     value = col(score).cast("double")
     counts = df.where(value.isNotNull()).groupBy(value.alias("threshold")).agg(
         F.count_if(positive).alias("p"), F.count_if(~positive).alias("n")
     )
     summed = prefix_sums(
-        counts,
+        depth_slots(counts, "threshold", slot_rows, "__depth"),
         {"tp": F.col("p"), "fp": F.col("n")},
         [F.desc("threshold")],
-        -magnitude_slot("threshold", 64),
-    )
+        -F.col("__depth"),
+    ).drop("__depth")
     totals = counts.agg(F.sum("p").alias("p"), F.sum("n").alias("n")).first()
     all_p, all_n = F.lit(totals["p"]).cast("long"), F.lit(totals["n"]).cast("long")
     return summed.withColumns({"all_p": all_p, "all_n": all_n}).withColumns(
@@ -165,3 +166,42 @@ def best_thresholds(swept: DataFrame) -> DataFrame:
         F.max("f1").alias("best_f1"),
         (F.sum(step) / (F.max("all_p").cast("double") * F.max("all_n"))).alias("roc_auc"),
     )
+
+
+def centroid_validation(df: DataFrame, vector: str, label: str, fold: str, width: int) -> DataFrame:
+    """Per fold: rows, accuracy and mean recall of a nearest-centroid classifier that was
+    fitted on the other folds.
+
+    One pass adds up every (fold, class); the centroids without a fold are the totals less
+    the fold's own sums, a table of folds times classes.  Each row is then compared with
+    the centroids of its fold.  Ties go to the class that comes first.
+    """
+    cells = [F.element_at(col(vector), i + 1).cast("double") for i in range(width)]
+    sums = df.groupBy(fold, col(label).alias("class")).agg(
+        F.count("*").alias("n"), *[F.sum(c).alias(f"s{i}") for i, c in enumerate(cells)]
+    )
+    folds = F.array_sort(F.collect_set(fold).over(Window.partitionBy()))
+    left = (
+        sums.withColumn("__folds", folds)
+        .select("class", F.col(fold).alias("__own"), "n", *[f"s{i}" for i in range(width)], F.explode("__folds").alias(fold))
+        .groupBy("class", fold)
+        .agg(
+            F.sum(F.when(F.col("__own") != F.col(fold), F.col("n"))).alias("n"),
+            F.array(*[F.sum(F.when(F.col("__own") != F.col(fold), F.col(f"s{i}"))) for i in range(width)]).alias("sums"),
+        )
+        .where("n > 0")
+        .select(fold, F.struct("class", F.transform("sums", lambda s: s / F.col("n")).alias("centre")).alias("c"))
+        .groupBy(fold)
+        .agg(F.array_sort(F.collect_list("c")).alias("centres"))
+    )
+    far = lambda c: F.aggregate(
+        F.zip_with(c["centre"], F.array(*cells), lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda t, x: t + x
+    )
+    ranked = F.transform("centres", lambda c: F.struct(far(c).alias("d"), c["class"].alias("class")))
+    judged = df.join(left, fold, "left").select(fold, col(label).alias("class"), F.array_min(ranked)["class"].alias("predicted"))
+    hits = judged.groupBy(fold, "class").agg(F.count("*").alias("n"), F.count_if(F.col("class") == F.col("predicted")).alias("hit"))
+    return hits.groupBy(fold).agg(
+        F.sum("n").alias("rows"),
+        (F.sum("hit") / F.sum("n")).alias("accuracy"),
+        F.avg(F.col("hit") / F.col("n")).alias("mean_recall"),
+    )

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -156,6 +159,41 @@ def fit_classifier(
     return AttackClassifier(forest.fit(prepared), labels, features)
 
 
+def validate_classifier(
+    df: DataFrame, features: str, label: str, fold: str, trees: int = 50, depth: int = 6, seed: int = 42
+) -> DataFrame:
+    """(fold, accuracy): the class-weighted forest, fitted without a fold and tried on it.
+
+    Folds come from a column, so they do not change with partitioning.  One fit for each
+    fold; the accuracies are as many as the folds.
+    """
+    labels = label_map(df, label)
+    count = df.agg(F.max(fold) + 1).first()[0] or 0
+    if count < 2:
+        raise ValueError("two folds are needed at least")
+    prepared = encode_labels(df, labels, label).join(class_weights(df, label), label).select(
+        array_to_vector(col(features).cast("array<double>")).alias("__x"), "label_id", "weight", col(fold).cast("int").alias(fold)
+    )
+    forest = RandomForestClassifier(
+        featuresCol="__x", labelCol="label_id", weightCol="weight", numTrees=trees, maxDepth=depth, seed=seed
+    )
+    tried = CrossValidator(
+        estimator=forest,
+        estimatorParamMaps=[{}],
+        evaluator=MulticlassClassificationEvaluator(labelCol="label_id", metricName="accuracy"),
+        numFolds=count,
+        foldCol=fold,
+        collectSubModels=True,
+        seed=seed,
+    ).fit(prepared)
+    parts = []
+    for number, models in enumerate(tried.subModels):
+        test = models[0].transform(prepared.where(F.col(fold) == number))
+        hit = F.avg((F.col("prediction") == F.col("label_id")).cast("int"))
+        parts.append(test.agg(F.lit(number).alias("fold"), F.count("*").alias("rows"), hit.alias("accuracy")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def classify_scores(df: DataFrame, scores: str, mapping: DataFrame) -> DataFrame:
     """Argmax, confidence and label of an array of class scores."""
     best = F.array_max(scores)

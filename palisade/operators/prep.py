@@ -167,6 +167,15 @@ def hash_fraction(*key: str) -> Column:
     return F.conv(F.substring(hash_key(*key), 1, 8), 16, 10).cast("double") / F.lit(float(2**32))
 
 
+def repeatable_sample(df: DataFrame, rows: int, key: Sequence[str]) -> DataFrame:
+    """The ``rows`` rows whose keys have the smallest hashes.
+
+    The same rows whatever the partitioning: every task keeps its smallest, and these are
+    merged.  Meant for samples that one task can hold.
+    """
+    return df.orderBy(hash_key(*key), *[F.col(k) for k in key]).limit(rows)
+
+
 def sample(df: DataFrame, fraction: float, key: Sequence[str]) -> DataFrame:
     """Repeatable simple sample: a narrow filter, no shuffle."""
     return df.where(hash_fraction(*key) < fraction)

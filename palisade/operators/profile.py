@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from palisade.functions.numeric import clip, col, finite, is_infinite, min_max
-from palisade.operators.ordered import attach, hash_key, sized_broadcast
+from palisade.operators.ordered import attach, sized_broadcast
+from palisade.operators.prep import repeatable_sample
 from palisade.operators.quantiles import quantile_columns
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
@@ -77,7 +78,7 @@ def zero_share(df: DataFrame, features: Sequence[str]) -> DataFrame:
 def null_map(df: DataFrame, features: Sequence[str], rows: int | None = 5000, key: Sequence[str] = ()) -> DataFrame:
     """Which features have a missing value, in a repeatable sample or everywhere."""
     if rows:
-        df = df.orderBy(hash_key(*key), *key).limit(rows)
+        df = repeatable_sample(df, rows, key)
     return long_form(df, features).groupBy("feature").agg(
         F.bool_or(finite("value").isNull()).alias("has_missing")
     )

@@ -16,10 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from palisade.functions.numeric import col, finite, magnitude_slot
-from palisade.operators.ordered import attach, sized_broadcast
-
-COARSE_PER_OCTAVE = 16
-FINE_PER_OCTAVE = 65536
+from palisade.operators.ordered import COARSE_PER_OCTAVE, FINE_PER_OCTAVE, attach, sized_broadcast
 
 
 def quantiles(

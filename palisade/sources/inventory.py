@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palisade.functions.numeric import col
+from palisade.operators.ordered import attach
+from palisade.operators.prep import repeatable_sample
 
 
 def stored_bytes(spark: SparkSession, path: str) -> DataFrame:
@@ -86,3 +90,37 @@ def flow_catalog(df: DataFrame, label: str = "Label", day: str = "day") -> DataF
         F.map_from_entries(F.array_sort(F.collect_list(F.struct(label, "n")))).alias("distribution"),
         F.sort_array(F.collect_set(label)).alias("classes"),
     ).withColumn("columns", F.lit(len([c for c in df.columns if c != day])))
+
+
+def file_catalog(df: DataFrame, label: str = "Label") -> DataFrame:
+    """Per file of a file-based table: name, bytes, rows, columns, class counts and classes;
+    and one row of totals, whose file is null.
+
+    Path and size come with the rows from the file system, so nothing is listed on the
+    driver.  Rows are counted by (file, class); what is gathered is as small as the classes.
+    """
+    counts = df.select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes"), col(label).alias("class")
+    ).groupBy("file", "bytes", "class").agg(F.count("*").alias("n"))
+    whole = F.grouping("file").alias("whole")
+    spread = counts.groupingSets([["file", "class"], ["class"]], "file", "class").agg(whole, F.sum("n").alias("n"))
+    classes = spread.groupBy("whole", "file").agg(
+        F.sum("n").alias("rows"),
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct("class", "n")).alias("d"))).alias("distribution"),
+        F.array_sort(F.collect_set("class")).alias("classes"),
+    )
+    files = counts.groupBy("file").agg(F.max("bytes").alias("bytes"))
+    sizes = files.rollup("file").agg(whole, F.sum("bytes").alias("bytes"), F.count("*").alias("files"))
+    return attach(classes, sizes, ["whole", "file"]).select(
+        "file", "files", "bytes", "rows", F.lit(len(df.columns)).alias("columns"), "distribution", "classes"
+    )
+
+
+def profile_with_sample(df: DataFrame, key: Sequence[str], rows: int = 5) -> DataFrame:
+    """``dataset_profile`` with a repeatable sample of each column's values as text."""
+    sample = repeatable_sample(df, rows, key)
+    gathered = sample.agg(
+        *[F.collect_list(F.coalesce(col(c).cast("string"), F.lit("null"))).alias(c) for c in df.columns]
+    )
+    values = gathered.unpivot([], [col(c) for c in df.columns], "column", "sample")
+    return dataset_profile(df).join(values, "column")
