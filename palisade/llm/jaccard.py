@@ -162,12 +162,13 @@ def _described(source: DataFrame, frequent: np.ndarray) -> DataFrame:
             for low in range(0, whole.num_rows, 1000):
                 batch = whole.slice(low, 1000)
                 n, keys, prefixes = [], [], []
-                for words in word_texts(batch.column(1)):
+                for doc, words in zip(batch.column(0), word_texts(batch.column(1)), strict=True):
                     tokens = shingles(words)
                     key = hashlib.blake2b(tokens.tobytes(), digest_size=16).digest() if len(tokens) else None
                     n.append(len(tokens))
                     keys.append(key)
-                    if key is None or key in seen:
+                    # A row without an id is dropped before grouping, so it may not stand for its key.
+                    if key is None or key in seen or not doc.is_valid:
                         prefixes.append(None)
                         continue
                     if len(seen) > 200_000:

@@ -163,6 +163,9 @@ def assess(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules=
 
 
 def keep(df: DataFrame, text_col: str = "text", rules=RULES) -> DataFrame:
-    """The rows of ``df`` that pass, all columns unchanged."""
+    """The rows of ``df`` that pass, all columns unchanged.
+
+    Null, empty and blank texts do not pass; repeated rows are judged one by one.
+    """
     m = measures(df, text_col, "__q_")
     return m.where(~base_failed("__q_") & compiled(rules, "__q_")).select(*[m[f"`{c}`"] for c in df.columns])

@@ -46,25 +46,51 @@ MIN_TOTAL, MIN_STEP = 12.0, 0.5
 BACKOFF = 10.0
 
 
+CHUNK = 64
+
+
+def running(values: Column, combine, first: int = 0) -> Column:
+    """For each whole number of an array, ``combine`` of all before it, from ``first``.
+
+    Appending to an array copies it, so the array is cut into pieces of CHUNK: each is
+    run through on its own, from what the pieces before it come to.
+    """
+    count = F.floor((F.size(values) + (CHUNK - 1)) / CHUNK).cast("int")
+    starts = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
+
+    def through(piece: Column, start: Column) -> Column:
+        zero = F.struct(start.cast("int").alias("at"), F.array().cast("array<int>").alias("out"))
+        step = lambda acc, x: F.struct(combine(acc["at"], x).cast("int").alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out"))
+        return F.aggregate(piece, zero, step, lambda acc: acc["out"])
+
+    pieces = F.transform(starts, lambda i: F.slice(values, i * CHUNK + 1, CHUNK))
+    totals = F.transform(pieces, lambda p: F.aggregate(p, F.lit(first), lambda acc, x: combine(acc, x).cast("int")))
+    # One-element arrays bind a value once for use inside a lambda.
+    bound = F.transform(F.array(F.struct(pieces.alias("p"), totals.alias("t"))), lambda b: F.flatten(
+        F.zip_with(b["p"], through(b["t"], F.lit(first)), through)
+    ))
+    return F.get(bound, F.lit(0))
+
+
 def _spans(text: Column, pattern: str) -> Column:
     """array<struct<start,end,match>> of leftmost non-overlapping matches."""
     gaps = F.transform(F.split(text, pattern, -1), lambda g: F.length(g))
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    start = F.struct(
-        F.lit(0).alias("at"),
-        F.array().cast("array<struct<start:int,end:int,match:string>>").alias("out"),
-    )
-
-    def step(acc: Column, pair: Column) -> Column:
-        begin = acc["at"] + pair["g"]
-        end = begin + F.length(pair["m"])
-        one = F.array(F.struct(begin.alias("start"), end.alias("end"), pair["m"].alias("match")))
-        return F.struct(end.alias("at"), F.concat(acc["out"], one).alias("out"))
-
     pairs = F.zip_with(
         F.slice(gaps, 1, F.size(matches)), matches, lambda g, m: F.struct(g.alias("g"), m.alias("m"))
     )
-    found = F.aggregate(pairs, start, step, lambda acc: acc["out"])
+
+    def placed(pairs: Column) -> Column:
+        before = running(F.transform(pairs, lambda p: p["g"] + F.length(p["m"])), lambda a, b: a + b)
+        return F.zip_with(
+            pairs,
+            before,
+            lambda p, at: F.struct(
+                (at + p["g"]).alias("start"), (at + p["g"] + F.length(p["m"])).alias("end"), p["m"].alias("match")
+            ),
+        )
+
+    found = F.get(F.transform(F.array(pairs), placed), F.lit(0))
     none = F.array().cast("array<struct<start:int,end:int,match:string>>")
     return F.when(text.rlike(pattern), found).otherwise(none)
 
@@ -213,25 +239,23 @@ def report(df: DataFrame, ratio: list[float], id_col: str = "doc_id", text_col:
 def redact(df: DataFrame, ratio: list[float], text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """``df`` with every span of ``text_col`` replaced by ``mark``, all columns kept.
 
-    Overlapping spans are replaced as one.  Null texts stay null.
+    Overlapping spans are replaced as one.  Null texts stay null, and empty and blank ones
+    as they are.  Repeated rows are treated one by one; columns may have any names.
     """
     work = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("__row"))
     text = F.col("__row")[text_col]
     found = find(work.select(F.struct("__row").alias("k"), text.alias("t")), ratio, "k", "t")
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
     t = F.col("k")["__row"][text_col]
-
-    def step(acc: Column, s: Column) -> Column:
-        piece = F.when(s["start"] >= acc["at"], F.array(t.substr(acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark)))
-        return F.struct(
-            F.greatest(acc["at"], s["end"]).alias("at"),
-            F.concat(acc["out"], F.coalesce(piece, F.array().cast("array<string>"))).alias("out"),
-        )
-
-    clean = F.aggregate(
-        F.col("found"), start, step,
-        lambda acc: F.concat(F.array_join(acc["out"], ""), t.substr(acc["at"] + 1, F.length(t))),
+    ends = F.transform("found", lambda s: s["end"])
+    reached = running(ends, lambda a, b: F.greatest(a, b))
+    pieces = F.zip_with(
+        F.col("found"),
+        reached,
+        lambda s, at: F.when(
+            s["start"] >= at, F.concat(t.substr(at + 1, s["start"] - at), F.lit(mark))
+        ).otherwise(F.lit("")),
     )
+    clean = F.concat(F.array_join(pieces, ""), t.substr(F.array_max(ends) + 1, F.length(t)))
     new = F.when(F.size("found") > 0, clean).otherwise(t)
     return found.select(
         *[(new if c == text_col else F.col("k")["__row"][c]).alias(c) for c in df.columns]
