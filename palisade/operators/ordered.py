@@ -100,21 +100,22 @@ def depth_slots(df: DataFrame, value: str, rows: int = 100_000, name: str = _SLO
     """Add a slot number that never decreases along ``value`` and follows where values lie.
 
     Coarse magnitude slots are counted first.  Neighbours share a slot until it has about
-    ``rows`` rows, and a coarse slot with more is cut into its fine slots.  The counts
-    have at most one row for each magnitude a double can have.
+    ``rows`` rows, and a coarse slot with more is cut into as many parts as its count asks
+    for, at most its fine slots.  The counts have at most one row for each magnitude a
+    double can have.
     """
     coarse, fine = magnitude_slot(value, COARSE_PER_OCTAVE), magnitude_slot(value, FINE_PER_OCTAVE)
+    part = FINE_PER_OCTAVE // COARSE_PER_OCTAVE
     counts = df.groupBy(coarse.alias("__coarse")).agg(F.count("*").alias("__n"))
     before = F.coalesce(F.sum("__n").over(Window.orderBy("__coarse").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     table, _ = sized_broadcast(
         counts.select(
-            "__coarse", F.floor(before / F.lit(rows)).cast("long").alias("__group"), (F.col("__n") > rows).alias("__cut")
+            "__coarse", F.floor(before / F.lit(rows)).cast("long").alias("__group"), F.least(F.ceil(F.col("__n") / F.lit(rows)), F.lit(part)).alias("__cut")
         )
     )
-    part = FINE_PER_OCTAVE // COARSE_PER_OCTAVE
-    # Fine slots of one coarse slot lie within ``part`` of its first; none of them is 0 here.
-    inside = fine - F.col("__coarse") * part + F.lit(part)
-    slot = F.col("__group") * (2 * part + 1) + F.when(F.col("__cut"), inside).otherwise(0)
+    # Fine slots of one coarse slot lie within ``part`` of its first, above or below.
+    inside = F.floor((fine - F.col("__coarse") * part + part) * F.col("__cut") / F.lit(part)) + 1
+    slot = F.col("__group") * (2 * part + 2) + F.when(F.col("__cut") > 1, inside).otherwise(0)
     return df.withColumn("__coarse", coarse).join(table, "__coarse").withColumn(name, slot).drop("__coarse", "__group", "__cut")
 
 

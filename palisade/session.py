@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -42,9 +43,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for intermediate tables and stream checkpoints.
 
     It lies in the shared folder named by ``spark.checkpoint.dir``.  Without that
-    setting the caller has to name a folder with ``use_scratch``.
+    setting the caller has to name a folder with ``use_scratch``, which counts only where
+    driver and executors are one process.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or _own_scratch
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "local")):
+        root = _own_scratch
     if not root:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -12,6 +12,10 @@ from palisade.operators.ordered import attach
 from palisade.operators.prep import repeatable_sample
 
 
+# Fixed value: the class of rows without a label.
+UNKNOWN = "UNKNOWN"
+
+
 def stored_bytes(spark: SparkSession, path: str) -> DataFrame:
     """Files and bytes under a directory, from the file listing alone."""
     files = (
@@ -84,7 +88,7 @@ def flow_catalog(df: DataFrame, label: str = "Label", day: str = "day") -> DataF
     Rows are first counted per (day, class), so the collected map is as small as
     the number of classes.
     """
-    counts = df.groupBy(day, label).agg(F.count("*").alias("n"))
+    counts = df.groupBy(day, F.coalesce(col(label), F.lit(UNKNOWN)).alias(label)).agg(F.count("*").alias("n"))
     return counts.groupBy(day).agg(
         F.sum("n").alias("rows"),
         F.map_from_entries(F.array_sort(F.collect_list(F.struct(label, "n")))).alias("distribution"),
@@ -94,13 +98,14 @@ def flow_catalog(df: DataFrame, label: str = "Label", day: str = "day") -> DataF
 
 def file_catalog(df: DataFrame, label: str = "Label") -> DataFrame:
     """Per file of a file-based table: name, bytes, rows, columns, class counts and classes;
-    and one row of totals, whose file is null.
+    and one row of totals, whose file is null.  Rows without a class count as UNKNOWN.
 
     Path and size come with the rows from the file system, so nothing is listed on the
     driver.  Rows are counted by (file, class); what is gathered is as small as the classes.
     """
     counts = df.select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes"), col(label).alias("class")
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes"),
+        F.coalesce(col(label), F.lit(UNKNOWN)).alias("class"),
     ).groupBy("file", "bytes", "class").agg(F.count("*").alias("n"))
     whole = F.grouping("file").alias("whole")
     spread = counts.groupingSets([["file", "class"], ["class"]], "file", "class").agg(whole, F.sum("n").alias("n"))

@@ -28,7 +28,11 @@ def test_every_sql_has_a_query():
 
 
 @pytest.mark.parametrize(
-    "name", ["labelled_user_day", "prepared_flows", "d30_separation", "f15_two_stage_detector", "g03_alert_rows"]
+    "name",
+    [
+        "labelled_user_day", "prepared_flows", "d30_separation", "f15_two_stage_detector", "g03_alert_rows", "c03_user_day_features",
+        "d28_class_medians", "d39_error_summary", "f16_thresholds", "f17_threshold_sweep", "g08_gate_results",
+    ],
 )
 def test_plan_has_no_cross_join(spark, name):
     plan = QUERIES[name](spark, DIRECTORY)._jdf.queryExecution().executedPlan().toString()

@@ -204,3 +204,87 @@ def test_class_medians_search_once(spark):
     df = I.flows(Tables(spark, DIRECTORY))
     # The first two scans are jobs of their own; the plan that is left holds the third.
     assert plan_of(C.class_medians(df, I.FEATURES)).count("Scan parquet") == 1
+
+
+# ---- slots, folds, files, samples ---------------------------------------------
+
+
+def test_depth_slots_follow_the_values(spark):
+    from palisade.operators.ordered import depth_slots
+
+    rng = np.random.default_rng(9)
+    values = np.unique(np.concatenate([rng.uniform(1.0, 1.05, 4000), -rng.uniform(1.0, 1.05, 3000), rng.lognormal(0, 5, 500), [0.0]]))
+    df = spark.createDataFrame([(float(v),) for v in values], "v double")
+    got = depth_slots(df, "v", rows=200, name="slot").orderBy("v").collect()
+    slots = [r.slot for r in got]
+    assert len(got) == len(values) and slots == sorted(slots)
+    sizes = pd.Series(slots).value_counts()
+    # 7,000 of the values lie in a twentieth of an octave on either side.
+    assert sizes.max() <= 500 and len(sizes) < 200
+
+
+def test_sweep_is_the_same_in_small_slots(spark):
+    from palisade.operators import evaluation as E
+
+    rng = np.random.default_rng(1)
+    df = spark.createDataFrame([(float(v), bool(v > 0.9)) for v in rng.uniform(0.5, 1.0, 900).round(4)], "s double, p boolean")
+    some, one = (E.sweep(df, "s", F.col("p"), n).orderBy("threshold").collect() for n in (20, 10**6))
+    assert some == one
+
+
+def test_centroids_are_fitted_without_the_fold(spark):
+    from palisade.operators import evaluation as E
+
+    rng = np.random.default_rng(2)
+    rows = [(i, i % 3, f"c{i % 4}", (rng.normal(size=3) + (i % 4) * (i % 2)).tolist()) for i in range(240)]
+    df = spark.createDataFrame(rows, "id long, fold int, label string, v array<double>")
+    got = {r.fold: (r.rows, r.accuracy) for r in E.centroid_validation(df, "v", "label", "fold", 3).collect()}
+    for fold in range(3):
+        centres = {c: np.mean([r[3] for r in rows if r[2] == c and r[1] != fold], axis=0) for c in ("c0", "c1", "c2", "c3")}
+        test = [r for r in rows if r[1] == fold]
+        hits = sum(min(centres, key=lambda c: ((centres[c] - np.array(r[3])) ** 2).sum()) == r[2] for r in test)
+        assert got[fold][0] == len(test) and np.isclose(got[fold][1], hits / len(test))
+
+
+def test_catalog_of_files_has_sizes_and_totals(spark, tmp_path):
+    from palisade.sources import inventory as V
+
+    for name, labels in (("a", ["x", "x", None]), ("b", ["y"])):
+        spark.createDataFrame([(v, 1) for v in labels], "Label string, n int").coalesce(1).write.parquet(str(tmp_path / name))
+    files = spark.read.option("recursiveFileLookup", True).parquet(str(tmp_path))
+    rows = V.file_catalog(files).collect()
+    sizes = [f.stat().st_size for f in tmp_path.rglob("*.parquet")]
+    total = next(r for r in rows if r.file is None)
+    assert len(rows) == 3 and (total.files, total.rows, total.bytes) == (2, 4, sum(sizes))
+    assert sorted(r.bytes for r in rows if r.file) == sorted(sizes)
+    assert sorted(r.classes for r in rows if r.file) == [["UNKNOWN", "x"], ["y"]] and total.classes == ["UNKNOWN", "x", "y"]
+    assert V.file_catalog(files.where("n > 5")).count() == 0
+
+
+def test_samples_do_not_depend_on_partitions(spark):
+    from palisade.operators import prep
+
+    df = spark.range(500).withColumnRenamed("id", "k")
+    one = prep.repeatable_sample(df.repartition(7), 20, ["k"]).collect()
+    assert sorted(one) == sorted(prep.repeatable_sample(df.coalesce(1), 20, ["k"]).collect()) and len(one) == 20
+
+
+def test_scratch_is_shared_or_local():
+    from palisade import session
+
+    class Conf:
+        def __init__(self, **values):
+            self.values = values
+
+        def get(self, key, default=None):
+            return self.values.get(key.replace(".", "_"), default)
+
+    class Spark:
+        def __init__(self, **values):
+            self.conf = Conf(**values)
+
+    assert session.scratch_path(Spark(spark_master="local[3]"), "x").startswith(session._own_scratch)
+    assert session.scratch_path(Spark(spark_master="yarn", spark_checkpoint_dir="hdfs:///c"), "x").startswith("hdfs:///c/x-")
+    for master in ("yarn", "local-cluster[2,1,900]"):
+        with pytest.raises(RuntimeError):
+            session.scratch_path(Spark(spark_master=master), "x")
