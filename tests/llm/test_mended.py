@@ -106,3 +106,83 @@ def test_a_text_of_many_spans_takes_time_in_proportion(spark):
             want += [text[at : s.start], "[SECRET]"]
         at = max(at, s.end)
     assert clean == "".join(want) + text[at:]
+
+
+def test_best_fit_equals_a_plain_loop():
+    from palisade.llm import sharding
+
+    rng = random.Random(5)
+    for _ in range(200):
+        sizes = sorted((rng.randrange(1, 60) for _ in range(rng.randrange(1, 40))), reverse=True)
+        bins, capacity = rng.randrange(1, 9), rng.randrange(40, 200)
+        room, want = [capacity] * bins, []
+        for size in sizes:
+            fits = [(room[b], b) for b in range(bins) if room[b] >= size]
+            if not fits:
+                want = None
+                break
+            _, b = min(fits)
+            room[b] -= size
+            want.append(b)
+        assert sharding.best_fit(sizes, bins, capacity) == want
+
+
+def test_packets_come_in_the_order_of_plain_due_times():
+    from fractions import Fraction
+
+    from palisade.llm import packing
+
+    rng = random.Random(6)
+    for _ in range(30):
+        totals = np.array([rng.choice([0, 1, 2, 7, 40]) for _ in range(rng.randrange(1, 9))], dtype=np.int64)
+        packets = [(Fraction(2 * k + 1, 2 * int(n)), q, k) for q, n in enumerate(totals) for k in range(n)]
+        if not packets:
+            continue
+        order = sorted(packets)
+        got = packing.ranks(np.array([q for _, q, _ in order]), np.array([k for _, _, k in order]), totals)
+        assert got.tolist() == list(range(len(order)))
+
+
+def test_last_stages_of_the_pipeline_by_hand(spark):
+    import zlib
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline
+    from palisade.llm.common import stored, table
+
+    directory = "/root/testdata/sf0.01"  # the smaller tables hold no secret
+    docs, before = table(spark, directory, "documents"), None
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before, docs = docs, stored(stage(spark, docs, directory), name)
+    plain = {r.doc_id: r.text for r in before.collect()}
+    clean = {r.doc_id: r.text for r in docs.collect()}
+    assert clean.keys() == plain.keys() and docs.columns == before.columns
+    marked = 0
+    for k, text in clean.items():
+        assert not re.search(r"AKIA[A-Z0-9]{16,}|[0-9a-f]{24,}", text or "")
+        at = 0
+        for piece in (text or "").split("[SECRET]"):
+            assert (place := (plain[k] or "").find(piece, at)) >= 0
+            at = place + len(piece)
+        marked += text != plain[k]
+        if not re.search(r"[A-Za-z0-9+/_=-]{16,}|AKIA|[0-9a-f]{24}|(?i:passw|secret|token|api)", plain[k] or ""):
+            assert text == plain[k]
+    assert marked > 0
+    encode = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")).encode
+    ids = {k: [*encode(t or "", add_special_tokens=False).ids, 0] for k, t in clean.items()}
+    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, directory).collect()
+    seen, windows = {k: [] for k in ids}, {}
+    for p in pieces:
+        own = ids[p.doc_id][p.start : p.start + p.length]
+        assert p.ids_crc32 == zlib.crc32(np.array(own, dtype="<u4").tobytes()) and p.doc_tokens == len(ids[p.doc_id])
+        seen[p.doc_id].append((p.start, p.length))
+        windows.setdefault(p.sequence_id, []).append((p.offset, p.length))
+    for k, spans in seen.items():
+        assert [s for s, _ in sorted(spans)] == [sum(n for _, n in sorted(spans)[:i]) for i in range(len(spans))]
+        assert sum(n for _, n in spans) == len(ids[k])
+    for spans in windows.values():
+        assert [o for o, _ in sorted(spans)] == [sum(n for _, n in sorted(spans)[:i]) for i in range(len(spans))]
+    sizes = [sum(n for _, n in windows[w]) for w in sorted(windows)]
+    assert sizes[:-1] == [1024] * (len(sizes) - 1) and sizes[-1] <= 1024
