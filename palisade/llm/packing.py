@@ -1,34 +1,34 @@
 """Mixture-controlled packing of tokenised documents into fixed windows.
 
 Every source is a queue of tokens.  The queues are served by deficit round-robin
-with a quantum of QUANTUM tokens: packet k of a queue with N packets falls due at
-(2k + 1) / 2N of the whole run, and packets enter windows in the order of their due
-times.  So each window holds the sources in proportion to their tokens, up to one
-quantum, and what a source lacks in one window is made up in the next.  The order is
-a closed form of the queues' totals: any task can place its own tokens, and the
-deficits carry over windows and partitions without a running state.
+with a quantum of QUANTUM tokens: packet k of a queue with rate r falls due at
+(2k + 1) / 2r, and packets enter windows in the order of their due times.  So each
+window holds the sources in proportion to their rates, up to one quantum, and what a
+source lacks in one window is made up in the next.  The rate is the queue's number of
+packets (the natural mix) or follows given target shares.  Due times depend on totals
+only, so Spark places all packets by counting those due before: deficits carry over
+windows and partitions without a running state, for any number of queues.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from palisade.llm.common import stored
+from palisade.llm.common import discard, stored
+from palisade.operators.ordered import prefix_sums
 
 WINDOW = 1024
 QUANTUM = 128
 END = 0
-# Sources beyond the first MAX_QUEUES - 1 share one queue; a table of queue totals
-# therefore has a fixed size.
-MAX_QUEUES = 64
-# Packets are ordered inside sections of the run so that products stay below 2^63.
-SECTION = 1 << 30
+# Packets are counted in slots of due time: at most SLOTS per round of all queues, and
+# none that would hold fewer than SLOT_PACKETS.
+SLOTS, SLOT_PACKETS = 1 << 16, 1 << 13
 
 
 class _Pieces(dict):
@@ -89,26 +89,17 @@ def tokenizer_paths() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
-def queues(df: DataFrame, source_col: str, text_col: str) -> list[str]:
-    """The sources with most text, at most MAX_QUEUES - 1 of them."""
-    size = F.sum(F.coalesce(F.octet_length(text_col), F.lit(0)) + 1)
-    top = (
-        df.where(F.col(source_col).isNotNull()).groupBy(F.col(source_col).cast("string").alias("s"))
-        .agg(size.alias("n")).orderBy(F.desc("n"), "s").limit(MAX_QUEUES - 1)
-    )
-    return [r["s"] for r in top.collect()]
-
-
-def tokenised(df: DataFrame, names: list[str], id_col: str, text_col: str, source_col: str,
+def tokenised(df: DataFrame, id_col: str, text_col: str, source_col: str,
               paths: tuple[str, str] | None = None) -> DataFrame:
     """id, part, queue, at, n, ids: token ids (two bytes each) of every text with the
     end id, and their place ``at`` in the part's share of the queue.
 
-    ``part`` numbers the tasks of this pass; the result has to be stored before use.
+    ``queue`` is the source behind "=", and empty for null.  ``part`` numbers the tasks
+    of this pass; the result has to be stored before use.
     """
-    number = {name: i + 1 for i, name in enumerate(names)}
     source = df.select(
-        F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.col(source_col).cast("string").alias("source")
+        F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"),
+        F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit("")).alias("queue"),
     )
     given = paths
 
@@ -119,130 +110,150 @@ def tokenised(df: DataFrame, names: list[str], id_col: str, text_col: str, sourc
         if where not in _encoders:
             _encoders[where] = _Pieces(*where)
         encode, part = _encoders[where].encode, TaskContext.get().partitionId()
-        filled = [0] * (MAX_QUEUES + 1)
+        filled: dict[str, int] = {}
         end = np.array([END], dtype="<u2").tobytes()
         for whole in batches:
             for low in range(0, whole.num_rows, 500):
                 batch = whole.slice(low, 500)
                 ids = [encode(t or "") + end for t in batch.column(1).to_pylist()]
-                queue = [number.get(s, 0) for s in batch.column(2).to_pylist()]
                 at = []
-                for q, x in zip(queue, ids, strict=True):
-                    at.append(filled[q])
-                    filled[q] += len(x) // 2
+                for q, x in zip(batch.column(2).to_pylist(), ids, strict=True):
+                    at.append(filled.get(q, 0))
+                    filled[q] = at[-1] + len(x) // 2
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0), pa.array([part] * len(ids), pa.int32()), pa.array(queue, pa.int32()),
+                        batch.column(0), pa.array([part] * len(ids), pa.int32()), batch.column(2),
                         pa.array(at, pa.int64()), pa.array([len(x) // 2 for x in ids], pa.int64()), pa.array(ids, pa.binary()),
                     ],
                     names=["id", "part", "queue", "at", "n", "ids"],
                 )
 
-    return source.mapInArrow(run, "id long, part int, queue int, at long, n long, ids binary")
-
-
-def ranks(queue: np.ndarray, packet: np.ndarray, totals: np.ndarray) -> np.ndarray:
-    """Place of full packets (``packet`` of ``queue``) in the common order of all."""
-    sections = max(1, -(-int(totals.max(initial=0)) // SECTION))
-    edges = np.array([[int(t) * e // sections for t in totals.tolist()] for e in range(sections + 1)], dtype=np.int64)
-    section = ((packet + 1) * sections - 1) // totals[queue]
-    sizes = np.diff(edges, axis=0)
-    own = sizes[section, queue]
-    k = packet - edges[section, queue]
-    place = edges.sum(axis=1)[section] + k
-    due = 2 * k + 1
-    for other in np.flatnonzero(totals):
-        # Packets j of m with (2j + 1) / m before (2k + 1) / own; an earlier queue wins ties.
-        m = sizes[section, other]
-        x, y = due * m - own, 2 * own
-        ahead = np.where(other < queue, x // y + 1, -(-x // y))
-        place += np.where(other == queue, 0, np.clip(ahead, 0, m))
-    return place
-
-
-def token_runs(queue: np.ndarray, start: np.ndarray, n: np.ndarray, totals: np.ndarray):
+    return source.mapInArrow(run, "id long, part int, queue string, at long, n long, ids binary")
+
+
+def rates(totals: DataFrame, packets: int, shares: Mapping[str, float] | None) -> Column:
+    """Packets of a queue per round of ``packets``: its own number of packets, or its share
+    of the round; sources without a share divide what the others leave by their packets."""
+    if not shares:
+        return F.col("full").cast("double")
+    if any(not 0 < v <= 1 for v in shares.values()) or sum(shares.values()) > 1 + 1e-9:
+        raise ValueError("shares must be above 0, and at most 1 together")
+    keys = {f"={name}": float(v) for name, v in shares.items()}
+    named = F.col("queue").isin(*keys)
+    others = totals.where(~named).agg(F.sum("full")).first()[0] or 0
+    left = 1 - sum(keys.values())
+    if others and left < 1e-9:
+        raise ValueError("shares leave nothing for the other sources")
+    table = F.create_map(*[F.lit(x) for pair in keys.items() for x in pair])
+    return F.when(named, F.try_element_at(table, F.col("queue")) * packets).otherwise(
+        F.col("full") * F.lit(left * packets / max(others, 1))
+    )
+
+
+def cuts(start: np.ndarray, n: np.ndarray, full: np.ndarray, rest_at: np.ndarray):
     """Cuts of documents with ``n`` tokens from ``start`` of their queues.
 
-    Arrays (document, first token, length, position), document by document; positions
-    count all tokens of all windows.  ``totals``: tokens per queue.  What is left of
-    the queues after their full packets follows at the end, queue by queue.
+    Arrays (document, first token, length, packet, place in the packet, position).  A queue
+    has ``full`` whole packets; what is left lies at ``rest_at`` of all windows, is cut
+    where a window ends, and is the only part whose position is known here (else -1).
     """
-    full, rest = totals // QUANTUM, totals % QUANTUM
     low = start // QUANTUM
     count = (start + n - 1) // QUANTUM - low + 1
     doc = np.repeat(np.arange(len(n)), count)
     packet = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count - low, count)
-    q, begin_of, stop_of = queue[doc], start[doc], (start + n)[doc]
-    begin = np.maximum(packet * QUANTUM, begin_of)
-    length = np.minimum((packet + 1) * QUANTUM, stop_of) - begin
-    position = full.sum() * QUANTUM + (np.cumsum(rest) - rest)[q]
-    whole = packet < full[q]
-    position[whole] = ranks(q[whole], packet[whole], full) * QUANTUM
-    position += begin - packet * QUANTUM
-    # A run may cross the end of a window only among the rests.
-    for i in np.flatnonzero(position // WINDOW != (position + length - 1) // WINDOW)[::-1]:
-        cut = WINDOW - position[i] % WINDOW
-        doc, begin_of = np.insert(doc, i + 1, doc[i]), np.insert(begin_of, i + 1, begin_of[i])
-        begin = np.insert(begin, i + 1, begin[i] + cut)
-        position = np.insert(position, i + 1, position[i] + cut)
-        length = np.insert(length, i + 1, length[i] - cut)
-        length[i] = cut
-    joined = (
-        (position[1:] == position[:-1] + length[:-1])
-        & (position[1:] // WINDOW == position[:-1] // WINDOW)
-        & (doc[1:] == doc[:-1])
-    )
-    heads = np.flatnonzero(np.append(True, ~joined))
-    return doc[heads], (begin - begin_of)[heads], np.add.reduceat(length, heads), position[heads]
+    begin = np.maximum(packet * QUANTUM, start[doc])
+    length = np.minimum((packet + 1) * QUANTUM, (start + n)[doc]) - begin
+    inside = begin - packet * QUANTUM
+    position = np.where(packet < full[doc], -1, rest_at[doc] + inside)
+    crossing = np.flatnonzero((position >= 0) & (position // WINDOW != (position + length - 1) // WINDOW))
+    before = WINDOW - position[crossing] % WINDOW
+    doc, packet = np.append(doc, doc[crossing]), np.append(packet, packet[crossing])
+    begin = np.append(begin, begin[crossing] + before)
+    inside = np.append(inside, inside[crossing] + before)
+    position = np.append(position, position[crossing] + before)
+    length = np.append(length, length[crossing] - before)
+    length[crossing] = before
+    return doc, begin - start[doc], length, packet, inside, position
+
+
+def _cutter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for whole in batches:
+        for low in range(0, whole.num_rows, 1000):
+            batch = whole.slice(low, 1000)
+            n, start, full, rest_at, rate = (batch.column(i).to_numpy() for i in (2, 3, 4, 5, 6))
+            ids = [np.frombuffer(x, dtype="<u2").astype("<u4").tobytes() for x in batch.column(7).to_pylist()]
+            doc, first, length, packet, inside, position = cuts(start, n, full, rest_at)
+            crc32 = [
+                zlib.crc32(memoryview(ids[d])[4 * a : 4 * b])
+                for d, a, b in zip(doc.tolist(), first.tolist(), (first + length).tolist(), strict=True)
+            ]
+            placed = position >= 0
+            due = (2 * packet + 1) / np.where(placed, 1.0, 2 * rate[doc])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0).take(pa.array(doc)), pa.array(first), pa.array(length), pa.array(crc32, pa.int64()),
+                    pa.array(n[doc]), batch.column(1).take(pa.array(doc)), pa.array(packet), pa.array(inside),
+                    pa.array(due, mask=placed), pa.array(position, mask=~placed),
+                ],
+                names=["id", "start", "length", "ids_crc32", "doc_tokens", "queue", "packet", "inside", "due", "position"],
+            )
+
+
+PIECES = (
+    "id long, start long, length long, ids_crc32 long, doc_tokens long, queue string, packet long, inside long, due double, position long"
+)
 
 
 def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-         paths: tuple[str, str] | None = None) -> DataFrame:
+         paths: tuple[str, str] | None = None, shares: Mapping[str, float] | None = None) -> DataFrame:
     """One row per piece of a document: where it starts, its length, window and offset.
 
-    Every token of every text, and an end token, lies in exactly one piece.  Null and
-    empty texts are a single end token; null sources share the last queue.  Repeated
-    rows are packed one by one, and ids may repeat.  An empty table gives no piece.
-    Windows are full but for the very last one.  The order inside a queue is that of
-    the stored token table.
+    Every token of every text, and an end token, lies in exactly one piece.  ``shares``:
+    target proportion of tokens by source, together at most 1; the other sources divide
+    what is left by their size, and once a source runs out the rest go on in proportion.
+    Without it the target is the natural mix.  Null and empty texts are a single end
+    token; null is a source of its own.  Repeated rows are packed one by one, and ids may
+    repeat.  An empty table gives no piece.  Windows are full but for the very last one.
+    The order inside a queue is that of the stored token table; what is left of the queues
+    after their full packets follows at the end, queue by queue.  Other columns are not
+    read.
     """
-    spark = df.sparkSession
-    tokens = stored(tokenised(df, queues(df, source_col, text_col), id_col, text_col, source_col, paths), "tokens")
+    tokens = stored(tokenised(df, id_col, text_col, source_col, paths), "tokens")
     per_part = tokens.groupBy("queue", "part").agg(F.sum("n").alias("n"))
-    before = Window.partitionBy("queue").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = stored(
+        per_part.groupBy("queue").agg(F.sum("n").alias("n")).select(
+            "queue", F.floor(F.col("n") / QUANTUM).alias("full"), (F.col("n") % QUANTUM).alias("rest"), F.md5("queue").alias("key")
+        ),
+        "sizes",
+    )
+    packets, names = sizes.agg(F.sum("full"), F.count("*")).first()
+    packets = packets or 0
+    digits = len(f"{names // 100_000:x}")
+    ranked = prefix_sums(sizes, {"upto": F.col("rest")}, [F.col("key"), F.col("queue")], F.substring("key", 1, digits))
+    served = ranked.select(
+        "queue", "full", rates(sizes, packets, shares).alias("rate"), (F.col("upto") - F.col("rest") + packets * QUANTUM).alias("rest_at")
+    )
     # One row per task and queue; stored, so that Spark knows its size before joining.
+    before = Window.partitionBy("queue").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = stored(
-        per_part.select("queue", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")).coalesce(1), "offsets"
+        per_part.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n").join(served, "queue"), "offsets"
+    )
+    pieces = stored(
+        tokens.join(offsets, ["queue", "part"]).select(
+            "id", "queue", tokens["n"], (F.col("base") + F.col("at")).alias("begin"), "full", "rest_at", "rate", "ids"
+        ).mapInArrow(_cutter, PIECES),
+        "pieces",
+    )
+    discard(tokens, sizes, offsets)
+    whole = pieces.where(F.col("position").isNull()).drop("position")
+    slot = F.floor(F.col("due") * F.lit(float(packets / max(SLOT_PACKETS, packets // SLOTS))))
+    # The first piece of a packet counts it, so all its pieces see the packets up to it.
+    head = F.when(F.col("inside") == 0, 1).otherwise(0)
+    counted = prefix_sums(whole, {"upto": head}, [F.col("due"), F.col("queue"), F.col("inside")], slot)
+    placed = counted.withColumn("position", (F.col("upto") - 1) * QUANTUM + F.col("inside")).drop("upto")
+    return placed.unionByName(pieces.where(F.col("position").isNotNull())).select(
+        F.col("id").alias(id_col), "start", "length", "ids_crc32", "doc_tokens",
+        F.floor(F.col("position") / WINDOW).alias("sequence_id"), (F.col("position") % WINDOW).alias("offset"),
+        F.when(F.col("queue") != "", F.substr(F.col("queue"), F.lit(2))).alias("source"),
+        F.when(F.col("due").isNotNull(), F.col("packet")).alias("packet"),
     )
-    totals = np.zeros(MAX_QUEUES + 1, dtype=np.int64)
-    for r in tokens.groupBy("queue").agg(F.sum("n").alias("n")).collect():  # at most MAX_QUEUES rows
-        totals[r["queue"]] = r["n"]
-    placed = tokens.join(offsets, ["queue", "part"]).select("id", "queue", (F.col("base") + F.col("at")).alias("start"), "n", "ids")
-    return placed.mapInArrow(
-        _cutter(totals),
-        "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, queue int",
-    ).withColumnRenamed("doc_id", id_col)
-
-
-def _cutter(totals: np.ndarray):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for low in range(0, whole.num_rows, 1000):
-                batch = whole.slice(low, 1000)
-                queue, start, n = (batch.column(i).to_numpy() for i in (1, 2, 3))
-                ids = [np.frombuffer(x, dtype="<u2").astype("<u4").tobytes() for x in batch.column(4).to_pylist()]
-                doc, first, length, position = token_runs(queue.astype(np.int64), start, n, totals)
-                crc32 = [
-                    zlib.crc32(memoryview(ids[d])[4 * a : 4 * b])
-                    for d, a, b in zip(doc.tolist(), first.tolist(), (first + length).tolist(), strict=True)
-                ]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).take(pa.array(doc)), pa.array(first), pa.array(length), pa.array(crc32, pa.int64()),
-                        pa.array(n[doc]), pa.array(position // WINDOW), pa.array(position % WINDOW),
-                        pa.array(queue[doc].astype(np.int32)),
-                    ],
-                    names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "queue"],
-                )
-
-    return run

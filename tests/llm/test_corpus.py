@@ -218,12 +218,13 @@ def test_packing_places_every_token(spark):
 
 
 def test_windows_hold_the_mixture(spark):
-    totals = np.array([0, 128 * 600, 128 * 300, 128 * 100])
-    place = {q: packing.ranks(np.full(totals[q] // 128, q), np.arange(totals[q] // 128), totals // 128) for q in (1, 2, 3)}
-    assert sorted(np.concatenate(list(place.values()))) == list(range(1000))
-    for q, share in ((1, 0.6), (2, 0.3), (3, 0.1)):
-        behind = np.cumsum(np.isin(np.arange(1000), place[q])) - share * np.arange(1, 1001)
-        assert np.abs(behind).max() <= 1.5
+    rows = [(i, "word " * 2000, "abc"[(i % 10 > 5) + (i % 10 > 8)]) for i in range(60)]
+    got = packing.pack(spark.createDataFrame(rows, "doc_id long, text string, source string")).toPandas()
+    packets = got[got.packet.notna()].sort_values(["sequence_id", "offset"]).drop_duplicates(["source", "packet"])
+    n = np.arange(1, len(packets) + 1)
+    for name in "abc":
+        mine = (packets.source == name).to_numpy()
+        assert np.abs(np.cumsum(mine) - mine.mean() * n).max() <= 1.5
 
 
 def test_cutting_text_keeps_its_ids():

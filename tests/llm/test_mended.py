@@ -127,20 +127,62 @@ def test_best_fit_equals_a_plain_loop():
         assert sharding.best_fit(sizes, bins, capacity) == want
 
 
-def test_packets_come_in_the_order_of_plain_due_times():
+def queued(spark, sizes):
+    """Documents of about 300 tokens, so many of each source, and their sources."""
+    rows = [(source, i) for source, n in sizes.items() for i in range(n)]
+    random.Random(6).shuffle(rows)
+    return spark.createDataFrame(
+        [(k, "word " * 300, source) for k, (source, _) in enumerate(rows)], "doc_id long, text string, source string"
+    ).repartition(3, "doc_id")
+
+
+def whole_packets(got):
+    """(source, packet) in the order of the windows, each with all its tokens in one place."""
+    rows = got[got.packet.notna()].assign(at=got.sequence_id * 1024 + got.offset, name=got.source.fillna("")).sort_values("at")
+    assert (rows.groupby(["name", "packet"]).length.sum() == 128).all()
+    assert ((rows["at"] // 128).groupby([rows.name, rows.packet]).nunique() == 1).all()
+    heads = rows[rows["at"] % 128 == 0]
+    assert (heads["at"] == np.arange(len(heads)) * 128).all()
+    return list(zip(heads.name, heads.packet.astype(int), strict=True))
+
+
+def test_packets_come_in_the_order_of_plain_due_times(spark):
     from fractions import Fraction
 
     from palisade.llm import packing
 
-    rng = random.Random(6)
-    for _ in range(30):
-        totals = np.array([rng.choice([0, 1, 2, 7, 40]) for _ in range(rng.randrange(1, 9))], dtype=np.int64)
-        packets = [(Fraction(2 * k + 1, 2 * int(n)), q, k) for q, n in enumerate(totals) for k in range(n)]
-        if not packets:
-            continue
-        order = sorted(packets)
-        got = packing.ranks(np.array([q for _, q, _ in order]), np.array([k for _, _, k in order]), totals)
-        assert got.tolist() == list(range(len(order)))
+    # More sources than any table of queues used to hold, of equal and unequal sizes, and null.
+    sizes = {f"s{i:03d}": 1 + i % 4 for i in range(90)} | {None: 7, "big": 60}
+    got = packing.pack(queued(spark, sizes)).toPandas()
+    order = whole_packets(got)
+    full = {}
+    for name, packet in order:
+        full[name] = max(full.get(name, 0), packet + 1)
+    assert len(full) >= 92
+    due = [Fraction(2 * k + 1, 2 * full[name]) for name, k in order]
+    assert due == sorted(due) and len(set(order)) == sum(full.values())
+    assert got.length.sum() == got.drop_duplicates("doc_id").doc_tokens.sum()
+    windows = got.groupby("sequence_id").length.sum()
+    assert (windows.iloc[:-1] == 1024).all()
+
+
+def test_windows_follow_given_shares(spark):
+    import pytest
+
+    from palisade.llm import packing
+
+    df = queued(spark, {"a": 60, "b": 60, "c": 20, "d": 20})
+    order = [name for name, _ in whole_packets(packing.pack(df, shares={"a": 0.2, "b": 0.5}).toPandas())]
+    # The shares hold until the first source is used up; the others go on in proportion.
+    until = max(i for i, name in enumerate(order) if name == "b") + 1
+    for name, share in {"a": 0.2, "b": 0.5, "c": 0.15, "d": 0.15}.items():
+        held = np.cumsum([x == name for x in order[:until]])
+        assert np.abs(held - share * np.arange(1, until + 1)).max() <= 2
+    assert len(order) > until and set(order[until:]) <= set("acd")
+    with pytest.raises(ValueError):
+        packing.pack(df, shares={"a": 0.5, "b": 0.5})
+    with pytest.raises(ValueError):
+        packing.pack(df, shares={"a": 0.5, "b": 0.7})
 
 
 def test_last_stages_of_the_pipeline_by_hand(spark):
