@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from palisade.llm.common import discard, stored, word_texts
+from palisade.llm.common import discard, stored
 from palisade.llm.components import components
 
 SHINGLE = 5
@@ -43,25 +43,75 @@ def needed(a, b):
     return (3 * (a + b) + 6) // 7
 
 
-def shingles(words: list[bytes], size: int = SHINGLE) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the shingles of a text.
+def _mix(x: np.ndarray) -> np.ndarray:
+    """A one-to-one scrambling of 64-bit words."""
+    with np.errstate(over="ignore"):
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+# A-Z in lower case; every white space character as a space.
+_PLAIN = bytes(32 if c in b" \t\n\v\f\r" else c + 32 if 65 <= c <= 90 else c for c in range(256))
+_BYTE = _mix(np.arange(1, 257, dtype=np.uint64))
+
+
+def _word_block(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(start, hash) of the words in ``data``, which ends with a space."""
+    raw = np.frombuffer(data, dtype=np.uint8)
+    gap = raw == 32
+    edge = np.flatnonzero(np.diff(gap, prepend=True))
+    start, length = edge[::2], edge[1::2] - edge[::2]
+    if not len(start):
+        return start, np.zeros(0, np.uint64)
+    first = np.cumsum(length) - length
+    place = np.arange(length.sum()) - np.repeat(first, length)
+    with np.errstate(over="ignore"):
+        weight = _mix(np.arange(257, 257 + int(length.max()), dtype=np.uint64)) | np.uint64(1)
+        sums = np.add.reduceat(_BYTE[raw[~gap]] * weight[place], first)
+        return start, _mix(sums + length.astype(np.uint64))
+
+
+def shingle_sets(texts: list[bytes | None], size: int = SHINGLE, block: int = 1 << 20) -> list[np.ndarray]:
+    """Sorted distinct 64-bit hashes of the shingles of each text.
 
-    Fewer words than ``size`` make one shingle; no words make none.
+    Fewer words than ``size`` make one shingle; no words make none.  The texts are hashed
+    end to end, about ``block`` bytes at a time and cut between words.
     """
-    import pandas as pd
+    data = b" ".join([*(t or b"" for t in texts), b""]).translate(_PLAIN)
+    starts, hashes, low = [], [], 0
+    while low < len(data):
+        high = data.rfind(b" ", low, low + block) + 1 if low + block < len(data) else len(data)
+        if not high:
+            high = data.index(b" ", low + block) + 1
+        start, h = _word_block(data[low:high])
+        starts.append(start + low)
+        hashes.append(h)
+        low = high
+    start = np.concatenate([*starts, np.zeros(0, np.int64)])
+    h = np.concatenate([*hashes, np.zeros(0, np.uint64)])
+    ends = np.cumsum([len(t or b"") + 1 for t in texts])
+    bounds = np.concatenate([[0], np.searchsorted(start, ends)]).tolist()
+
+    def runs(h: np.ndarray, width: int) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            out = np.full(max(len(h) - width + 1, 0), np.uint64(width))
+            for k in range(width):
+                out = (out ^ h[k : len(h) - width + 1 + k]) * np.uint64(0x9E3779B97F4A7C15)
+                out ^= out >> np.uint64(29)
+            out *= np.uint64(0xBF58476D1CE4E5B9)
+            return out ^ (out >> np.uint64(32))
+
+    whole = runs(h, size)
+    return [
+        np.unique(whole[a : b - size + 1]) if b - a >= size else runs(h[a:b], b - a) if b > a else np.zeros(0, np.uint64)
+        for a, b in zip(bounds, bounds[1:], strict=False)
+    ]
 
-    if not words:
-        return np.zeros(0, dtype=np.uint64)
-    h = pd.util.hash_array(np.array(words, dtype=object), categorize=len(words) > 200)
-    width = min(size, len(words))
-    out = np.full(len(h) - width + 1, np.uint64(width))
-    with np.errstate(over="ignore"):
-        for k in range(width):
-            out = (out ^ h[k : len(h) - width + 1 + k]) * np.uint64(0x9E3779B97F4A7C15)
-            out ^= out >> np.uint64(29)
-        out *= np.uint64(0xBF58476D1CE4E5B9)
-        out ^= out >> np.uint64(32)
-    return np.unique(out)
+
+def _sets_of(column) -> list[np.ndarray]:
+    """Shingle sets of an Arrow string column."""
+    return shingle_sets(column.cast(pa.binary()).to_pylist())
 
 
 def signature(tokens: np.ndarray) -> np.ndarray:
@@ -113,7 +163,7 @@ def _per_batch(make, schema: str):
         for whole in batches:
             for low in range(0, whole.num_rows, 1000):
                 batch = whole.slice(low, 1000)
-                yield make(batch.column(0), [shingles(w) for w in word_texts(batch.column(1))])
+                yield make(batch.column(0), _sets_of(batch.column(1)))
 
     return run, schema
 
@@ -162,8 +212,7 @@ def _described(source: DataFrame, frequent: np.ndarray) -> DataFrame:
             for low in range(0, whole.num_rows, 1000):
                 batch = whole.slice(low, 1000)
                 n, keys, prefixes = [], [], []
-                for doc, words in zip(batch.column(0), word_texts(batch.column(1)), strict=True):
-                    tokens = shingles(words)
+                for doc, tokens in zip(batch.column(0), _sets_of(batch.column(1)), strict=True):
                     key = hashlib.blake2b(tokens.tobytes(), digest_size=16).digest() if len(tokens) else None
                     n.append(len(tokens))
                     keys.append(key)

@@ -21,6 +21,29 @@ def test_copies_of_a_row_without_id_keep_their_links(spark):
     assert got[1] == 1 and got[2] == 1 and got[None] in (None, 1)
 
 
+def test_shingle_sets_against_sets_of_words():
+    rng = random.Random(8)
+    gaps = [" ", "  ", "\n", "\t \x0b", "\r\x0c"]
+    texts = [None, b"", b" \n ", b"one", b"One TWO three  four", b"one two three four", b"a" * 5000, "É é \u00a0x \x1c".encode()]
+    for _ in range(60):
+        words = [rng.choice(["a", "b", "Ab", "cde", "\u00e9t\u00e9", "x" * 300]) for _ in range(rng.randrange(40))]
+        texts.append("".join(w + rng.choice(gaps) for w in words).encode())
+
+    def plain(text):
+        words = (text or b"").lower().split()
+        return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+    want = [plain(t) for t in texts]
+    for block in (1, 7, 64, 1 << 20):
+        got = jaccard.shingle_sets(texts, block=block)
+        assert [len(g) for g in got] == [len(w) for w in want]
+        for i in range(len(texts)):
+            assert (got[i][:-1] < got[i][1:]).all()
+            for j in range(i):
+                assert len(np.intersect1d(got[i], got[j])) == len(want[i] & want[j])
+    assert jaccard.shingle_sets([]) == []
+
+
 def labelled(spark, texts, toxic):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     labels = spark.createDataFrame(list(enumerate(toxic)), "doc_id long, toxic int")
