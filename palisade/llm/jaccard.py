@@ -139,17 +139,18 @@ def wide_bound(a: bytes, n: int, b: bytes, m: int) -> int:
     return count(x & y) + min(n - count(x), m - count(y))
 
 
-def prefix(tokens: np.ndarray, frequent: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """The tokens of which a linked set must share one; frequent ones come last."""
+def prefix(tokens: np.ndarray, frequent: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, int]:
+    """The tokens of which a linked set must share one, frequent ones last, and how many
+    are not frequent."""
     n = len(tokens)
     if not n:
-        return tokens
+        return tokens, 0
     most = n - (3 * n + 3) // 4 + 1
-    if len(frequent):
-        at = np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)
-        order = np.where(frequent[at] == tokens, rank[at], 0)
-        tokens = tokens[np.argsort(order, kind="stable")]
-    return tokens[:most]
+    if not len(frequent):
+        return tokens[:most], most
+    at = np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)
+    order = np.where(frequent[at] == tokens, rank[at], 0)
+    return tokens[np.argsort(order, kind="stable")][:most], min(most, int(np.count_nonzero(order == 0)))
 
 
 def _sources(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -196,7 +197,9 @@ def _frequent(source: DataFrame) -> np.ndarray:
 
 
 def _described(source: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """(id, n, key, prefix) per row; equal keys mean equal sets, no shingle a null key.
+    """(id, n, key, prefix, rare) per row; equal keys mean equal sets, no shingle a null key.
+
+    ``rare``: how many tokens of the prefix, the first ones, are not frequent.
 
     A key that the task has just seen comes without its prefix: many exact copies cost
     no more than their ids.
@@ -211,7 +214,7 @@ def _described(source: DataFrame, frequent: np.ndarray) -> DataFrame:
         for whole in batches:
             for low in range(0, whole.num_rows, 1000):
                 batch = whole.slice(low, 1000)
-                n, keys, prefixes = [], [], []
+                n, keys, prefixes, rare = [], [], [], []
                 for doc, tokens in zip(batch.column(0), _sets_of(batch.column(1)), strict=True):
                     key = hashlib.blake2b(tokens.tobytes(), digest_size=16).digest() if len(tokens) else None
                     n.append(len(tokens))
@@ -219,80 +222,88 @@ def _described(source: DataFrame, frequent: np.ndarray) -> DataFrame:
                     # A row without an id is dropped before grouping, so it may not stand for its key.
                     if key is None or key in seen or not doc.is_valid:
                         prefixes.append(None)
+                        rare.append(None)
                         continue
                     if len(seen) > 200_000:
                         seen.clear()
                     seen.add(key)
-                    prefixes.append(prefix(tokens, names, rank).view(np.int64))
+                    some, few = prefix(tokens, names, rank)
+                    prefixes.append(some.view(np.int64))
+                    rare.append(few)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(prefixes, pa.list_(pa.int64()))],
-                    names=["id", "n", "key", "prefix"],
+                    [batch.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(rare, pa.int32())],
+                    names=["id", "n", "key", "prefix", "rare"],
                 )
 
-    return source.mapInArrow(run, "id long, n long, key binary, prefix array<long>")
+    return source.mapInArrow(run, "id long, n long, key binary, prefix array<long>, rare int")
+
 
+def _leaf_batch(token, salt, key, n, done: int, last: bool):
+    """Leaves of sorted postings as a batch, and the postings left for the next call.
 
-def _leaves(postings: DataFrame, frequent: np.ndarray) -> DataFrame:
+    ``done``: leaves that the first chain has had before.  The last chain may go on unless
+    ``last``; of it at most one leaf is left over, with the leaves it has had.
+    """
+    new = np.flatnonzero((token[1:] != token[:-1]) | (salt[1:] != salt[:-1])) + 1
+    start = np.concatenate([[0], new])
+    stop = np.append(start[1:], len(token))
+    count = -(-(stop - start) // LEAF)
+    held = 0 if last else int(stop[-1] - start[-1] - (count[-1] - 1) * LEAF)
+    count[-1] -= not last
+    chain = np.repeat(np.arange(len(start)), count)
+    no = np.arange(len(chain)) - np.repeat(np.cumsum(count) - count, count)
+    low = start[chain] + no * LEAF
+    high = np.minimum(low + LEAF, stop[chain])
+    no += np.where(chain == 0, done, 0)
+    after = high < stop[chain]
+    # Places where a posting and the next one have sizes that allow a link.
+    fits = np.cumsum(np.append(0, 3 * n[1:].astype(np.int64) <= 4 * n[:-1].astype(np.int64)))
+    single = (no == 0) & ~after & (salt[low] < 0)
+    keep = np.flatnonzero(~single | (fits[high - 1] > fits[low]))
+    low, high, no, after, single = (x[keep] for x in (low, high, no, after, single))
+    sizes = high - low
+    offsets = pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32))
+    at = np.arange(sizes.sum()) + np.repeat(low - (np.cumsum(sizes) - sizes), sizes)
+    following = key[np.minimum(high, len(key) - 1)]
+    batch = pa.RecordBatch.from_arrays(
+        [
+            pa.array(token[low]), pa.array(no * SALTS + np.maximum(salt[low], 0)), pa.ListArray.from_arrays(offsets, pa.array(key[at])),
+            pa.ListArray.from_arrays(offsets, pa.array(n[at])), pa.array(following, mask=~after), pa.array(single),
+        ],
+        names=["tree", "idx", "ids", "sizes", "after", "single"],
+    )
+    rest = slice(len(token) - held, None)
+    return batch, [x[rest] for x in (token, salt, key, n)], int(count[-1]) + (done if len(start) == 1 else 0)
+
+
+def _leaves(postings: DataFrame) -> DataFrame:
     """Leaves of all trees: (tree, idx, ids, sizes, after, single).
 
-    Rows stream through in order of (token, salt, size); a task holds one leaf at a
-    time.  The postings of a frequent token are spread over SALTS chains of leaves.
-    ``after`` is the first document of the next leaf of the chain; ``single`` marks a
-    leaf that is a whole tree.  Leaves of one document and trees whose sizes rule out
-    any link are left out.
+    Rows stream through in order of (token, salt, size); a task holds one batch at a
+    time.  The postings of a frequent token are spread over SALTS chains of leaves; others
+    have the salt -1.  ``after`` is the first document of the next leaf of the chain;
+    ``single`` marks a leaf that is a whole tree.  Leaves of one document and trees whose
+    sizes rule out any link are left out.
     """
-    hot = np.sort(frequent).view(np.int64)
-    known = set(hot.tolist())
 
-    def salted(batches):
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, done = None, 0
         for b in batches:
-            is_hot = np.isin(b.column(0).to_numpy(), hot)
-            salt = np.where(is_hot, b.column(1).to_numpy() % SALTS, 0).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(salt)], names=["token", "id", "n", "salt"])
-
-    def cut(batches):
-        chain, ids, sizes, no = None, [], [], 0
-        out: list[tuple] = []
-
-        def close(after):
-            if chain is None:
-                return
-            single = no == 0 and after is None and chain[0] not in known
-            if single and not any(3 * y <= 4 * x for x, y in zip(sizes, sizes[1:], strict=False)):
-                return
-            out.append((chain[0], no * SALTS + chain[1], ids, sizes, after, single))
+            if not b.num_rows:
+                continue
+            more = [b.column(i).to_numpy() for i in range(4)]
+            out, held, done = _leaf_batch(*(more if held is None else map(np.append, held, more)), done, False)
+            yield out
+        if held is not None:
+            yield _leaf_batch(*held, done, True)[0]
 
-        for b in batches:
-            for token, key, n, salt in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
-                if (token, salt) != chain:
-                    close(None)
-                    chain, ids, sizes, no = (token, salt), [], [], 0
-                elif len(ids) == LEAF:
-                    close(key)
-                    ids, sizes, no = [], [], no + 1
-                ids.append(key)
-                sizes.append(n)
-            if len(out) > 2000:
-                yield batch_of(out)
-                out.clear()
-        close(None)
-        if out:
-            yield batch_of(out)
-
-    def batch_of(rows):
-        kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.int64(), pa.bool_()]
-        columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
-        return pa.RecordBatch.from_arrays(columns, names=["tree", "idx", "ids", "sizes", "after", "single"])
-
-    rows = postings.mapInArrow(salted, "token long, id long, n int, salt int")
-    dealt = rows.repartition("token", "salt").sortWithinPartitions("token", "salt", "n", "id")
-    found = dealt.mapInArrow(cut, "tree long, idx long, ids array<long>, sizes array<int>, after long, single boolean")
-    return found
-
-
-def _forest(postings: DataFrame, frequent: np.ndarray) -> DataFrame:
+    dealt = postings.select("token", "salt", "id", "n").repartition("token", "salt").sortWithinPartitions("token", "salt", "n", "id")
+    return dealt.mapInArrow(cut, "tree long, idx long, ids array<long>, sizes array<int>, after long, single boolean")
+
+
+def _forest(postings: DataFrame) -> DataFrame:
     """Leaves with ``weight``: trees of one and the same leaf are kept once."""
-    found = stored(_leaves(postings, frequent), "leaves")
+    found = stored(_leaves(postings), "leaves")
     same = (
         found.where("single").groupBy("ids", "sizes").agg(F.min("tree").alias("tree"), F.count("*").alias("weight"))
         .select("tree", F.lit(0).cast("long").alias("idx"), "ids", "sizes", F.lit(None).cast("long").alias("after"), "weight")
@@ -541,11 +552,18 @@ def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     frequent = _frequent(source)
     rows = stored(_described(source, frequent), "described")
     known = rows.where("key IS NOT NULL AND id IS NOT NULL")
-    postings = known.groupBy("key").agg(
-        F.min("id").alias("id"), F.first("n").cast("int").alias("n"), F.first("prefix", ignorenulls=True).alias("prefix")
-    ).select(F.explode("prefix").alias("token"), "id", "n")
-    forest = _forest(postings, frequent)
-    wanted = forest.select(F.explode("ids").alias("id")).distinct()
+    classes = known.groupBy("key").agg(F.min("id").alias("id"))
+    # Equal keys have equal prefixes, so any row that carries one stands for all.
+    heads = known.groupBy("key").agg(
+        F.min("id").alias("id"), F.first("n").cast("int").alias("n"),
+        F.first(F.when(F.col("prefix").isNotNull(), F.struct("prefix", "rare")), ignorenulls=True).alias("first"),
+    )
+    postings = heads.select("id", "n", "first.rare", F.posexplode("first.prefix").alias("place", "token")).select(
+        "token", F.when(F.col("place") < F.col("rare"), -1).otherwise(F.pmod("id", F.lit(SALTS))).cast("int").alias("salt"), "id", "n"
+    )
+    forest = _forest(postings)
+    # Stored, so that Spark knows how few texts are asked for before it moves any.
+    wanted = stored(forest.select(F.explode("ids").alias("id")).distinct(), "wanted")
 
     def make(ids, sets):
         return pa.RecordBatch.from_arrays(
@@ -563,8 +581,7 @@ def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     # Whatever may still link, all of it.
     live = _live(forest, signed, linked)
     linked = _merged(linked, _decided(_undecided(live), sets, signed))
-    discard(live, sets, signed, forest)
-    classes = known.groupBy("key").agg(F.min("id").alias("id"))
+    discard(live, sets, signed, forest, wanted)
     final = classes.join(linked.withColumnRenamed("node", "id"), "id", "left").select(
         "key", F.coalesce("component", "id").alias("group")
     )

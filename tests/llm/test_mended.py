@@ -44,6 +44,37 @@ def test_shingle_sets_against_sets_of_words():
     assert jaccard.shingle_sets([]) == []
 
 
+def test_leaves_of_batches_against_a_plain_loop():
+    rng = random.Random(9)
+    for _ in range(200):
+        rows = []
+        for token in range(rng.randrange(1, 8)):
+            for salt in rng.choice([[-1], [0, 3]]):
+                size = rng.choice([1, 1, 2, 5, 63, 64, 65, 128, 200])
+                rows += sorted((token, salt, rng.choice([10, 11, 40, 90]), rng.randrange(10**6)) for _ in range(size))
+        want = []
+        for chain in sorted({r[:2] for r in rows}):
+            mine = [r for r in rows if r[:2] == chain]
+            for no, low in enumerate(range(0, len(mine), jaccard.LEAF)):
+                leaf, rest = mine[low : low + jaccard.LEAF], mine[low + jaccard.LEAF :]
+                single = no == 0 and not rest and chain[1] < 0
+                if single and not any(3 * b[2] <= 4 * a[2] for a, b in zip(leaf, leaf[1:], strict=False)):
+                    continue
+                want.append((
+                    chain[0], no * jaccard.SALTS + max(chain[1], 0), [r[3] for r in leaf], [r[2] for r in leaf],
+                    rest[0][3] if rest else None, single,
+                ))
+        columns = [np.array([r[i] for r in rows], t) for i, t in ((0, np.int64), (1, np.int32), (3, np.int64), (2, np.int32))]
+        step, got, held, done = rng.choice([1, 3, 64, 150, 10_000]), [], None, 0
+        for low in range(0, len(rows), step):
+            more = [c[low : low + step] for c in columns]
+            out, held, done = jaccard._leaf_batch(*(more if held is None else map(np.append, held, more)), done, False)
+            assert len(held[0]) <= jaccard.LEAF
+            got += out.to_pylist()
+        got += jaccard._leaf_batch(*held, done, True)[0].to_pylist()
+        assert [tuple(r.values()) for r in got] == want
+
+
 def labelled(spark, texts, toxic):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     labels = spark.createDataFrame(list(enumerate(toxic)), "doc_id long, toxic int")
