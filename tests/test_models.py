@@ -176,3 +176,24 @@ def test_queries_grow_whole_forests(spark, monkeypatch, name, size):
     with pytest.raises(Asked) as asked:
         QUERIES[name](spark, "/root/testdata/sf0.001")
     assert asked.value.args[0] == size
+
+
+def test_forest_rows_are_dealt_over_all_cores(spark, monkeypatch):
+    """Rows of a single task are fitted by as many tasks as there are cores."""
+    from pyspark.ml.classification import RandomForestClassifier
+
+    from palisade.operators import ranking
+
+    class Asked(Exception):
+        pass
+
+    def fit(self, rows):
+        raise Asked([len(part) for part in rows.select("target").rdd.glom().collect()])
+
+    monkeypatch.setattr(RandomForestClassifier, "fit", fit)
+    rows = spark.range(0, 4000, numPartitions=1).selectExpr("id % 3 AS label", "CAST(id AS double) AS x", "CAST(id % 7 AS double) AS y")
+    with pytest.raises(Asked) as asked:
+        ranking.forest(rows, ["x", "y"])
+    parts = asked.value.args[0]
+    assert sum(parts) == 4000 and len(parts) == spark.sparkContext.defaultParallelism
+    assert max(parts) <= 2 * 4000 / len(parts)
