@@ -385,7 +385,7 @@ def _(t):
 def _(t):
     """One file for each day; sizes are held against each other, as SQL does not know them."""
     path = scratch_path(t.spark, "flow-files")
-    I.flows(t).repartition("day").write.partitionBy("day").parquet(path)
+    G.write_folders(I.flows(t).repartition("day"), path, "day")
     schema = I.flows(t).drop("day").schema
     files = t.spark.read.schema(schema).option("recursiveFileLookup", True).parquet(path)
     entries = F.transform(

@@ -139,6 +139,26 @@ def write_layer(
     writer.parquet(path)
 
 
+# Files that a task may hold open at once; each gathers a row group in memory.
+OPEN_FILES = 8
+WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+
+
+def write_folders(df: DataFrame, path: str, column: str, open_files: int = OPEN_FILES) -> None:
+    """Parquet folders by the values of ``column``, of which a task should hold few.
+
+    A task keeps a file open for each value instead of sorting all its rows by it first;
+    with more than ``open_files`` values in a task Spark sorts the rest.
+    """
+    spark = df.sparkSession
+    before = spark.conf.get(WRITERS, None)
+    spark.conf.set(WRITERS, open_files)
+    try:
+        df.write.partitionBy(column).parquet(path)
+    finally:
+        spark.conf.set(WRITERS, before) if before is not None else spark.conf.unset(WRITERS)
+
+
 def ingest_csv(
     spark: SparkSession,
     source: str,

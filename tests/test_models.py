@@ -197,3 +197,23 @@ def test_forest_rows_are_dealt_over_all_cores(spark, monkeypatch):
     parts = asked.value.args[0]
     assert sum(parts) == 4000 and len(parts) == spark.sparkContext.defaultParallelism
     assert max(parts) <= 2 * 4000 / len(parts)
+
+
+def test_folders_are_written_without_sorting(spark, tmp_path, monkeypatch):
+    """A task keeps a file open for each value; the setting for it ends with the write."""
+    from pyspark.sql import DataFrameWriter
+
+    seen, parquet = [], DataFrameWriter.parquet
+
+    def recorded(self, *args, **more):
+        seen.append(spark.conf.get(G.WRITERS))
+        return parquet(self, *args, **more)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", recorded)
+    before = spark.conf.get(G.WRITERS, None)
+    rows = spark.range(0, 90, numPartitions=1).selectExpr("id", "id % 3 AS day")
+    G.write_folders(rows.unionByName(spark.range(90, 95).selectExpr("id", "CAST(NULL AS bigint) AS day")).coalesce(1), str(tmp_path / "days"), "day")
+    assert [int(n) for n in seen] == [G.OPEN_FILES] and spark.conf.get(G.WRITERS, None) == before
+    back = spark.read.parquet(str(tmp_path / "days"))
+    assert {r.day: r["count"] for r in back.groupBy("day").count().collect()} == {0: 30, 1: 30, 2: 30, None: 5}
+    assert len(list((tmp_path / "days").glob("day=*/*.parquet"))) == 4
