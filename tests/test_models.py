@@ -217,3 +217,19 @@ def test_folders_are_written_without_sorting(spark, tmp_path, monkeypatch):
     back = spark.read.parquet(str(tmp_path / "days"))
     assert {r.day: r["count"] for r in back.groupBy("day").count().collect()} == {0: 30, 1: 30, 2: 30, None: 5}
     assert len(list((tmp_path / "days").glob("day=*/*.parquet"))) == 4
+
+
+def test_exact_days_are_counted_after_the_shuffle(spark):
+    """No rows are gathered by the tasks that read a log, and one day's rows are dealt."""
+    logs = {
+        "a": spark.range(0, 1000, numPartitions=4).selectExpr("'U1' AS user", "DATE '2024-01-01' AS date", "CAST(id % 7 AS string) AS pc", "1 AS one"),
+        "b": spark.sql("SELECT 'u2' AS user, DATE '2024-01-02' AS date, CAST(NULL AS string) AS pc, 5 AS one"),
+    }
+    measures = {"a": U.Measures("a_rows", {"a_sum": "one"}, distinct={"a_pcs": "pc"}), "b": U.Measures("b_rows", {"b_sum": "one"}, distinct={"b_pcs": "pc"})}
+    days = U.merged_days(logs, True, measures)
+    plan = days._jdf.queryExecution().sparkPlan().toString()
+    first = plan[: plan.index("RepartitionByExpression") if "RepartitionByExpression" in plan else plan.index("REPARTITION_BY_NUM")]
+    below = plan[len(first) :]
+    assert "Aggregate" in first and "Aggregate" not in below
+    got = {r.user: (r.a_rows, r.a_sum, r.a_pcs, r.b_rows, r.b_sum, r.b_pcs) for r in days.collect()}
+    assert got == {"u1": (1000, 1000, 7, None, None, 0), "u2": (None, None, 0, 1, 5, 0)}
