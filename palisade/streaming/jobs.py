@@ -10,6 +10,7 @@ from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -138,8 +139,83 @@ def _millis(us: int) -> int:
     return -(-int(us) // 1000)
 
 
-class CooldownProcessor(StatefulProcessor):
-    """Fired alerts of a key, in event-time order whatever order they arrive in.
+def _packed(columns: Mapping[str, pa.Array]) -> bytes:
+    batch = pa.RecordBatch.from_pydict(dict(columns))
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema) as writer:
+        writer.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(data: bytes) -> pa.Table:
+    return pa.ipc.open_stream(bytes(data)).read_all()
+
+
+def _coded(*parts: pa.ChunkedArray) -> tuple[list[np.ndarray], pa.Array]:
+    """Numbers of the series in each part (null is one too) and the series by number."""
+    joined = pa.chunked_array([c for p in parts for c in p.chunks], pa.string()).combine_chunks()
+    coded = joined.dictionary_encode(null_encoding="encode")
+    ends = np.cumsum([len(p) for p in parts])[:-1]
+    return np.split(coded.indices.to_numpy(zero_copy_only=False).astype("int64"), ends), coded.dictionary
+
+
+class BucketProcessor(StatefulProcessor):
+    """Rows of a bucket of series that wait until the watermark has passed them.
+
+    Every access to the state is a round trip to the JVM, so one call serves all series
+    of a bucket and its rows are held as Arrow batches.  A bucket has one timer.
+    """
+
+    PART = 50_000  # rows in one entry of the state
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.kept = handle.getValueState("kept", "data binary")
+        self.waiting = handle.getListState("waiting", "data binary")
+        self.due = handle.getValueState("due", "ms long")
+
+    def wake(self, us: int) -> None:
+        """Be called once the watermark has passed ``us``, or earlier."""
+        ms, due = _millis(us), self.due.get()[0] if self.due.exists() else None
+        if due is None or ms < due:
+            if due is not None:
+                self.handle.deleteTimer(due)
+            self.handle.registerTimer(ms)
+            self.due.update((ms,))
+
+    def wait(self, rows: pa.Table) -> None:
+        for low in range(0, rows.num_rows, self.PART):
+            part = rows.slice(low, self.PART)
+            self.waiting.appendValue((_packed({n: part[n].combine_chunks() for n in part.column_names}),))
+
+    def keep(self, rows: pa.Table) -> None:
+        if rows.num_rows:
+            self.kept.update((_packed({n: rows[n].combine_chunks() for n in rows.column_names}),))
+        else:
+            self.kept.clear()
+
+    def arriving(self, rows: Iterator[pd.DataFrame], names: Mapping[str, str]) -> pa.Table | None:
+        """Arrow rows without beats; ``names`` gives the columns and their types."""
+        parts = []
+        for batch in rows:
+            batch = batch[~batch["beat"].astype(bool)]
+            if len(batch):
+                parts.append(pa.table({n: pa.array(batch[n], t, from_pandas=n == "series") for n, t in names.items()}))
+        return pa.concat_tables(parts) if parts else None
+
+    def held(self) -> pa.Table | None:
+        """All waiting rows, which are taken out of the state with the timer that fired."""
+        parts = [_unpacked(x[0]) for x in self.waiting.get()]
+        self.waiting.clear()
+        self.due.clear()
+        return pa.concat_tables(parts) if parts else None
+
+    def close(self) -> None:
+        pass
+
+
+class CooldownProcessor(BucketProcessor):
+    """Fired alerts of a bucket of keys, in event-time order whatever order they arrive in.
 
     Alerts wait until the watermark has passed them, because an earlier one may still
     arrive.  Waiting times lie within the watermark's delay, and those that the last
@@ -147,119 +223,139 @@ class CooldownProcessor(StatefulProcessor):
     the watermark has passed it.
     """
 
+    NONE = pa.table({"series": pa.array([], pa.string()), "ready": pa.array([], pa.int64())})
+
     def __init__(self, key: str, width: int):
         self.key, self.width = key, width
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.ready = handle.getValueState("ready", "us long")
-        self.waiting = handle.getListState("waiting", "us array<long>")
+    def ready(self, series: pa.ChunkedArray) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+        """Numbers of ``series``, all series of the bucket, and when each may fire again."""
+        kept = _unpacked(self.kept.get()[0]) if self.kept.exists() else self.NONE
+        (codes, old), names = _coded(series, kept["series"])
+        ready = np.full(len(names), np.iinfo("int64").min)
+        ready[old] = kept["ready"].to_numpy()
+        return codes, names, ready
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        ready, first = self.ready.get()[0] if self.ready.exists() else None, None
-        for batch in rows:
-            us = np.unique(batch["moment_us"][~batch["beat"].astype(bool)].to_numpy(dtype="int64"))
-            us = us if ready is None else us[us >= ready]
-            if len(us):
-                self.waiting.appendValue((us.tolist(),))
-                first = int(us[0]) if first is None else min(first, int(us[0]))
-        if first is not None:
-            self.handle.registerTimer(_millis(first))
+        new = self.arriving(rows, {"series": pa.string(), "moment_us": pa.int64()})
+        if new is not None:
+            codes, _, ready = self.ready(new["series"])
+            new = new.filter(pa.array(new["moment_us"].to_numpy() >= ready[codes]))
+            if new.num_rows:
+                self.wait(new)
+                self.wake(int(new["moment_us"].to_numpy().min()))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        settled = timerValues.getCurrentWatermarkInMs() * 1000
-        ready = self.ready.get()[0] if self.ready.exists() else None
-        us = np.unique(np.concatenate([np.asarray(x[0], dtype="int64") for x in self.waiting.get()] or [np.zeros(0, dtype="int64")]))
+        settled, rows = timerValues.getCurrentWatermarkInMs() * 1000, self.held()
+        if rows is None:
+            rows = pa.table({"series": pa.array([], pa.string()), "moment_us": pa.array([], pa.int64())})
+        codes, names, ready = self.ready(rows["series"])
+        us = rows["moment_us"].to_numpy()
+        order = np.lexsort((codes, us))
+        codes, us = codes[order], us[order]
         end, fired = int(np.searchsorted(us, settled, side="right")), []
-        at = 0 if ready is None else int(np.searchsorted(us, ready, side="left"))
-        while at < end:
-            fired.append(int(us[at]))
-            ready = fired[-1] + max(self.width, 1)
-            at = int(np.searchsorted(us, ready, side="left"))
-        rest = us[max(end, at) :]
-        self.waiting.clear()
+        ends, width = ready.tolist(), max(self.width, 1)
+        for i, (c, t) in enumerate(zip(codes[:end].tolist(), us[:end].tolist(), strict=True)):
+            if t >= ends[c]:
+                ends[c] = t + width
+                fired.append(i)
+        ready = np.array(ends, dtype="int64")
+        rest = end + np.flatnonzero(us[end:] >= ready[codes[end:]])
+        # Equal times of a key lie side by side; one of them is enough.
+        again = (np.diff(us[rest], prepend=-1) == 0) & (np.diff(codes[rest], prepend=-1) == 0)
+        rest = rest[~again]
+        later = np.flatnonzero(ready > settled)
+        self.keep(pa.table({"series": names.take(pa.array(later)), "ready": pa.array(ready[later])}))
         if len(rest):
-            self.waiting.appendValue((rest.tolist(),))
-            self.handle.registerTimer(_millis(rest[0]))
-        if ready is not None and ready > settled:
-            self.ready.update((ready,))
-            self.handle.registerTimer(_millis(ready))
-        else:
-            self.ready.clear()
+            self.wait(pa.table({"series": names.take(pa.array(codes[rest])), "moment_us": pa.array(us[rest])}))
+            self.wake(int(us[rest[0]]))
+        elif len(later):
+            self.wake(int(ready[later].max()))
         if fired:
-            yield pd.DataFrame({self.key: [key[0]] * len(fired), "moment_us": fired})
+            yield pd.DataFrame({self.key: names.take(pa.array(codes[fired])).to_pandas(), "moment_us": us[fired]})
 
-    def close(self) -> None:
-        pass
 
+class RollingDriftProcessor(BucketProcessor):
+    """Drift events of a bucket of series against their last ``width`` values.
 
-class RollingDriftProcessor(StatefulProcessor):
-    """Drift events of a series against its last ``width`` values, in event-time order.
-
-    Rows wait in arrays, one for each batch they came in, until the watermark has passed
-    them; then they go through the window in the order of (time, order).
+    Rows wait until the watermark has passed them; then they go through the window of
+    their series in the order of (time, order).
     """
 
+    COLUMNS = {"series": pa.string(), "moment_us": pa.int64(), "row_order": pa.int64(), "row_value": pa.float64()}
+
     def __init__(self, key: str, width: int, limit: float):
         self.key, self.width, self.limit = key, width, limit
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.past = handle.getValueState("past", "values array<double>")
-        self.waiting = handle.getListState("waiting", "us array<long>, o array<long>, v array<double>")
-
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        first = None
-        for batch in rows:
-            batch = batch[~batch["beat"].astype(bool)]
-            if len(batch):
-                us = batch["moment_us"].to_numpy(dtype="int64")
-                values = batch["row_value"].to_numpy(dtype=float)
-                self.waiting.appendValue((us.tolist(), batch["row_order"].to_numpy(dtype="int64").tolist(), values.tolist()))
-                first = int(us.min()) if first is None else min(first, int(us.min()))
-        if first is not None:
-            self.handle.registerTimer(_millis(first))
+        new = self.arriving(rows, self.COLUMNS)
+        if new is not None:
+            self.wait(new)
+            self.wake(int(new["moment_us"].to_numpy().min()))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        settled, parts = timerValues.getCurrentWatermarkInMs() * 1000, list(self.waiting.get())
-        if not parts:
+        settled, rows = timerValues.getCurrentWatermarkInMs() * 1000, self.held()
+        if rows is None:
             return
-        us = np.concatenate([np.asarray(p[0], dtype="int64") for p in parts])
-        order = np.concatenate([np.asarray(p[1], dtype="int64") for p in parts])
-        values = np.concatenate([np.asarray(p[2], dtype=float) for p in parts])
-        ranked = np.lexsort((order, us))
-        us, order, values = us[ranked], order[ranked], values[ranked]
-        end = int(np.searchsorted(us, settled, side="right"))
-        self.waiting.clear()
-        if end < len(us):
-            self.waiting.appendValue((us[end:].tolist(), order[end:].tolist(), values[end:].tolist()))
-            self.handle.registerTimer(_millis(us[end]))
-        if end == 0:
+        over = rows["moment_us"].to_numpy() <= settled
+        rest = rows.filter(pa.array(~over))
+        if rest.num_rows:
+            self.wait(rest)
+            self.wake(int(rest["moment_us"].to_numpy().min()))
+        rows = rows.filter(pa.array(over))
+        if not rows.num_rows:
             return
-        past = np.asarray(self.past.get()[0] if self.past.exists() else [], dtype=float)
-        series = np.concatenate([past, values[:end]])
-        frame = pd.Series(series).rolling(self.width, min_periods=1)
-        mean, std = frame.mean().to_numpy(), frame.std(ddof=0).to_numpy()
-        z = np.divide(series - mean, std, out=np.zeros_like(series), where=std > SPREAD_FLOOR)[len(past) :]
-        self.past.update((series[len(series) - min(self.width - 1, len(series)) :].tolist(),))
-        hit = np.abs(z) > self.limit
-        if hit.any():
+        # The last values of every series come before its new rows, in their order.
+        past = _unpacked(self.kept.get()[0]) if self.kept.exists() else None
+        old = 0 if past is None else past.num_rows
+        (codes,), names = _coded(pa.chunked_array([*([] if past is None else past["series"].chunks), *rows["series"].chunks], pa.string()))
+        us, order, values = (rows[n].to_numpy() for n in ("moment_us", "row_order", "row_value"))
+        if old:
+            us = np.concatenate([np.full(old, np.iinfo("int64").min), us])
+            order = np.concatenate([np.arange(old), order])
+            values = np.concatenate([past["row_value"].to_numpy(), values])
+        ranked = np.lexsort((order, us, codes))
+        new = ranked >= old
+        codes, order, values = codes[ranked], order[ranked], values[ranked]
+        starts = np.searchsorted(codes, codes, side="left")
+        at = np.flatnonzero(new)
+        z = np.concatenate([self.scores(values, starts, at[low : low + self.PART]) for low in range(0, len(at), self.PART)])
+        last = np.searchsorted(codes, codes, side="right") - np.arange(len(codes)) < self.width
+        self.keep(pa.table({"series": names.take(pa.array(codes[last])), "row_value": pa.array(values[last])}))
+        hit = at[np.abs(z) > self.limit]
+        if len(hit):
             yield pd.DataFrame(
-                {self.key: [key[0]] * int(hit.sum()), "row_order": order[:end][hit], "row_value": values[:end][hit], "z_score": z[hit]}
+                {self.key: names.take(pa.array(codes[hit])).to_pandas(), "row_order": order[hit], "row_value": values[hit], "z_score": z[np.abs(z) > self.limit]}
             )
 
-    def close(self) -> None:
-        pass
+    def scores(self, values: np.ndarray, starts: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Deviations of the rows ``at`` from the window that ends there, 0 in a flat one.
+
+        Values that are no finite numbers are not in the windows.
+        """
+        back = at[:, None] - np.arange(self.width)
+        window = values[np.maximum(back, 0)]
+        inside = (back >= starts[at, None]) & np.isfinite(window)
+        # Distances from the row itself: a flat window has exactly none.
+        own = np.where(np.isfinite(values[at]), values[at], 0.0)
+        far = np.where(inside, np.where(inside, window, 0.0) - own[:, None], 0.0)
+        n = np.maximum(inside.sum(axis=1), 1)
+        mean = far.sum(axis=1) / n
+        std = np.sqrt((np.where(inside, far - mean[:, None], 0.0) ** 2).sum(axis=1) / n)
+        return np.divide(values[at] - own - mean, std, out=np.zeros(len(at)), where=std > SPREAD_FLOOR)
 
 
 # Stands for a null order, which comes first.
 NO_ORDER = -(2**62)
 
+# Series are dealt over this many buckets, each with one state and one timer.
+BUCKETS = 1024
+
 
 def _keyed(stream: DataFrame, key: str, when: str, late: str, beats: Column | None, *more: Column):
-    """Rows grouped for a stateful processor.
+    """Rows grouped into buckets of series for a stateful processor.
 
     Keys travel as text and no other column is null: pandas turns whole numbers with a
     gap into fractions, which are other keys.
@@ -274,7 +370,8 @@ def _keyed(stream: DataFrame, key: str, when: str, late: str, beats: Column | No
             (F.lit(False) if beats is None else F.coalesce(beats, F.lit(False))).alias("beat"),
             *more,
         )
-        .groupBy("series")
+        .withColumn("bucket", F.pmod(F.xxhash64("series"), F.lit(BUCKETS)))
+        .groupBy("bucket")
     )
 
 

@@ -7,6 +7,7 @@ import random
 from datetime import datetime, timedelta, timezone
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -125,3 +126,133 @@ def test_trigger_sink_counts_a_batch_once(spark, tmp_path):
     assert run("a") == [(0, 4.0), (2, 2.0)]
     # A second run from the start writes the same batches again.
     assert run("b") == [(0, 4.0), (2, 2.0)]
+
+
+class Handle:
+    """State of one bucket in memory; ``calls`` counts its accesses."""
+
+    def __init__(self):
+        self.calls, self.timers = 0, set()
+
+    def getValueState(self, name, schema):
+        return State(self)
+
+    def getListState(self, name, schema):
+        return States(self)
+
+    def registerTimer(self, ms):
+        self.calls += 1
+        self.timers.add(ms)
+
+    def deleteTimer(self, ms):
+        self.calls += 1
+        self.timers.discard(ms)
+
+
+class State:
+    def __init__(self, handle):
+        self.handle, self.rows = handle, []
+
+    def _called(self):
+        self.handle.calls += 1
+
+    def exists(self):
+        self._called()
+        return bool(self.rows)
+
+    def get(self):
+        self._called()
+        return self.rows[0]
+
+    def update(self, row):
+        self._called()
+        self.rows = [row]
+
+    def appendValue(self, row):
+        self._called()
+        self.rows.append(row)
+
+    def clear(self):
+        self._called()
+        self.rows = []
+
+
+class States(State):
+    def get(self):
+        self._called()
+        return iter(self.rows)
+
+
+class Clock:
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getCurrentWatermarkInMs(self):
+        return self.ms
+
+
+def in_batches(processor, batches, watermarks):
+    """Rows of a processor over (bucket rows, watermark after them), and its state calls."""
+    handle, out, before = Handle(), [], -1
+    processor.init(handle)
+    for rows, ms in zip(batches, watermarks, strict=True):
+        out += list(processor.handleInputRows((0,), iter([rows]), Clock(before)))
+        for timer in sorted(t for t in handle.timers if t <= ms):
+            out += list(processor.handleExpiredTimer((0,), Clock(ms), None))
+            handle.timers.discard(timer)
+        before = ms
+    return pd.concat(out), handle
+
+
+@pytest.fixture
+def bucket():
+    """300 series (one is null) with unordered rows in two batches, half an hour late at most."""
+    rng = np.random.default_rng(5)
+    n = 12_000
+    names = np.array([None, *[str(i) for i in range(299)]], dtype=object)
+    rows = pd.DataFrame({
+        "series": names[rng.integers(0, 300, n)], "moment_us": rng.integers(0, 86_400, n) * 1_000_000, "row_order": np.arange(n),
+        "row_value": rng.normal(0, 1, n) + 9 * (np.arange(n) % 41 == 0), "beat": False,
+    })
+    late = rows["moment_us"] + rng.choice([0, 1_700_000_000], n) < 43_200_000_000
+    return rows, [rows[late], rows[~late]], [41_400_000, 100_000_000]
+
+
+def test_a_bucket_of_many_keys_costs_the_calls_of_one(bucket):
+    rows, batches, watermarks = bucket
+    got, handle = in_batches(J.CooldownProcessor("series", 3_600_000_000), batches, watermarks)
+    want = []
+    for name, group in rows.groupby("series", dropna=False):
+        ready = -1
+        for us in sorted(group["moment_us"]):
+            if us >= ready:
+                want.append((name if isinstance(name, str) else "", us))
+                ready = us + 3_600_000_000
+    assert sorted(zip(got["series"].fillna(""), got["moment_us"], strict=True)) == sorted(want)
+    assert handle.calls < 60
+
+
+def test_drift_of_a_bucket_of_many_series_costs_the_calls_of_one(bucket):
+    rows, batches, watermarks = bucket
+    got, handle = in_batches(J.RollingDriftProcessor("series", 20, 2.5), batches, watermarks)
+    want = {}
+    for _, group in rows.groupby("series", dropna=False):
+        group = group.sort_values(["moment_us", "row_order"])
+        frame = group["row_value"].rolling(20, min_periods=1)
+        z = (group["row_value"] - frame.mean()) / frame.std(ddof=0)
+        want.update({o: x for o, x in zip(group["row_order"], z, strict=True) if abs(x) > 2.5})
+    assert len(got) == len(want) > 100
+    assert np.allclose(got["z_score"], [want[o] for o in got["row_order"]])
+    assert handle.calls < 60
+
+
+def test_values_that_are_no_numbers_are_not_in_the_window():
+    values = [1.0, 2.0, float("inf"), float("nan"), float("inf"), 1.5, 30.0, 30.0, 30.0]
+    rows = pd.DataFrame({"series": "a", "moment_us": range(9), "row_order": range(9), "row_value": values, "beat": False})
+    got, _ = in_batches(J.RollingDriftProcessor("series", 3, 0.5), [rows], [10])
+    series = pd.Series(values)
+    std = series.rolling(3, min_periods=1).std(ddof=0)
+    z = ((series - series.rolling(3, min_periods=1).mean()) / std)[std > 1e-9]
+    z = z[z.abs() > 0.5]
+    assert got["row_order"].tolist() == z.index.tolist() and 2 in z.index
+    assert np.allclose(got["z_score"], z)
