@@ -3,10 +3,11 @@
 The score of a word after another is  (C q(before)) . r(word) + b(word),  normalised
 over the vocabulary: every word seen at least LEAST times (and the VOCABULARY most
 frequent ones in any case) and classes of the others by the power of two below their
-count, inside which words follow their counts.  Every task trains on all tokens of its
-own share of the corpus, from the same start; the parameters of each word are then
-averaged, weighted by how often each task has seen it.  As a context is one word, its
-normalising sum is computed once, by tasks that take blocks of contexts.
+count, inside which words follow their counts.  The training corpus is cut into one share
+a core, whatever its size, and a task for each trains on all tokens of its share, from the
+same start; the parameters of each word are then averaged, weighted by how often each task
+has seen it.  As a context is one word, its normalising sum is computed once, by tasks
+that take blocks of contexts.
 
 Counts of all words come from the whole corpus.  Frequent words, FREQUENT of them or
 the whole vocabulary, are looked up inside the scan; the others join by shuffle, and
@@ -18,6 +19,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -89,7 +91,14 @@ class LogBilinear:
         order = np.argsort(index, kind="stable")
         index = index[order]
         heads = np.flatnonzero(np.append(True, index[1:] != index[:-1]))
-        return index[heads], np.add.reduceat(rows[order], heads, axis=0)
+        times = np.diff(heads, append=len(index))
+        sums = rows.take(order[heads], axis=0)
+        # Only what occurs more than once is added up.
+        often = times > 1
+        if often.any():
+            starts = np.cumsum(times[often]) - times[often]
+            sums[often] = np.add.reduceat(rows.take(order[np.repeat(often, times)], axis=0), starts, axis=0)
+        return index[heads], sums
 
     def step(self, before: np.ndarray, word: np.ndarray, noise: np.ndarray, share: np.ndarray, rate: float,
              past: dict[str, np.ndarray]) -> None:
@@ -98,32 +107,48 @@ class LogBilinear:
         Steps are scaled by the root of the squared gradients so far, kept in ``past``.
         """
         k, n = len(noise), len(word)
-        q = self.q[before]
+        q, near, far = self.q.take(before, axis=0), self.r.take(word, axis=0), self.r.take(noise, axis=0)
         c = q @ self.m
-        good = (c * self.r[word]).sum(axis=1) + self.b[word] - np.log(k * share[word])
-        bad = c @ self.r[noise].T + self.b[noise] - np.log(k * share[noise])
+        good = (c * near).sum(axis=1) + self.b[word] - np.log(k * share[word])
+        down = c @ far.T
+        down += self.b[noise]
+        down -= np.log(k * share[noise])
         up = (1 / (1 + np.exp(np.clip(good, -30, 30)))).astype(np.float32)  # 1 - sigmoid
-        down = (1 / (1 + np.exp(-np.clip(bad, -30, 30)))).astype(np.float32)
-        dc = up[:, None] * self.r[word] - down @ self.r[noise]
+        np.clip(down, -30, 30, out=down)
+        np.negative(down, out=down)
+        np.exp(down, out=down)
+        down += 1
+        np.divide(1, down, out=down)
+        dc = up[:, None] * near
+        dc -= down @ far
         # Only the rows of words in the batch change.
-        targets = np.concatenate([word, noise])
-        pulls = np.hstack([np.vstack([up[:, None] * c, -(down.T @ c)]), np.append(up, -down.sum(axis=0))[:, None]]) / n
-        at, g = self._summed(targets, pulls)
-        gradient = {"r": (at, g[:, :-1]), "b": (at, g[:, -1]), "q": self._summed(before, dc @ self.m.T / n), "m": (slice(None), q.T @ dc / n)}
+        pulls = np.empty((n + k, WIDTH + 1), dtype=np.float32)
+        np.multiply(up[:, None], c, out=pulls[:n, :-1])
+        np.negative(down.T @ c, out=pulls[n:, :-1])
+        pulls[:n, -1] = up
+        np.negative(down.sum(axis=0), out=pulls[n:, -1])
+        pulls /= n
+        at, g = self._summed(np.concatenate([word, noise]), pulls)
+        back = dc @ self.m.T
+        back /= n
+        gradient = {"r": (at, g[:, :-1]), "b": (at, g[:, -1]), "q": self._summed(before, back), "m": (slice(None), q.T @ dc / n)}
         for x, (at, g) in gradient.items():
             values = getattr(self, x)
             if x not in past:
                 past[x] = np.full_like(values, 1e-8)
-            past[x][at] += g * g
-            values[at] += (rate * g / np.sqrt(past[x][at])).astype(np.float32)
+            scale = past[x][at] + g * g
+            past[x][at] = scale
+            values[at] += rate * g / np.sqrt(scale)
 
     def sums(self, low: int = 0, high: int | None = None) -> np.ndarray:
         """Log of the sum over all words, for each context from ``low`` to ``high``."""
         contexts, out = self.q[low:high] @ self.m, []
         for i in range(0, len(contexts), 64):
-            s = contexts[i : i + 64] @ self.r.T + self.b
+            s = contexts[i : i + 64] @ self.r.T
+            s += self.b
             top = s.max(axis=1, keepdims=True)
-            np.exp(s - top, out=s)
+            s -= top
+            np.exp(s, out=s)
             out.append(np.log(s.sum(axis=1, dtype=np.float64)) + top[:, 0])
         return np.concatenate(out) if out else np.zeros(0)
 
@@ -146,19 +171,25 @@ class LogBilinear:
 
 def _ids(words: list[bytes], number: dict[bytes, int]) -> np.ndarray:
     """Model ids of a text: the end, its words, the end.  0 is the class of words not looked up."""
-    get = number.get
-    return np.array([number[END], *[get(w, 0) for w in words], number[END]], dtype=np.int64)
+    return np.array([number[END], *map(number.get, words, repeat(0)), number[END]], dtype=np.int64)
 
 
 def _rows(at: np.ndarray, weight: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
     data = np.ascontiguousarray(values, dtype=np.float32)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(at, pa.int64()), pa.array(weight, pa.int64()), pa.array([x.tobytes() for x in data], pa.binary())], names=["row", "weight", "value"]
-    )
+    ends = np.arange(len(data) + 1, dtype=np.int32) * (data.shape[1] * 4)
+    packed = pa.Array.from_buffers(pa.binary(), len(data), [None, pa.py_buffer(ends), pa.py_buffer(data)])
+    return pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(weight, pa.int64()), packed], names=["row", "weight", "value"])
 
 
-def train(texts: DataFrame, number: dict[bytes, int], share: np.ndarray) -> LogBilinear:
-    """Average of the models that tasks fit to their shares of the corpus."""
+FITTED = "row long, weight long, value binary"
+
+
+def fits(texts: DataFrame, number: dict[bytes, int], share: np.ndarray, shares: int | None = None) -> DataFrame:
+    """Parameters that tasks fit to their shares of the corpus, and how often each was seen.
+
+    There are at most ``shares`` shares, one a core if not given: each makes a row for
+    every word it has seen, so more shares than cores only add rows.
+    """
     spark = texts.sparkSession
     shared = spark.sparkContext.broadcast((number, share))
 
@@ -194,6 +225,12 @@ def train(texts: DataFrame, number: dict[bytes, int], share: np.ndarray) -> LogB
             some = at[low : low + 20_000]
             yield _rows(some, seen[some], rows[some])
 
+    return texts.select("text").coalesce(shares or spark.sparkContext.defaultParallelism).mapInArrow(run, FITTED)
+
+
+def train(texts: DataFrame, number: dict[bytes, int], share: np.ndarray, shares: int | None = None) -> LogBilinear:
+    """Average of the models that tasks fit to their shares of the corpus."""
+
     def average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Weighted means of the rows of a partition, which holds all parts of its rows."""
         at, weight, total = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, 2 * WIDTH + 1))
@@ -209,9 +246,8 @@ def train(texts: DataFrame, number: dict[bytes, int], share: np.ndarray) -> LogB
         if len(at):
             yield _rows(at, weight, total / weight[:, None])
 
-    schema = "row long, weight long, value binary"
-    parts = texts.select("text").mapInArrow(run, schema)
-    got = parts.repartition("row").mapInArrow(average, schema).select("row", "value").toArrow()  # vocabulary + WIDTH rows
+    parts = fits(texts, number, share, shares)
+    got = parts.repartition("row").mapInArrow(average, FITTED).select("row", "value").toArrow()  # vocabulary + WIDTH rows
     rows = LogBilinear.start(share).packed()
     if got.num_rows:
         rows[got.column("row").to_numpy()] = np.frombuffer(b"".join(got.column("value").to_pylist()), dtype=np.float32).reshape(got.num_rows, -1)
@@ -270,12 +306,17 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
     base_of = lambda c: np.log10((c + 0.1) / (n + 0.1 * (v + 1)))
     # A word of a class has the class's probability times its share of the class.
     inside = {w: float(np.log10((frequent[w] + 0.1) / (totals[k] + 0.1 * kinds[k]))) for w, k in number.items() if k >= first}
-    shared = spark.sparkContext.broadcast((frequent, number, inside, model.packed(), normalisers(model, spark)))
+    # By place in the list, and last for words that are not looked up.
+    listed = list(number)
+    model_ids = np.array([*number.values(), 0], dtype=np.int64)
+    bases = np.array([*[float(base_of(frequent[w])) if w in frequent else np.nan for w in listed], np.nan])
+    insides = np.array([*[inside.get(w, 0.0) for w in listed], 0.0])
+    shared = spark.sparkContext.broadcast((listed, model_ids, bases, insides, model.packed(), normalisers(model, spark)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        known, names, within, fitted, z = shared.value
+        names, numbers, base, within, fitted, z = shared.value
         # Rows are numbered here, once: the result is stored before it is split.
         next_row = TaskContext.get().partitionId() << 33
         fit = LogBilinear.unpacked(fitted)
@@ -288,31 +329,40 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
                 total += float((np.einsum("ij,ij->i", contexts[b], fit.r[w]) + fit.b[w] - z[b]).sum(dtype=np.float64))
             return total / np.log(10)
 
-        base = {w: float(base_of(c)) for w, c in known.items()}
+        place, absent = {w: i for i, w in enumerate(names)}, len(names)
+        end = numbers[place[END]]
         for batch in batches:
             for low in range(0, batch.num_rows, 200):
-                keys, held = batch.column(0).slice(low, 200).to_pylist(), batch.column(2).slice(low, 200).to_pylist()
-                rows: list[list] = [[], [], [], [], [], [], [], [], []]
-
-                def emit(*values, rows=rows):
-                    for column, value in zip(rows, values, strict=True):
-                        column.append(value)
-
-                for at, words in enumerate(word_texts(batch.column(1).slice(low, 200))):
+                part = batch.slice(low, 200)
+                texts_, lost = [], ([], [], [])
+                for row, words in enumerate(word_texts(part.column(1)), next_row):
                     words.append(END)
-                    ids = _ids(words[:-1], names)
-                    lm = likelihood(ids)
-                    b = [base.get(w) for w in words]
-                    rare = Counter([w for w, x in zip(words, b, strict=True) if x is None]) if None in b else {}
-                    common = [x for x in b if x is not None]
-                    lm += sum([within.get(w, 0.0) for w in words])
-                    emit(next_row, keys[at], held[at], None, 1, len(words), len(common), sum(common), lm)
-                    for w, c in rare.items():
-                        emit(next_row, None, None, w, c, 0, 0, 0.0, 0.0)
-                    next_row += 1
-                kinds_ = [pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+                    at = np.array([*map(place.get, words, repeat(absent))], dtype=np.int64)
+                    lm = likelihood(np.append(end, numbers[at])) + float(within[at].sum())
+                    b = base[at]
+                    gone = np.isnan(b)
+                    if gone.any():
+                        rare = Counter([words[i] for i in np.flatnonzero(gone).tolist()])
+                        for column, values in zip(lost, (repeat(row, len(rare)), rare, rare.values()), strict=True):
+                            column.extend(values)
+                        b = b[~gone]
+                    texts_.append((row, len(words), len(b), float(b.sum()), lm))
+                next_row += len(texts_)
+                n_texts, n_lost = len(texts_), len(lost[0])
+                row, n_tokens, n_known, base_, lm = zip(*texts_, strict=True)
+
+                def joined(kind, ours, theirs):
+                    """A column of the rows of texts, then of those of words not looked up."""
+                    fill = [x if isinstance(x, pa.Array) else pa.array(x, kind) for x in (ours, theirs)]
+                    return pa.concat_arrays(fill)
+
+                whole, no = pa.int64(), lambda kind, n: pa.nulls(n, kind)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(rows, kinds_, strict=True)],
+                    [
+                        joined(whole, row, lost[0]), joined(whole, part.column(0), no(whole, n_lost)), joined(pa.bool_(), part.column(2), no(pa.bool_(), n_lost)),
+                        joined(pa.binary(), no(pa.binary(), n_texts), lost[1]), joined(whole, repeat(1, n_texts), lost[2]),
+                        *[joined(k, x, repeat(0, n_lost)) for k, x in ((whole, n_tokens), (whole, n_known), (pa.float64(), base_), (pa.float64(), lm))],
+                    ],
                     names=["row", "id", "held_out", "token", "times", "n_tokens", "n_known", "base", "lm"],
                 )
 

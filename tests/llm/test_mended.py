@@ -9,7 +9,7 @@ import time
 import numpy as np
 from pyspark.sql import functions as F
 
-from palisade.llm import jaccard, secrets, toxicity
+from palisade.llm import jaccard, lm, secrets, toxicity
 
 
 def test_copies_of_a_row_without_id_keep_their_links(spark):
@@ -282,3 +282,24 @@ def test_last_stages_of_the_pipeline_by_hand(spark):
         assert [o for o, _ in sorted(spans)] == [sum(n for _, n in sorted(spans)[:i]) for i in range(len(spans))]
     sizes = [sum(n for _, n in windows[w]) for w in sorted(windows)]
     assert sizes[:-1] == [1024] * (len(sizes) - 1) and sizes[-1] <= 1024
+
+
+def test_training_sends_rows_for_shares_not_for_splits(spark):
+    """40 splits of the corpus are trained in one share a core, and every token is seen."""
+    number = {lm.END: 1, **{f"w{i}".encode(): i + 2 for i in range(30)}}
+    share = np.full(32, 1 / 32, dtype=np.float32)
+    texts = [" ".join(f"w{(i * j) % 30}" for j in range(60)) for i in range(400)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(40)
+    cores = spark.sparkContext.defaultParallelism
+    rows = lm.fits(df, number, share).collect()
+    assert len(rows) <= cores * (len(share) + lm.WIDTH) < 40 * (len(share) + lm.WIDTH)
+    # Each context-word pair counts once in the rows of the context matrix.
+    assert sum(r.weight for r in rows if r.row == len(share)) == 400 * 61
+    assert {r.weight for r in lm.fits(df, number, share, 1).where(f"row = {len(share)}").collect()} == {400 * 61}
+
+
+def test_sums_of_repeated_rows():
+    index = np.array([5, 2, 5, 9, 2, 5])
+    rows = np.arange(12, dtype=np.float32).reshape(6, 2)
+    at, sums = lm.LogBilinear._summed(index, rows)
+    assert at.tolist() == [2, 5, 9] and sums.tolist() == [[10, 12], [14, 17], [6, 7]]
