@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +39,21 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, size: str) -> Iterator[None]:
+    """Jobs run inside hand Python at most about ``size`` bytes of rows at a time.
+
+    A batch is held by the JVM and by Python at once, by every running task.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def words_of(text: Column) -> Column:
     """Words of a text as an array; null and blank texts have none."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACES + "+", -1), lambda w: w != "")

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from palisade.llm.common import discard, stored
+from palisade.llm.common import arrow_batches, discard, stored
 from palisade.llm.components import components
 
 SHINGLE = 5
@@ -36,6 +36,8 @@ WORDS = BITS // 64
 SAMPLE, FREQUENT, MOST_FREQUENT = 16, 4, 1 << 18
 SALTS = 16
 PARTNERS = 3
+# Bytes of rows that Python gets at a time, and documents or pairs worked on at once.
+BATCH_BYTES, AT_ONCE = "4m", 250
 
 
 def needed(a, b):
@@ -162,8 +164,8 @@ def _per_batch(make, schema: str):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for low in range(0, whole.num_rows, 1000):
-                batch = whole.slice(low, 1000)
+            for low in range(0, whole.num_rows, AT_ONCE):
+                batch = whole.slice(low, AT_ONCE)
                 yield make(batch.column(0), _sets_of(batch.column(1)))
 
     return run, schema
@@ -212,8 +214,8 @@ def _described(source: DataFrame, frequent: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
         for whole in batches:
-            for low in range(0, whole.num_rows, 1000):
-                batch = whole.slice(low, 1000)
+            for low in range(0, whole.num_rows, AT_ONCE):
+                batch = whole.slice(low, AT_ONCE)
                 n, keys, prefixes, rare = [], [], [], []
                 for doc, tokens in zip(batch.column(0), _sets_of(batch.column(1)), strict=True):
                     key = hashlib.blake2b(tokens.tobytes(), digest_size=16).digest() if len(tokens) else None
@@ -320,8 +322,8 @@ def _decided(pairs: DataFrame, sets: DataFrame, signed: DataFrame) -> DataFrame:
 
     def allowed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for low in range(0, whole.num_rows, 500):
-                b = whole.slice(low, 500)
+            for low in range(0, whole.num_rows, AT_ONCE):
+                b = whole.slice(low, AT_ONCE)
                 n, m = b.column(2).to_pylist(), b.column(4).to_pylist()
                 keep = [
                     wide_bound(x, i, y, j) >= needed(i, j)
@@ -364,8 +366,8 @@ def _signed(sets: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for low in range(0, whole.num_rows, 1000):
-                b = whole.slice(low, 1000)
+            for low in range(0, whole.num_rows, AT_ONCE):
+                b = whole.slice(low, AT_ONCE)
                 tokens = [np.asarray(t, dtype=np.int64).view(np.uint64) for t in b.column(1).to_pylist()]
                 bits = [signature(t) for t in tokens]
                 extra = [len(t) - int(np.bitwise_count(s).sum()) for t, s in zip(tokens, bits, strict=True)]
@@ -409,9 +411,9 @@ def _partners(leaves: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for low in range(0, whole.num_rows, 100):
+            for low in range(0, whole.num_rows, 20):
                 out: list[list] = [[], [], []]
-                for m in whole.slice(low, 100).column(0).to_pylist():
+                for m in whole.slice(low, 20).column(0).to_pylist():
                     most, fits = _compared(m, m, True)
                     ids, n = np.array([x["id"] for x in m]), np.array([x["n"] for x in m])
                     share = np.where(fits, most / np.maximum(needed(n[:, None], n[None, :]), 1), 0.0)
@@ -434,9 +436,9 @@ def _opened(leaves: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for low in range(0, whole.num_rows, 100):
+            for low in range(0, whole.num_rows, 20):
                 out = []
-                for r in whole.slice(low, 100).to_pylist():
+                for r in whole.slice(low, 20).to_pylist():
                     same = r["right"] is None
                     out += _open(r["left"], r["left"] if same else r["right"], same)
                 yield pa.RecordBatch.from_arrays(
@@ -548,6 +550,11 @@ def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     no link of others.  An empty table gives an empty result.  Other columns of ``df``
     are not read.
     """
+    with arrow_batches(df.sparkSession, BATCH_BYTES):
+        return _groups(df, id_col, text_col)
+
+
+def _groups(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     source = _sources(df, id_col, text_col)
     frequent = _frequent(source)
     rows = stored(_described(source, frequent), "described")

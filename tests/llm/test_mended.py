@@ -7,9 +7,10 @@ import re
 import time
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from palisade.llm import jaccard, lm, secrets, toxicity
+from palisade.llm import common, jaccard, lm, pieces, secrets, toxicity
 
 
 def test_copies_of_a_row_without_id_keep_their_links(spark):
@@ -303,3 +304,28 @@ def test_sums_of_repeated_rows():
     rows = np.arange(12, dtype=np.float32).reshape(6, 2)
     at, sums = lm.LogBilinear._summed(index, rows)
     assert at.tolist() == [2, 5, 9] and sums.tolist() == [[10, 12], [14, 17], [6, 7]]
+
+
+def test_groups_hand_python_small_batches(spark, monkeypatch):
+    """A batch is held by the JVM and by Python in every running task: all jobs bound its bytes."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before, seen = spark.conf.get(name), []
+
+    def spied(df, label, stored=jaccard.stored):
+        seen.append(spark.conf.get(name))
+        return stored(df, label)
+
+    monkeypatch.setattr(jaccard, "stored", spied)
+    words = [f"w{i}" for i in range(40)]
+    rows = [(1, " ".join(words)), (2, " ".join([*words, "more"])), (3, "other text of a few words only"), (4, None)]
+    got = {r.doc_id: r.component_id for r in jaccard.groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 1, 2: 1, 3: 3, 4: 4}
+    assert set(seen) == {jaccard.BATCH_BYTES} and spark.conf.get(name) == before
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes], pa.int64())], names=["bytes"])
+
+    large = spark.range(0, 4000, 1, 1).select(F.repeat(F.lit("x"), 4096).alias("t")).mapInArrow(sizes, "bytes long")
+    with common.arrow_batches(spark, "4m"):
+        assert max(r.bytes for r in large.collect()) < 5 << 20
