@@ -329,3 +329,41 @@ def test_groups_hand_python_small_batches(spark, monkeypatch):
     large = spark.range(0, 4000, 1, 1).select(F.repeat(F.lit("x"), 4096).alias("t")).mapInArrow(sizes, "bytes long")
     with common.arrow_batches(spark, "4m"):
         assert max(r.bytes for r in large.collect()) < 5 << 20
+
+
+def test_segmentations_of_a_batch_follow_sampling_without_replacement():
+    import public_tokenizers
+
+    lattices = pieces.Lattices(public_tokenizers.path("piece_bpe_32k.model"))
+    lattices.weight *= 0.2  # flatter, so that many segmentations come up
+    text, n = lattices.normalised("haer it"), 12_000
+    everything = {x[0]: np.exp(x[1]) for x in pieces.sample(lattices, text, 500, 0)}
+    assert abs(sum(everything.values()) - 1) < 1e-9 and len(everything) > 20
+    which, ids, ends, phi, g, inclusion = pieces.samples(lattices, [text] * n, 2, list(range(n)))
+    assert (which == np.repeat(np.arange(n), 2)).all() and (g[::2] >= g[1::2]).all() and (inclusion > 0).all() and (inclusion <= 1).all()
+    assert abs(g[::2].mean() - 0.5772) < 0.05
+    parts = [tuple(x.tolist()) for x in np.split(ids, ends[:-1])]
+    assert all(a != b for a, b in zip(parts[::2], parts[1::2], strict=True))
+    assert np.allclose(np.exp(phi[:200]), [everything[x] for x in parts[:200]])
+    for a in everything:
+        second = sum(p * everything[a] / (1 - p) for b, p in everything.items() if b != a)
+        assert abs(parts[::2].count(a) / n - everything[a]) < 0.02
+        assert abs(parts[1::2].count(a) / n - second) < 0.02
+
+
+def test_many_segmentations_take_little_time_and_do_not_hang_on_the_batch():
+    import public_tokenizers
+
+    lattices = pieces.Lattices(public_tokenizers.path("piece_bpe_32k.model"))
+    rng = random.Random(5)
+    raw = [" ".join("".join(rng.choices("aeinorst", k=rng.randrange(1, 12))) for _ in range(400)) + " 字͸" for _ in range(200)]
+    texts = [lattices.normalised(t) for t in raw]
+    began = time.process_time()
+    which, ids, ends, phi, g, inclusion = pieces.samples(lattices, texts, 3, list(range(200)))
+    assert time.process_time() - began < 5  # 12 s and more text by text
+    parts = [tuple(x.tolist()) for x in np.split(ids, ends[:-1])]
+    for i in (0, 7, 199):
+        alone = pieces.sample(lattices, texts[i], 3, i)
+        assert [x[0] for x in alone] == parts[3 * i : 3 * i + 3]
+        assert np.allclose([x[1] for x in alone], phi[3 * i : 3 * i + 3]) and np.allclose([x[2] for x in alone], g[3 * i : 3 * i + 3])
+        assert all(lattices.decode(list(x[0])) == lattices.decode(lattices.processor.encode(raw[i])) for x in alone)
