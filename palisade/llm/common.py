@@ -77,3 +77,17 @@ def word_texts(column) -> list:
     import pyarrow as pa
 
     return [(t or b"").lower().split() for t in column.cast(pa.binary()).to_pylist()]
+
+
+def flat_words(column):
+    """(words, ends) of an Arrow string column: the words of ``word_texts`` end to end as an
+    Arrow binary array, and after how many of them each text ends."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(column.cast(pa.string()), "")))
+    words, stops = pc.list_flatten(parts).cast(pa.binary()), np.cumsum(pc.list_value_length(parts).to_numpy(zero_copy_only=False))
+    some = pc.greater(pc.binary_length(words), 0)  # white space at an end of a text leaves an empty part
+    kept = np.append(0, np.cumsum(some.to_numpy(zero_copy_only=False)))
+    return words.filter(some), kept[stops]

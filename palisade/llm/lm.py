@@ -23,10 +23,11 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palisade.llm.common import stored, word_texts
+from palisade.llm.common import flat_words, stored
 
 VOCABULARY = 2048
 LEAST = 100
@@ -35,6 +36,7 @@ FREQUENT = 1 << 17
 BATCH, NOISE, RATE = 2048, 64, 0.05
 END = b"\n"  # no word holds white space
 FLUSH = 300_000
+AT_ONCE = 1000  # texts; the vocabulary is hashed again for each such part of a batch
 
 
 def _source(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -55,10 +57,12 @@ def _counts(train: DataFrame) -> DataFrame:
             return out
 
         for batch in batches:
-            for low in range(0, batch.num_rows, 500):
-                for words in word_texts(batch.column(1).slice(low, 500)):
-                    seen.update(words)
-                    seen[END] += 1
+            for low in range(0, batch.num_rows, AT_ONCE):
+                words, ends = flat_words(batch.column(1).slice(low, AT_ONCE))
+                found = pc.value_counts(words)
+                for x, c in zip(found.field(0).to_pylist(), found.field(1).to_pylist(), strict=True):
+                    seen[x] += c
+                seen[END] += len(ends)
                 if len(seen) > FLUSH:
                     yield flush()
         if seen:
@@ -169,9 +173,19 @@ class LogBilinear:
         return cls(words[:, :WIDTH].copy(), words[:, WIDTH : 2 * WIDTH].copy(), rest[:, :WIDTH].copy(), words[:, -1].copy())
 
 
-def _ids(words: list[bytes], number: dict[bytes, int]) -> np.ndarray:
-    """Model ids of a text: the end, its words, the end.  0 is the class of words not looked up."""
-    return np.array([number[END], *map(number.get, words, repeat(0)), number[END]], dtype=np.int64)
+def _ids(words: pa.Array, number: pa.Array, ids: np.ndarray) -> np.ndarray:
+    """The entry of ``ids`` for each word: its place in ``number``, or the last one."""
+    at = pc.fill_null(pc.index_in(words, value_set=number), len(number))
+    return ids[at.to_numpy(zero_copy_only=False)]
+
+
+def _pairs(words: np.ndarray, ends: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """(before, word) of all tokens of texts: a text's words and the end, each after the one
+    before it, the first after an end."""
+    at = np.arange(len(words)) + np.searchsorted(ends, np.arange(len(words)), side="right")
+    before, word = (np.full(len(words) + len(ends), end, dtype=np.int64) for _ in range(2))
+    before[at + 1], word[at] = words, words
+    return before, word
 
 
 def _rows(at: np.ndarray, weight: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
@@ -191,10 +205,11 @@ def fits(texts: DataFrame, number: dict[bytes, int], share: np.ndarray, shares:
     every word it has seen, so more shares than cores only add rows.
     """
     spark = texts.sparkSession
-    shared = spark.sparkContext.broadcast((number, share))
+    shared = spark.sparkContext.broadcast((list(number), np.array([*number.values(), 0], dtype=np.int64), share))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, p = shared.value
+        listed, numbers, p = shared.value
+        names, end = pa.array(listed, pa.binary()), int(numbers[listed.index(END)])  # class 0: words not looked up
         model, rng = LogBilinear.start(p), np.random.default_rng(11)
         noise_edges = np.cumsum(p, dtype=np.float64)
         before, word, past = [], [], {}
@@ -208,12 +223,10 @@ def fits(texts: DataFrame, number: dict[bytes, int], share: np.ndarray, shares:
             seen[len(p) :] += len(b)
 
         for batch in batches:
-            for low in range(0, batch.num_rows, 500):
-                for words in word_texts(batch.column(0).slice(low, 500)):
-                    ids = _ids(words, names)
-                    before.append(ids[:-1])
-                    word.append(ids[1:])
-                b, w = np.concatenate(before), np.concatenate(word)
+            for low in range(0, batch.num_rows, AT_ONCE):
+                words, ends = flat_words(batch.column(0).slice(low, AT_ONCE))
+                some = _pairs(_ids(words, names, numbers), ends, end)
+                b, w = np.concatenate([*before, some[0]]), np.concatenate([*word, some[1]])
                 for i in range(0, len(b) - BATCH + 1, BATCH):
                     learn(b[i : i + BATCH], w[i : i + BATCH])
                 left = len(b) % BATCH
@@ -329,24 +342,25 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
                 total += float((np.einsum("ij,ij->i", contexts[b], fit.r[w]) + fit.b[w] - z[b]).sum(dtype=np.float64))
             return total / np.log(10)
 
-        place, absent = {w: i for i, w in enumerate(names)}, len(names)
-        end = numbers[place[END]]
+        place, of_end = pa.array(names, pa.binary()), names.index(END)
+        places, end = np.arange(len(names) + 1), numbers[of_end]
         for batch in batches:
-            for low in range(0, batch.num_rows, 200):
-                part = batch.slice(low, 200)
+            for low in range(0, batch.num_rows, AT_ONCE):
+                part = batch.slice(low, AT_ONCE)
                 texts_, lost = [], ([], [], [])
-                for row, words in enumerate(word_texts(part.column(1)), next_row):
-                    words.append(END)
-                    at = np.array([*map(place.get, words, repeat(absent))], dtype=np.int64)
+                words, ends = flat_words(part.column(1))
+                found = _ids(words, place, places)
+                for row, (start, stop) in enumerate(zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True), next_row):
+                    at = np.append(found[start:stop], of_end)
                     lm = likelihood(np.append(end, numbers[at])) + float(within[at].sum())
                     b = base[at]
                     gone = np.isnan(b)
                     if gone.any():
-                        rare = Counter([words[i] for i in np.flatnonzero(gone).tolist()])
+                        rare = Counter(words.take(pa.array(start + np.flatnonzero(gone))).to_pylist())
                         for column, values in zip(lost, (repeat(row, len(rare)), rare, rare.values()), strict=True):
                             column.extend(values)
                         b = b[~gone]
-                    texts_.append((row, len(words), len(b), float(b.sum()), lm))
+                    texts_.append((row, len(at), len(b), float(b.sum()), lm))
                 next_row += len(texts_)
                 n_texts, n_lost = len(texts_), len(lost[0])
                 row, n_tokens, n_known, base_, lm = zip(*texts_, strict=True)

@@ -367,3 +367,33 @@ def test_many_segmentations_take_little_time_and_do_not_hang_on_the_batch():
         assert [x[0] for x in alone] == parts[3 * i : 3 * i + 3]
         assert np.allclose([x[1] for x in alone], phi[3 * i : 3 * i + 3]) and np.allclose([x[2] for x in alone], g[3 * i : 3 * i + 3])
         assert all(lattices.decode(list(x[0])) == lattices.decode(lattices.processor.encode(raw[i])) for x in alone)
+
+
+def test_words_end_to_end_are_the_words_of_the_texts():
+    odd = pa.array([None, "", "  \n", "One TWO\x0bthree\x0cfour\r\n x ", "É é x \x1c b", " a\t\tb ", " z", " "])
+    for column in (odd, odd.slice(2, 4), odd.slice(0, 0)):
+        words, ends = common.flat_words(column)
+        got, starts = words.to_pylist(), [0, *ends.tolist()]
+        want = common.word_texts(column)
+        assert [got[a:b] for a, b in zip(starts, starts[1:], strict=False)] == want
+        number = {b"x": 2, lm.END: 1, b"a": 3}
+        ids = lm._ids(words, pa.array(list(number), pa.binary()), np.array([*number.values(), 0]))
+        plain = [[1, *(number.get(w, 0) for w in t), 1] for t in want]
+        before, word = lm._pairs(ids, ends, 1)
+        assert before.tolist() == [x for t in plain for x in t[:-1]] and word.tolist() == [x for t in plain for x in t[1:]]
+
+
+def test_words_are_looked_up_in_little_time():
+    rng = random.Random(6)
+    words = list({"".join(rng.choices("abcdefghij", k=8)) for _ in range(100_000)})
+    column = pa.array([" ".join(rng.choices(words, k=500)) for _ in range(500)])
+    names, places = pa.array([w.encode() for w in words], pa.binary()), np.arange(len(words) + 1)
+    began = time.process_time()
+    for _ in range(8):
+        lm._ids(common.flat_words(column)[0], names, places)
+    took, began = time.process_time() - began, time.process_time()
+    number = {w.encode(): i for i, w in enumerate(words)}
+    for _ in range(8):
+        for t in common.word_texts(column):
+            np.array([*map(number.get, t)])
+    assert took < 0.8 * (time.process_time() - began)  # as it was looked up before
