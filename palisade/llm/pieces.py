@@ -28,8 +28,8 @@ SPACE = "▁"
 BYTE_COST = 20.0
 # Branches so far below their text's value are looked at only if nearer ones do not suffice.
 FAR = 60.0
-# Texts and characters whose lattices are built at once.
-TEXTS, CHARACTERS = 1000, 1 << 22
+# Texts and bytes of them whose lattices are built at once; Python holds some 400 bytes a byte.
+TEXTS, CHARACTERS = 100, 1 << 19
 
 
 class Lattices:
@@ -97,22 +97,28 @@ class Edges:
         node[place] = np.arange(n)
         self.left = left = left[place]
         self.length, self.start = length, node[ends - length]
-        state = np.zeros((n, lattices.longest), dtype=np.int32)
-        at, now = np.arange(n), np.zeros(n, dtype=np.int64)
+        # Edges of each length, then of each node; a character that is no piece is spelled in bytes.
+        at, now, here = np.arange(n), np.zeros(n, dtype=np.int64), place
+        found, fan = [], np.ones(n, dtype=np.int64)
         for k in range(lattices.longest):
-            now = lattices.steps.get_indexer(now << 21 | code[place[at] + k]) + 1
-            on = now > 0
-            at, now = at[on], now[on]
-            ends_here = lattices.piece[now] >= 0
-            state[at[ends_here], k] = now[ends_here]
-            on = left[at] > k + 1
-            at, now = at[on], now[on]
+            now = lattices.steps.get_indexer(now << 21 | code[here]) + 1
+            if k:
+                ends_here = np.flatnonzero(lattices.piece[now] >= 0)
+                found.append((at[ends_here], now[ends_here]))
+                fan[found[-1][0]] += 1
+            else:
+                found.append((at, np.where(lattices.piece[now] >= 0, now, 0)))
+            on = np.flatnonzero((now > 0) & (left[at] > k + 1))
+            at, now, here = at[on], now[on], here[on] + 1
             if not len(at):
                 break
-        found = state > 0
-        found[:, 0] = True  # a character that is no piece is spelled in bytes
-        source, size = np.nonzero(found)
-        state = state[source, size]
+        self.first = np.append(0, np.cumsum(fan))
+        free, edges = self.first[:-1].copy(), int(self.first[-1])
+        source, size, state = np.repeat(np.arange(n), fan), np.empty(edges, dtype=np.int64), np.empty(edges, dtype=np.int64)
+        for k, (at, now) in enumerate(found):
+            to = free[at]
+            size[to], state[to] = k, now
+            free[at] = to + 1
         self.piece = lattices.piece[state]  # -1: bytes
         weight = lattices.weight[state]
         byte = np.flatnonzero(state == 0)
@@ -123,7 +129,6 @@ class Edges:
         weight[byte] = -BYTE_COST * self.spells
         after = place[source] + size + 1
         self.to = np.where(left[source] > size + 1, node[np.minimum(after, n)], n)
-        self.first = np.append(0, np.cumsum(np.bincount(source, minlength=n)))
         total = np.zeros(n + 1)
         bounds = np.searchsorted(left, np.arange(1, (int(left[-1]) if n else 0) + 2)).tolist()
         for low, high in zip(bounds, bounds[1:], strict=False):
@@ -245,12 +250,15 @@ def samples(lattices: Lattices, texts: list[str], k: int, seeds: list[int]):
                 if own is not None:
                     x[to + taken] = own
         grown[0][tail], grown[1][tail] = new, new_occ
-        total, gone = phi.copy(), 0
-        for i, m in enumerate(length.tolist()):
-            sums = np.cumsum(np.append(phi[i], edges.lp[new[gone : gone + m]]))
-            grown[2][to[i] + size[i] - m : to[i] + size[i]] = sums[:-1]
-            total[i] = sums[-1]
-            gone += m
+        # Sums along each row, whose first term is the log-probability before it.
+        heads = np.cumsum(length + 1) - length - 1
+        sums = np.empty(len(new) + len(length))
+        sums[heads] = phi
+        sums[_ranges(heads + 1, length)] = edges.lp[new]
+        for a, b in zip(heads.tolist(), (heads + length + 1).tolist(), strict=True):
+            np.cumsum(sums[a:b], out=sums[a:b])
+        total = sums[heads + length]
+        grown[2][tail] = sums[_ranges(heads, length)]
         here = tail + len(path)
         path, occ_of, phi_of = (np.concatenate([x, y]) for x, y in zip((path, occ_of, phi_of), grown, strict=True))
         rows.append((text, begin, begin + size, total, g))

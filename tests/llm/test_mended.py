@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import re
 import time
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -369,6 +370,22 @@ def test_many_segmentations_take_little_time_and_do_not_hang_on_the_batch():
         assert all(lattices.decode(list(x[0])) == lattices.decode(lattices.processor.encode(raw[i])) for x in alone)
 
 
+def test_segmentations_hold_little_memory_at_once():
+    """Every running task holds the lattices and paths of the texts that are segmented together."""
+    import public_tokenizers
+
+    lattices = pieces.Lattices(public_tokenizers.path("piece_bpe_32k.model"))
+    rng = random.Random(6)
+    texts = [" ".join("".join(rng.choices("aeinorst", k=rng.randrange(1, 12))) for _ in range(450)) for _ in range(400)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(400)), pa.array(texts)], names=["id", "text"])
+    tracemalloc.start()
+    for part in pieces._parts(batch, 1):
+        pieces.samples(lattices, [lattices.normalised(t) for t in part.column(1).to_pylist()], 3, part.column(0).to_pylist())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150 << 20  # 334 MB when up to 1,000 texts were taken
+
+
 def test_words_end_to_end_are_the_words_of_the_texts():
     odd = pa.array([None, "", "  \n", "One TWO\x0bthree\x0cfour\r\n x ", "É é x \x1c b", " a\t\tb ", " z", " "])
     for column in (odd, odd.slice(2, 4), odd.slice(0, 0)):
