@@ -40,18 +40,30 @@ def discard(*tables: DataFrame) -> None:
 
 
 @contextmanager
-def arrow_batches(spark: SparkSession, size: str) -> Iterator[None]:
+def _set(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def arrow_batches(spark: SparkSession, size: str):
     """Jobs run inside hand Python at most about ``size`` bytes of rows at a time.
 
     A batch is held by the JVM and by Python at once, by every running task.
     """
-    name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, size)
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
+    return _set(spark, {"spark.sql.execution.arrow.maxBytesPerBatch": size})
+
+
+def bloom_filters(spark: SparkSession):
+    """Joins run inside drop rows without a partner by Spark's Bloom filters before they move
+    them, from small tables on and for up to 1 GB of keys; a filter has 8 MB at most."""
+    name = "spark.sql.optimizer.runtime.bloomFilter."
+    return _set(spark, {name + "enabled": "true", name + "applicationSideScanSizeThreshold": "1m", name + "creationSideThreshold": "1g"})
 
 
 def words_of(text: Column) -> Column:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from palisade.llm.common import arrow_batches, discard, stored
+from palisade.llm.common import arrow_batches, bloom_filters, discard, stored
 from palisade.llm.components import components
 
 SHINGLE = 5
@@ -199,12 +199,14 @@ def _frequent(source: DataFrame) -> np.ndarray:
 
 
 def _described(source: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """(id, n, key, prefix, rare) per row; equal keys mean equal sets, no shingle a null key.
+    """(id, n, key, prefix, rare, extra, bits, wide) per row; equal keys mean equal sets, no
+    shingle a null key.
 
-    ``rare``: how many tokens of the prefix, the first ones, are not frequent.
+    ``rare``: how many tokens of the prefix, the first ones, are not frequent.  ``bits`` and
+    ``wide`` are bitmaps of all tokens; ``extra`` counts the tokens beyond the bits set in ``bits``.
 
-    A key that the task has just seen comes without its prefix: many exact copies cost
-    no more than their ids.
+    A key that the task has just seen comes without prefix and bitmaps: many exact copies
+    cost no more than their ids.
     """
     import hashlib
 
@@ -216,28 +218,32 @@ def _described(source: DataFrame, frequent: np.ndarray) -> DataFrame:
         for whole in batches:
             for low in range(0, whole.num_rows, AT_ONCE):
                 batch = whole.slice(low, AT_ONCE)
-                n, keys, prefixes, rare = [], [], [], []
+                n, keys, rest = [], [], []
                 for doc, tokens in zip(batch.column(0), _sets_of(batch.column(1)), strict=True):
                     key = hashlib.blake2b(tokens.tobytes(), digest_size=16).digest() if len(tokens) else None
                     n.append(len(tokens))
                     keys.append(key)
                     # A row without an id is dropped before grouping, so it may not stand for its key.
                     if key is None or key in seen or not doc.is_valid:
-                        prefixes.append(None)
-                        rare.append(None)
+                        rest.append((None,) * 5)
                         continue
                     if len(seen) > 200_000:
                         seen.clear()
                     seen.add(key)
                     some, few = prefix(tokens, names, rank)
-                    prefixes.append(some.view(np.int64))
-                    rare.append(few)
+                    bits = signature(tokens)
+                    extra = len(tokens) - int(np.bitwise_count(bits).sum())
+                    rest.append((some.view(np.int64), few, extra, bits.view(np.int64), wide_bitmap(tokens)))
+                kinds = (pa.list_(pa.int64()), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(rare, pa.int32())],
-                    names=["id", "n", "key", "prefix", "rare"],
+                    [
+                        batch.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.binary()),
+                        *[pa.array(column, kind) for column, kind in zip(zip(*rest, strict=True), kinds, strict=True)],
+                    ],
+                    names=["id", "n", "key", "prefix", "rare", "extra", "bits", "wide"],
                 )
 
-    return source.mapInArrow(run, "id long, n long, key binary, prefix array<long>, rare int")
+    return source.mapInArrow(run, "id long, n long, key binary, prefix array<long>, rare int, extra int, bits array<long>, wide binary")
 
 
 def _leaf_batch(token, salt, key, n, done: int, last: bool):
@@ -316,7 +322,21 @@ def _forest(postings: DataFrame) -> DataFrame:
     return forest
 
 
-def _decided(pairs: DataFrame, sets: DataFrame, signed: DataFrame) -> DataFrame:
+def _sets(source: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, tokens) of every text of the ids, which come with the number of their ``pairs``."""
+
+    def make(ids, sets):
+        return pa.RecordBatch.from_arrays(
+            [ids, pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["id", "tokens"]
+        )
+
+    run, schema = _per_batch(make, "id long, tokens array<long>")
+    # The condition on ``pairs`` is always met; with it Spark drops other texts by a Bloom
+    # filter of the ids before it moves any.
+    return source.join(ids.where("pairs > 0"), "id", "left_semi").mapInArrow(run, schema)
+
+
+def _decided(pairs: DataFrame, source: DataFrame, signed: DataFrame) -> DataFrame:
     """The pairs (a, b) that link: those the wide bitmaps allow, decided on whole sets."""
     of = lambda c: signed.select(F.col("id").alias(c), F.col("n").alias(f"n{c}"), F.col("wide").alias(f"w{c}"))
 
@@ -333,15 +353,15 @@ def _decided(pairs: DataFrame, sets: DataFrame, signed: DataFrame) -> DataFrame:
 
     may = pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "na", "wa", "nb", "wb").mapInArrow(allowed, "a long, b long")
     may = stored(may, "pairs")
-    # Stored, so that Spark knows how few sets are asked for before it moves any.
-    ids = stored(may.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "asked")
-    asked = sets.join(ids, "id", "left_semi")
+    # Stored, so that Spark knows how few texts are asked for before it moves any.
+    ids = stored(may.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("pairs")), "asked")
+    asked = stored(_sets(source, ids), "sets")
     x = asked.select(F.col("id").alias("a"), F.col("tokens").alias("x"))
     y = asked.select(F.col("id").alias("b"), F.col("tokens").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
     links = may.join(x, "a").join(y, "b").where(both * 100 >= 75 * (F.size("x") + F.size("y") - both)).select("a", "b")
     links = stored(links, "links")
-    discard(may, ids)
+    discard(may, ids, asked)
     return links
 
 
@@ -361,21 +381,15 @@ def _neighbours(forest: DataFrame) -> DataFrame:
     return best.select(F.least("m.a", "b").alias("a"), F.greatest("m.a", "b").alias("b")).distinct()
 
 
-def _signed(sets: DataFrame) -> DataFrame:
-    """(id, extra, bits, n, wide): bitmap, tokens beyond its set bits, all tokens, wide bitmap."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for low in range(0, whole.num_rows, AT_ONCE):
-                b = whole.slice(low, AT_ONCE)
-                tokens = [np.asarray(t, dtype=np.int64).view(np.uint64) for t in b.column(1).to_pylist()]
-                bits = [signature(t) for t in tokens]
-                extra = [len(t) - int(np.bitwise_count(s).sum()) for t, s in zip(tokens, bits, strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0), pa.array(extra, pa.int32()), pa.array([s.view(np.int64) for s in bits], pa.list_(pa.int64())), pa.array([len(t) for t in tokens], pa.int32()), pa.array([wide_bitmap(t) for t in tokens], pa.binary())], names=["id", "extra", "bits", "n", "wide"]
-                )
-
-    return sets.select("id", "tokens").mapInArrow(run, "id long, extra int, bits array<long>, n int, wide binary")
+def _signed(known: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(id, extra, bits, n, wide) of every text of the wanted ids: its bitmaps, its tokens beyond
+    those set in ``bits``, and all its tokens."""
+    # Equal keys have equal bitmaps, so any row that carries them stands for all.
+    each = known.groupBy("key").agg(
+        F.first(F.when(F.col("wide").isNotNull(), F.struct("extra", "bits", F.col("n").cast("int").alias("n"), "wide")), ignorenulls=True).alias("s")
+    )
+    asked = known.select("id", "key").distinct().join(wanted, "id", "left_semi")
+    return asked.join(each, "key").select("id", "s.*")
 
 
 _MEMBER = "array<struct<n:int,id:long,comp:long,extra:int,bits:array<long>>>"
@@ -550,7 +564,7 @@ def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     no link of others.  An empty table gives an empty result.  Other columns of ``df``
     are not read.
     """
-    with arrow_batches(df.sparkSession, BATCH_BYTES):
+    with arrow_batches(df.sparkSession, BATCH_BYTES), bloom_filters(df.sparkSession):
         return _groups(df, id_col, text_col)
 
 
@@ -569,26 +583,17 @@ def _groups(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
         "token", F.when(F.col("place") < F.col("rare"), -1).otherwise(F.pmod("id", F.lit(SALTS))).cast("int").alias("salt"), "id", "n"
     )
     forest = _forest(postings)
-    # Stored, so that Spark knows how few texts are asked for before it moves any.
     wanted = stored(forest.select(F.explode("ids").alias("id")).distinct(), "wanted")
-
-    def make(ids, sets):
-        return pa.RecordBatch.from_arrays(
-            [ids, pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["id", "tokens"]
-        )
-
-    run, schema = _per_batch(make, "id long, tokens array<long>")
-    sets = stored(source.join(wanted, "id", "left_semi").mapInArrow(run, schema), "sets")
-    signed = stored(_signed(sets), "signed")
-    linked = stored(components(_decided(_neighbours(forest), sets, signed)), "linked")
+    signed = stored(_signed(known, wanted), "signed")
+    linked = stored(components(_decided(_neighbours(forest), source, signed)), "linked")
     # Components grow through their documents' best partners; few remain to be compared.
     live = _live(forest, signed, linked)
-    linked = _merged(linked, _decided(_partners(live), sets, signed))
+    linked = _merged(linked, _decided(_partners(live), source, signed))
     discard(live)
     # Whatever may still link, all of it.
     live = _live(forest, signed, linked)
-    linked = _merged(linked, _decided(_undecided(live), sets, signed))
-    discard(live, sets, signed, forest, wanted)
+    linked = _merged(linked, _decided(_undecided(live), source, signed))
+    discard(live, signed, forest, wanted)
     final = classes.join(linked.withColumnRenamed("node", "id"), "id", "left").select(
         "key", F.coalesce("component", "id").alias("group")
     )

@@ -332,6 +332,30 @@ def test_groups_hand_python_small_batches(spark, monkeypatch):
         assert max(r.bytes for r in large.collect()) < 5 << 20
 
 
+def test_groups_move_only_the_texts_that_candidates_ask_for(spark, monkeypatch):
+    """Whole sets were stored for every text with a neighbour in a tree, more bytes than the texts."""
+    name = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
+    before, seen, sets = spark.conf.get(name), set(), []
+
+    def spied(df, label, stored=jaccard.stored):
+        seen.add(spark.conf.get(name))
+        out = stored(df, label)
+        if label == "sets":
+            sets.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "stored", spied)
+    rng = random.Random(8)
+    shared = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join([*shared, *(f"x{rng.randrange(10**9)}" for _ in range(60))])) for i in range(80)]
+    rows.append((100, rows[7][1] + " more"))
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
+    got = {r.doc_id: r.component_id for r in jaccard.groups(df).collect()}
+    assert got == {i: i for i in range(80)} | {100: 7}
+    assert sum(sets) <= 10  # 81 before
+    assert seen == {"1m"} and spark.conf.get(name) == before
+
+
 def test_segmentations_of_a_batch_follow_sampling_without_replacement():
     import public_tokenizers
 
