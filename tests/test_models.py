@@ -199,6 +199,37 @@ def test_forest_rows_are_dealt_over_all_cores(spark, monkeypatch):
     assert max(parts) <= 2 * 4000 / len(parts)
 
 
+def small_forest(spark, monkeypatch, trees, cells):
+    """A forest on 800 rows, and the number of trees and the seed of every fit Spark was asked for."""
+    from pyspark.ml.wrapper import JavaEstimator
+
+    from palisade.operators import ranking
+
+    asked, fit = [], JavaEstimator._fit_java
+
+    def recorded(self, rows):
+        if self.hasParam("numTrees"):
+            asked.append((self.getNumTrees(), self.getSeed(), self.getCheckpointInterval()))
+        return fit(self, rows)
+
+    monkeypatch.setattr(JavaEstimator, "_fit_java", recorded)
+    monkeypatch.setattr(ranking, "FIT_CELLS", cells, raising=False)
+    rows = spark.range(0, 800).selectExpr("IF(id % 10 + id * 37 % 13 < 10, 'a', 'b') AS label", "CAST(id % 10 AS double) AS x", "CAST(id * 37 % 13 AS double) AS y")
+    model, prepared = ranking.forest(rows, ["x", "y"], trees=trees, depth=4)
+    return model, prepared, asked
+
+
+def test_few_trees_are_held_at_once(spark, monkeypatch):
+    """f20: with 100 rows a core and 500 cells, five trees at once; nothing kept or checkpointed."""
+    model, _, asked = small_forest(spark, monkeypatch, 12, 5 * -(-800 // spark.sparkContext.defaultParallelism))
+    assert sum(n for n, _, _ in asked) == 12 and max(n for n, _, _ in asked) <= 5
+    assert len({seed for _, seed, _ in asked}) == len(asked) and {every for _, _, every in asked} == {-1}
+    assert model.getNumTrees == len(model.trees) == 12 and model.numClasses == 2
+    assert len({tree.toDebugString.split("\n", 1)[1] for tree in model.trees}) > 1
+    assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
+    assert [n for n, _, _ in small_forest(spark, monkeypatch, 12, 1_000_000)[2]][-1:] == [12]
+
+
 def test_folders_are_written_without_sorting(spark, tmp_path, monkeypatch):
     """A task keeps a file open for each value; the setting for it ends with the write."""
     from pyspark.sql import DataFrameWriter
