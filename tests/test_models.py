@@ -230,6 +230,14 @@ def test_few_trees_are_held_at_once(spark, monkeypatch):
     assert [n for n, _, _ in small_forest(spark, monkeypatch, 12, 1_000_000)[2]][-1:] == [12]
 
 
+def test_portions_share_their_importance(spark, monkeypatch):
+    """f21: the importance is the trees' average, whatever portion they were grown in."""
+    model, _, asked = small_forest(spark, monkeypatch, 9, 4 * -(-800 // spark.sparkContext.defaultParallelism))
+    assert len(asked) == 3 and sum(n for n, _, _ in asked) == 9
+    trees = np.array([tree.featureImportances.toArray() for tree in model.trees])
+    assert np.allclose(model.featureImportances.toArray(), trees.sum(axis=0) / trees.sum(), atol=1e-12)
+
+
 def test_folders_are_written_without_sorting(spark, tmp_path, monkeypatch):
     """A task keeps a file open for each value; the setting for it ends with the write."""
     from pyspark.sql import DataFrameWriter
