@@ -238,6 +238,17 @@ def test_portions_share_their_importance(spark, monkeypatch):
     assert np.allclose(model.featureImportances.toArray(), trees.sum(axis=0) / trees.sum(), atol=1e-12)
 
 
+def test_portions_predict_together(spark, monkeypatch):
+    """f22: a prediction comes from all trees; rows are dealt with what a fit reads, and all kept."""
+    model, prepared, asked = small_forest(spark, monkeypatch, 9, 4 * -(-800 // spark.sparkContext.defaultParallelism))
+    assert len(asked) == 3 and prepared.columns == ["features", "target", "weight"]
+    tried = model.transform(prepared).select("features", "target", "prediction", "probability").collect()
+    ids, sure = M.flat_forest(spark, model).classify(np.array([r.features.toArray() for r in tried]))
+    assert len(tried) == 800 and ids.tolist() == [int(r.prediction) for r in tried]
+    assert np.allclose(sure, [max(r.probability) for r in tried], atol=1e-12)
+    assert np.mean([r.prediction == r.target for r in tried]) > 0.8
+
+
 def test_folders_are_written_without_sorting(spark, tmp_path, monkeypatch):
     """A task keeps a file open for each value; the setting for it ends with the write."""
     from pyspark.sql import DataFrameWriter
